@@ -6,39 +6,48 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 ISO = r"^\d{4}-\d{1,2}-\d{1,2}$"
+YEAR_MONTH = r"^\d{4}-\d{1,2}$"
 NAMED_MONTH = r"^\d{1,2}-[A-Za-z]{3}-\d{4}$"
-SLASHED = r"^\d{1,2}/\d{1,2}/\d{4}$"
+SLASHED = r"^(\d{1,2})/(\d{1,2})/(\d{4})$"
 
 
-def _when_shaped(text: Column, shape: str, pattern: str) -> Column:
-    # The shape test comes first: a failing parse raises and catches inside the JVM, a failing regex does not.
-    return F.when(text.rlike(shape), F.try_to_date(text, pattern))
+def iso_date(raw: Column) -> Column:
+    """ISO text to date; blank or unreadable text becomes NULL."""
+    text = F.trim(raw)
+    return F.when(text.rlike(ISO), text.try_cast("date"))
+
+
+def first_of_month(raw: Column) -> Column:
+    """'2023-09' to the first day of that month."""
+    text = F.trim(raw)
+    return F.when(text.rlike(YEAR_MONTH), F.concat(text, F.lit("-01")).try_cast("date"))
+
+
+def _slash_date(text: Column, order: str) -> Column:
+    # Rewritten to ISO and cast: an impossible date is a plain NULL, where a failing pattern parse
+    # would raise and catch inside the JVM for row after row.
+    return F.when(text.rlike(SLASHED), F.regexp_replace(text, SLASHED, order).try_cast("date"))
+
+
+def _day_first(text: Column) -> Column:
+    return _slash_date(text, "$3-$2-$1")
+
+
+def _month_first(text: Column) -> Column:
+    return _slash_date(text, "$3-$1-$2")
 
 
 def messy_date(raw: Column) -> Column:
     """ISO, then day-month name-year, then slashes: day first if that is a date, else month first."""
     text = F.trim(raw)
-    return F.coalesce(
-        _when_shaped(text, ISO, "yyyy-M-d"),
-        _when_shaped(text, NAMED_MONTH, "d-MMM-yyyy"),
-        _when_shaped(text, SLASHED, "d/M/yyyy"),
-        _when_shaped(text, SLASHED, "M/d/yyyy"),
-    )
+    named = F.when(text.rlike(NAMED_MONTH), F.try_to_date(text, "d-MMM-yyyy"))
+    return F.coalesce(iso_date(raw), named, _day_first(text), _month_first(text))
 
 
 def is_ambiguous_date(raw: Column) -> Column:
     """True where a slash date reads as a valid date both ways round, equal parts included."""
     text = F.trim(raw)
-    both = (
-        _when_shaped(text, SLASHED, "d/M/yyyy").isNotNull()
-        & _when_shaped(text, SLASHED, "M/d/yyyy").isNotNull()
-    )
-    return F.coalesce(both, F.lit(False))
-
-
-def iso_date(raw: Column) -> Column:
-    """ISO text to date; blank or unreadable text becomes NULL."""
-    return _when_shaped(F.trim(raw), ISO, "yyyy-M-d")
+    return _day_first(text).isNotNull() & _month_first(text).isNotNull()
 
 
 def month_of(date: Column) -> Column:

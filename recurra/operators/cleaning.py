@@ -8,12 +8,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recurra.functions.dates import is_ambiguous_date, iso_date, messy_date
+from recurra.functions.dates import first_of_month, is_ambiguous_date, iso_date, messy_date
 from recurra.functions.money import is_formatted_amount, parse_amount, rounded_percent
 from recurra.functions.text import canonical_country, comparable_name
 from recurra.operators.invoices import priced_subscriptions
 from recurra.operators.joins import spread_join
 from recurra.schemas import PRICE, PRIMARY_KEYS
+from recurra.session import cut_lineage
 
 # An amount above 5 times or below 0.2 times the list price is an outlier.
 _TOO_HIGH, _TOO_LOW = "5.0", "0.2"
@@ -130,7 +131,7 @@ def clean_invoices(invoices: DataFrame, subscriptions: DataFrame, plans: DataFra
 
 def clean_usage(usage: DataFrame, remap: DataFrame) -> DataFrame:
     """Rows of merged customers meet in the same month, so counts are summed."""
-    month = F.try_to_date("month", "yyyy-MM").alias("usage_month")
+    month = first_of_month(F.col("month")).alias("usage_month")
     typed = usage.select("customer_id", month, "login_count", "feature_usage_count")
     merged = remap_customer_id(typed, remap, ["usage_month", "login_count", "feature_usage_count"])
     return merged.groupBy("customer_id", "usage_month").agg(
@@ -153,8 +154,8 @@ def clean_plans(plans: DataFrame) -> DataFrame:
 
 
 def clean_tables(raw: Mapping[str, DataFrame], remap: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All six clean tables. Pass a remap that is already written to keep it from being computed per table."""
-    remap = customer_remap(raw["customers"]) if remap is None else remap
+    """All six clean tables; four of them need the duplicate map, which is computed and written once."""
+    remap = cut_lineage(customer_remap(raw["customers"])) if remap is None else remap
     subscriptions = clean_subscriptions(raw["subscriptions"], remap)
     plans = clean_plans(raw["plans"])
     return {
@@ -200,7 +201,7 @@ def _customer_log(customers: DataFrame, remap: DataFrame) -> list[DataFrame]:
 
 def cleaning_log(raw: Mapping[str, DataFrame]) -> DataFrame:
     """What cleaning met and did, as (table_name, metric, value); one aggregate per table."""
-    remap = customer_remap(raw["customers"])
+    remap = cut_lineage(customer_remap(raw["customers"]))
     start, day, amount = F.col("start_date"), F.col("invoice_date"), F.col("amount")
     rows_in, rows_out = F.count("*").alias("rows_in"), F.count("*").alias("rows_out")
     flagged = with_outlier_flag(

@@ -35,7 +35,7 @@ def retention(
     cut = joined.withColumn(
         "first_month", F.greatest("first_month", F.add_months("cohort_month", min(offsets)))
     ).withColumn("last_month", F.least("last_month", F.add_months("cohort_month", max(offsets))))
-    months = explode_months(cut.where(F.col("first_month") <= F.col("last_month"))).distinct()
+    months = explode_months(cut).distinct()
     offset = months_apart(F.col("month"), F.col("cohort_month"))
     counts = (
         months.withColumn("months_since_signup", offset)

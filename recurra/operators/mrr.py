@@ -30,12 +30,17 @@ def monthly_value(cycle: Column, monthly_price: Column, annual_price: Column) ->
     )
 
 
-def subscription_mrr(subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
-    prices = plans.select("plan_id", "monthly_price", "annual_price")
+def price_subscriptions(subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
+    """Subscriptions with mrr and plan_tier."""
+    prices = plans.select("plan_id", "monthly_price", "annual_price", F.col("tier").alias("plan_tier"))
     value = monthly_value(F.col("billing_cycle"), F.col("monthly_price"), F.col("annual_price"))
-    return lookup_join(subscriptions, prices, "plan_id").select(
-        "subscription_id", "customer_id", "plan_id", "billing_cycle", "start_date", "end_date", "status",
-        value.alias("mrr"),
+    priced = lookup_join(subscriptions, prices, "plan_id").withColumn("mrr", value)
+    return priced.drop("monthly_price", "annual_price")
+
+
+def subscription_mrr(subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
+    return price_subscriptions(subscriptions, plans).select(
+        "subscription_id", "customer_id", "plan_id", "billing_cycle", "start_date", "end_date", "status", "mrr"
     )
 
 
@@ -104,25 +109,23 @@ def monthly_mrr(mrr: DataFrame, *, snapshot: date, horizon: str = TO_LAST_END) -
     return explode_months(cents).groupBy("month").agg(F.sum("cents").alias("cents"))
 
 
-def segment_months(mrr: DataFrame, plans: DataFrame, customers: DataFrame, *, snapshot: date) -> DataFrame:
+def segment_months(priced: DataFrame, customers: DataFrame, *, snapshot: date) -> DataFrame:
     """month, plan_tier, acquisition_channel, country, customer_id, cents; placed by customer."""
-    ranged = with_month_range(mrr, convention=MONTH_START, snapshot=snapshot)
-    merged = customer_ranges(ranged, ["customer_id", "plan_id"], F.sum(to_cents(F.col("mrr"))).alias("cents"))
-    tiers = plans.select("plan_id", F.col("tier").alias("plan_tier"))
+    ranged = with_month_range(priced, convention=MONTH_START, snapshot=snapshot)
+    merged = customer_ranges(ranged, ["customer_id", "plan_tier"], F.sum(to_cents(F.col("mrr"))).alias("cents"))
     who = customers.select(
         "customer_id", "country", F.coalesce("acquisition_channel", F.lit(UNKNOWN)).alias("acquisition_channel")
     )
-    segmented = lookup_join(merged, tiers, "plan_id").drop("plan_id").join(who, "customer_id")
     return (
-        explode_months(segmented)
+        explode_months(merged.join(who, "customer_id"))
         .groupBy("customer_id", "month", "plan_tier", "acquisition_channel", "country")
         .agg(F.sum("cents").alias("cents"))
     )
 
 
-def pivot_source(mrr: DataFrame, plans: DataFrame, customers: DataFrame, *, snapshot: date) -> DataFrame:
+def pivot_source(subscriptions: DataFrame, plans: DataFrame, customers: DataFrame, *, snapshot: date) -> DataFrame:
     """MRR and distinct customers by month, plan tier, channel and country (a NULL country is a group)."""
-    rows = segment_months(mrr, plans, customers, snapshot=snapshot)
+    rows = segment_months(price_subscriptions(subscriptions, plans), customers, snapshot=snapshot)
     # One row per customer and cell at this point, so a plain count is the distinct count.
     cells = rows.groupBy("month", "plan_tier", "acquisition_channel", "country").agg(
         F.sum("cents").alias("cents"), F.count("*").alias("active_customers")

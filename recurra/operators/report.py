@@ -9,31 +9,29 @@ from pyspark.sql import functions as F
 
 from recurra.functions.money import from_cents
 from recurra.operators.churn import cancellations_by_month
-from recurra.operators.mrr import segment_months
+from recurra.operators.mrr import price_subscriptions, segment_months
+from recurra.operators.spine import months_between
 
 # Fixed value: a monthly logo churn rate above this is red.
 CHURN_LIMIT = 0.05
 
 
-def monthly_summary(mrr: DataFrame, plans: DataFrame, customers: DataFrame, *, snapshot: date) -> DataFrame:
+def monthly_summary(subscriptions: DataFrame, plans: DataFrame, customers: DataFrame, *, snapshot: date) -> DataFrame:
     """One row per calendar month between the first and the last month with revenue.
 
     active_customers adds up the distinct customers of each report cell, so a customer with two plan tiers
     counts twice; active_customers_distinct counts each customer once.
     """
-    rows = segment_months(mrr, plans, customers, snapshot=snapshot)
+    priced = price_subscriptions(subscriptions, plans)
+    rows = segment_months(priced, customers, snapshot=snapshot)
     per_customer = rows.groupBy("customer_id", "month").agg(F.sum("cents").alias("cents"), F.count("*").alias("cells"))
     totals = per_customer.groupBy("month").agg(
         F.sum("cents").alias("cents"), F.sum("cells").alias("active_customers"),
         F.count("*").alias("active_customers_distinct"),
     )
-    months = totals.agg(F.min("month").alias("first"), F.max("month").alias("last")).where(
-        F.col("first").isNotNull()
-    )
-    spine = months.select(
-        F.explode(F.sequence(F.col("first"), F.col("last"), F.expr("interval 1 month"))).alias("month")
-    )
-    filled = spine.join(totals, "month", "left").join(cancellations_by_month(mrr), "month", "left").fillna(
+    months = totals.agg(F.min("month").alias("first"), F.max("month").alias("last"))
+    spine = months_between(months, "first", "last")
+    filled = spine.join(totals, "month", "left").join(cancellations_by_month(priced), "month", "left").fillna(
         0, ["cents", "active_customers", "active_customers_distinct", "customers_cancelled"]
     )
     # One row per calendar month: the only window here without a partition key orders a few hundred rows.

@@ -16,7 +16,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recurra.functions.dates import month_of
+from recurra.functions.dates import month_of, months_apart
 from recurra.operators.joins import with_scalar
 
 MONTH_START = "month_start"
@@ -26,13 +26,6 @@ OVERLAP = "overlap"
 TO_SNAPSHOT = "snapshot"
 TO_LAST_END = "last_end"
 
-_ONE_MONTH = "interval 1 month"
-
-
-def _sequence(first: Column, last: Column) -> Column:
-    return F.sequence(first, last, F.expr(_ONE_MONTH))
-
-
 def _check(value: str, allowed: Sequence[str]) -> None:
     if value not in allowed:
         raise ValueError(f"expected one of {allowed}, not {value!r}")
@@ -49,9 +42,17 @@ def month_spine(subscriptions: DataFrame, *, snapshot: date, horizon: str = TO_L
     end = F.coalesce(F.col("end_date"), F.lit(snapshot))
     last = F.max(end) if horizon == TO_LAST_END else F.lit(snapshot)
     bounds = subscriptions.agg(month_of(F.min("start_date")).alias("first"), month_of(last).alias("last"))
-    return bounds.where(F.col("first") <= F.col("last")).select(
-        F.explode(_sequence(F.col("first"), F.col("last"))).alias("month")
-    )
+    return months_between(bounds, "first", "last").select("month")
+
+
+def months_between(df: DataFrame, first: str, last: str) -> DataFrame:
+    """One row per month from `first` to `last`, both first days of a month; none if they cross.
+
+    Counting whole offsets and adding them is several times faster than a sequence of dates.
+    """
+    offsets = F.sequence(F.lit(0), months_apart(F.col(last), F.col(first)))
+    stepped = df.where(F.col(first) <= F.col(last)).withColumn("_offset", F.explode(offsets))
+    return stepped.withColumn("month", F.add_months(first, F.col("_offset"))).drop("_offset", first, last)
 
 
 def with_month_range(
@@ -78,8 +79,7 @@ def with_month_range(
 
 
 def explode_months(ranged: DataFrame) -> DataFrame:
-    months = _sequence(F.col("first_month"), F.col("last_month"))
-    return ranged.withColumn("month", F.explode(months)).drop("first_month", "last_month")
+    return months_between(ranged, "first_month", "last_month")
 
 
 def active_months(subscriptions: DataFrame, *, convention: str, snapshot: date, horizon: str = TO_SNAPSHOT) -> DataFrame:

@@ -49,8 +49,9 @@ def _clean(t: DerivedTables) -> dict[str, DataFrame]:
 
 
 def _reconcile_churn(t: DerivedTables) -> DataFrame:
+    priced = _mrr(t)
     return quality.reconcile(
-        churn.monthly_churn(_mrr(t), snapshot=SNAPSHOT), churn.fact_churn_by_month(_mrr(t), snapshot=SNAPSHOT),
+        churn.monthly_churn(priced, snapshot=SNAPSHOT), churn.fact_churn_by_month(priced, snapshot=SNAPSHOT),
         ["month"], ["active_customers", "customers_churned", "churned_mrr"],
     )
 
@@ -82,11 +83,11 @@ def _clv(t: DerivedTables, segment: str) -> DataFrame:
 
 
 def _summary(t: DerivedTables) -> DataFrame:
-    return report.monthly_summary(_mrr(t), t["plans"], t["customers"], snapshot=SNAPSHOT)
+    return report.monthly_summary(t["subscriptions"], t["plans"], t["customers"], snapshot=SNAPSHOT)
 
 
 def _pivot_source(t: DerivedTables) -> DataFrame:
-    return mrr.pivot_source(_mrr(t), t["plans"], t["customers"], snapshot=SNAPSHOT)
+    return mrr.pivot_source(t["subscriptions"], t["plans"], t["customers"], snapshot=SNAPSHOT)
 
 
 def _with_customers(operator: Callable[..., DataFrame], t: DerivedTables) -> DataFrame:
@@ -116,7 +117,9 @@ _BUILDERS: dict[str, Callable[[DerivedTables], DataFrame]] = {
     "flag_invoice_outliers": lambda t: cleaning.flag_invoice_outliers(
         t["unflagged_invoices"], t["subscriptions"], t["plans"]
     ),
-    "clean_invoices": lambda t: _clean(t)["invoices"],
+    "clean_invoices": lambda t: cleaning.clean_invoices(
+        t["raw_invoices"], t["raw_subscriptions"], cleaning.clean_plans(t["raw_plans"])
+    ),
     "clean_usage": lambda t: cleaning.clean_usage(t["raw_usage_monthly"], _remap(t)),
     "clean_tickets": lambda t: cleaning.clean_tickets(t["raw_support_tickets"], _remap(t)),
     "cleaning_log": lambda t: cleaning.cleaning_log(t.raw()),

@@ -253,7 +253,7 @@ _CTES = {
         SELECT month, {_dbl('total_mrr')} AS total_mrr, active_customers, active_customers_distinct, customers_cancelled,
                {_dbl('churned_mrr')} AS churned_mrr,
                coalesce({_dbl('customers_cancelled')} / nullif(active_customers, 0), 0) AS logo_churn_rate,
-               {_dbl(_cents('total_mrr - before'))} / nullif({_cents('before')}, 0) AS mom_growth_pct
+               {_dbl(_cents("total_mrr - before"))} / nullif({_cents('before')}, 0) AS mom_growth_pct
         FROM summary""",
 }
 _CTES["report_waterfall"] = _CTES["waterfall"].replace("{held}", "report_held")

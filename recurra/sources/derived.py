@@ -94,8 +94,9 @@ FROM {{lineitem}} JOIN {{subscriptions}} s ON s.subscription_id = l_orderkey
 _USAGE = f"""
 SELECT customer_id, usage_month, CAST(sum(quantity) AS BIGINT) AS login_count, count(*) AS feature_usage_count
 FROM (SELECT o_custkey AS customer_id, l_quantity AS quantity,
-             CAST(date_trunc('month', least(CAST(l_shipdate AS DATE), {_AS_OF})) AS DATE) AS usage_month
-      FROM {{lineitem}} JOIN {{orders}} ON o_orderkey = l_orderkey) u
+             make_date(year(shipped), month(shipped), 1) AS usage_month
+      FROM (SELECT l_orderkey, l_quantity, least(CAST(l_shipdate AS DATE), {_AS_OF}) AS shipped FROM {{lineitem}}) l
+           JOIN {{orders}} ON o_orderkey = l_orderkey) u
 GROUP BY customer_id, usage_month
 """
 
@@ -152,7 +153,7 @@ _RAW_USAGE = f"""
 SELECT customer_id, substr(CAST(usage_month AS STRING), 1, 7) AS month, login_count, feature_usage_count
 FROM {{usage_monthly}}
 UNION ALL
-SELECT customer_id + {_DUPLICATE}, substr(CAST(usage_month AS STRING), 1, 7), CAST(1 AS BIGINT), CAST(1 AS BIGINT)
+SELECT customer_id + {_DUPLICATE}, substr(CAST(usage_month AS STRING), 1, 7), login_count, feature_usage_count
 FROM {{usage_monthly}}
 """
 
@@ -162,7 +163,15 @@ SELECT ticket_id, {_sometimes_duplicate('ticket_id')} AS customer_id, CAST(creat
 FROM {{support_tickets}}
 """
 
-SOURCES = ("customer", "orders", "lineitem", "part", "events")
+# Columns that are read, with their stored types; naming them spares a job per file to look them up.
+SOURCES = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "part": "p_type string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string",
+}
 
 # In an order in which each text only names sources and earlier tables.
 MAPPING = {
@@ -195,7 +204,7 @@ class DerivedTables(Mapping):
                 needed = {n: self[n] for n in (*SOURCES, *MAPPING) if "{" + n + "}" in MAPPING[name]}
                 self._built[name] = self._spark.sql(MAPPING[name], **needed)
             elif name in SOURCES:
-                self._built[name] = self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+                self._built[name] = self._spark.read.schema(SOURCES[name]).parquet(f"{self._folder}/{name}.parquet")
             else:
                 raise KeyError(name)
         return self._built[name]

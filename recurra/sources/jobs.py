@@ -6,20 +6,14 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recurra.operators.cleaning import clean_tables, customer_remap
+from recurra.operators.cleaning import clean_tables
 from recurra.operators.star import star_tables
-from recurra.session import cut_lineage
 from recurra.sources.tables import publish_star, read_clean, read_raw, write_clean
 
 
 def run_cleaning(spark: SparkSession, raw_folder: str, clean_folder: str, fmt: str = "csv") -> dict[str, DataFrame]:
-    """Clean the raw tables in a folder and return the written result.
-
-    Four tables need the duplicate map, so it is checkpointed once instead of being computed four times.
-    """
-    raw = read_raw(spark, raw_folder, fmt)
-    remap = cut_lineage(customer_remap(raw["customers"]))
-    write_clean(clean_tables(raw, remap), clean_folder)
+    """Clean the raw tables in a folder and return the written result."""
+    write_clean(clean_tables(read_raw(spark, raw_folder, fmt)), clean_folder)
     return read_clean(spark, clean_folder)
 
 
