@@ -26,7 +26,12 @@ HEADLINE = (
 def run(names: list[str], folder: str, cpus: str) -> dict[str, float]:
     spark = build_session(
         "bench", f"local[{cpus}]",
-        **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g")},
+        **{
+            "spark.sql.shuffle.partitions": cpus,
+            "spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g"),
+            # The bench tables are a few megabytes; at the default of 1 MB most cores would idle.
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     registered = queries()

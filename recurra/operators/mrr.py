@@ -21,6 +21,7 @@ from recurra.operators.spine import (
 from recurra.schemas import PRICE
 
 UNKNOWN = "Unknown"
+SEGMENTS = ("plan_tier", "acquisition_channel", "country")
 
 
 def monthly_value(cycle: Column, monthly_price: Column, annual_price: Column) -> Column:
@@ -109,16 +110,18 @@ def monthly_mrr(mrr: DataFrame, *, snapshot: date, horizon: str = TO_LAST_END) -
     return explode_months(cents).groupBy("month").agg(F.sum("cents").alias("cents"))
 
 
-def segment_months(priced: DataFrame, customers: DataFrame, *, snapshot: date) -> DataFrame:
-    """month, plan_tier, acquisition_channel, country, customer_id, cents; placed by customer."""
+def segment_months(
+    priced: DataFrame, customers: DataFrame, *, snapshot: date, segments: Sequence[str] = SEGMENTS
+) -> DataFrame:
+    """customer_id, month, *segments, cents; placed by customer, for customers on record."""
     ranged = with_month_range(priced, convention=MONTH_START, snapshot=snapshot)
     merged = customer_ranges(ranged, ["customer_id", "plan_tier"], F.sum(to_cents(F.col("mrr"))).alias("cents"))
-    who = customers.select(
-        "customer_id", "country", F.coalesce("acquisition_channel", F.lit(UNKNOWN)).alias("acquisition_channel")
-    )
+    channel = F.coalesce("acquisition_channel", F.lit(UNKNOWN)).alias("acquisition_channel")
+    of_customer = [channel if c == "acquisition_channel" else F.col(c) for c in segments if c != "plan_tier"]
+    who = customers.select("customer_id", *of_customer)
     return (
         explode_months(merged.join(who, "customer_id"))
-        .groupBy("customer_id", "month", "plan_tier", "acquisition_channel", "country")
+        .groupBy("customer_id", "month", *segments)
         .agg(F.sum("cents").alias("cents"))
     )
 
@@ -127,12 +130,11 @@ def pivot_source(subscriptions: DataFrame, plans: DataFrame, customers: DataFram
     """MRR and distinct customers by month, plan tier, channel and country (a NULL country is a group)."""
     rows = segment_months(price_subscriptions(subscriptions, plans), customers, snapshot=snapshot)
     # One row per customer and cell at this point, so a plain count is the distinct count.
-    cells = rows.groupBy("month", "plan_tier", "acquisition_channel", "country").agg(
+    cells = rows.groupBy("month", *SEGMENTS).agg(
         F.sum("cents").alias("cents"), F.count("*").alias("active_customers")
     )
     return cells.select(
-        "month", "plan_tier", "acquisition_channel", "country", from_cents(F.col("cents")).alias("mrr"),
-        "active_customers",
+        "month", *SEGMENTS, from_cents(F.col("cents")).alias("mrr"), "active_customers"
     )
 
 

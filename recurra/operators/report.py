@@ -23,7 +23,8 @@ def monthly_summary(subscriptions: DataFrame, plans: DataFrame, customers: DataF
     counts twice; active_customers_distinct counts each customer once.
     """
     priced = price_subscriptions(subscriptions, plans)
-    rows = segment_months(priced, customers, snapshot=snapshot)
+    # Channel and country are the customer's own, so the cells of a customer in a month differ by tier only.
+    rows = segment_months(priced, customers, snapshot=snapshot, segments=["plan_tier"])
     per_customer = rows.groupBy("customer_id", "month").agg(F.sum("cents").alias("cents"), F.count("*").alias("cells"))
     totals = per_customer.groupBy("month").agg(
         F.sum("cents").alias("cents"), F.sum("cells").alias("active_customers"),
