@@ -23,31 +23,35 @@ def first_of_month(raw: Column) -> Column:
     return F.when(text.rlike(YEAR_MONTH), F.concat(text, F.lit("-01")).try_cast("date"))
 
 
-def _slash_date(text: Column, order: str) -> Column:
+def _rearranged(text: Column, order: str) -> Column:
     # Rewritten to ISO and cast: an impossible date is a plain NULL, where a failing pattern parse
     # would raise and catch inside the JVM for row after row.
-    return F.when(text.rlike(SLASHED), F.regexp_replace(text, SLASHED, order).try_cast("date"))
+    return F.regexp_replace(text, SLASHED, order).try_cast("date")
 
 
 def _day_first(text: Column) -> Column:
-    return _slash_date(text, "$3-$2-$1")
+    return _rearranged(text, "$3-$2-$1")
 
 
 def _month_first(text: Column) -> Column:
-    return _slash_date(text, "$3-$1-$2")
+    return _rearranged(text, "$3-$1-$2")
 
 
 def messy_date(raw: Column) -> Column:
-    """ISO, then day-month name-year, then slashes: day first if that is a date, else month first."""
+    """ISO, or day-month name-year, or slashes: day first if that is a date, else month first."""
     text = F.trim(raw)
-    named = F.when(text.rlike(NAMED_MONTH), F.try_to_date(text, "d-MMM-yyyy"))
-    return F.coalesce(iso_date(raw), named, _day_first(text), _month_first(text))
+    return (
+        F.when(text.rlike(ISO), text.try_cast("date"))
+        .when(text.rlike(NAMED_MONTH), F.try_to_date(text, "d-MMM-yyyy"))
+        .when(text.rlike(SLASHED), F.coalesce(_day_first(text), _month_first(text)))
+    )
 
 
 def is_ambiguous_date(raw: Column) -> Column:
     """True where a slash date reads as a valid date both ways round, equal parts included."""
     text = F.trim(raw)
-    return _day_first(text).isNotNull() & _month_first(text).isNotNull()
+    both = _day_first(text).isNotNull() & _month_first(text).isNotNull()
+    return F.when(text.rlike(SLASHED), both).otherwise(False)
 
 
 def month_of(date: Column) -> Column:

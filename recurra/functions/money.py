@@ -12,11 +12,11 @@ _WIDE = "decimal(38,0)"
 
 def parse_amount(raw: Column) -> Column:
     """'$1,234.00' to 1234.00; text that is no number becomes NULL."""
-    return F.trim(F.regexp_replace(raw, "[$,]", "")).try_cast(MONEY)
+    return F.trim(F.translate(raw, "$,", "")).try_cast(MONEY)
 
 
 def is_formatted_amount(raw: Column) -> Column:
-    return F.coalesce(raw.rlike("[$,]"), F.lit(False))
+    return F.coalesce(raw.contains("$") | raw.contains(","), F.lit(False))
 
 
 def to_cents(amount: Column) -> Column:

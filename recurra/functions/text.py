@@ -39,6 +39,6 @@ def comparable_name(raw: Column) -> Column:
 
     A name with nothing left is NULL: nameless customers are not one company.
     """
-    bare = F.regexp_replace(F.lower(raw), r"[.,-]", "")
+    bare = F.translate(F.lower(raw), ".,-", "")
     spaced = F.trim(F.regexp_replace(bare, r"(?U)\s+", " "))
     return F.nullif(spaced, F.lit(""))
