@@ -38,13 +38,12 @@ def shared_dir(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="recurra-checkpoint-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    return tempfile.mkdtemp(prefix="recurra-checkpoint-")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the result survives the loss of any executor and is computed once."""
-    spark = df.sparkSession
-    spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
