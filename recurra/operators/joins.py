@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 # A lookup of this many narrow rows takes a few megabytes on each executor.
 LOOKUP_MAX_ROWS = 50_000
-SALTS = 16
+SALTS = 8
 
 
 def lookup_join(fact: DataFrame, lookup: DataFrame, on: str, how: str = "inner") -> DataFrame:

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from recurra.functions.dates import months_apart
 from recurra.functions.money import from_cents
 from recurra.operators.churn import cancellations_by_month
 from recurra.operators.mrr import price_subscriptions, segment_months
-from recurra.operators.spine import months_between
 
 # Fixed value: a monthly logo churn rate above this is red.
 CHURN_LIMIT = 0.05
@@ -30,12 +30,19 @@ def monthly_summary(subscriptions: DataFrame, plans: DataFrame, customers: DataF
         F.sum("cents").alias("cents"), F.sum("cells").alias("active_customers"),
         F.count("*").alias("active_customers_distinct"),
     )
-    months = totals.agg(F.min("month").alias("first"), F.max("month").alias("last"))
-    spine = months_between(months, "first", "last")
-    filled = spine.join(totals, "month", "left").join(cancellations_by_month(priced), "month", "left").fillna(
-        0, ["cents", "active_customers", "active_customers_distinct", "customers_cancelled"]
+    # Windows without a key from here on: they order one row per month, a few hundred at most.
+    following = F.lead("month").over(Window.orderBy("month"))
+    gap = F.coalesce(months_apart(following, F.col("month")), F.lit(1))
+    stepped = totals.withColumn("gap", gap).withColumn("step", F.explode(F.sequence(F.lit(0), F.col("gap") - 1)))
+
+    def unless_filler(name: str) -> Column:
+        return F.when(F.col("step") == 0, F.col(name)).otherwise(0).alias(name)
+
+    spine = stepped.select(
+        F.add_months("month", F.col("step")).alias("month"),
+        *[unless_filler(c) for c in ("cents", "active_customers", "active_customers_distinct")],
     )
-    # One row per calendar month: the only window here without a partition key orders a few hundred rows.
+    filled = spine.join(cancellations_by_month(priced), "month", "left").fillna(0, ["customers_cancelled"])
     before = F.lag("cents").over(Window.orderBy("month"))
     return filled.withColumn("before", before).select(
         "month", from_cents(F.col("cents")).alias("total_mrr"), "active_customers", "active_customers_distinct",

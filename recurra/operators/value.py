@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from recurra.functions.money import from_cents, rounded_ratio, rounded_units, to_cents
 from recurra.operators import ranks
-from recurra.operators.joins import lookup_join, with_scalar
+from recurra.operators.joins import lookup_join
 from recurra.operators.mrr import UNKNOWN
 
 # Fixed value: the average length of a month in days, and the same in hundredths of a day.
@@ -120,7 +120,7 @@ def tenure_summary(subscriptions: DataFrame, *, snapshot: date) -> DataFrame:
 
 def tenure_histogram(subscriptions: DataFrame, *, snapshot: date, bins: int = 30) -> DataFrame:
     days = ranks.value_counts(_tenure_days(subscriptions, snapshot=snapshot), "tenure_days")
-    return ranks.equal_width_bins(days, bins, F.lit(DAYS_PER_MONTH))
+    return ranks.equal_width_bins(days, ranks.bounds(days), bins, F.lit(DAYS_PER_MONTH))
 
 
 def _arpu_micros(subscriptions: DataFrame, invoices: DataFrame, *, snapshot: date) -> DataFrame:
@@ -159,10 +159,11 @@ def arpu_histogram(
 ) -> DataFrame:
     """Equal-width bins over values capped at the exact percentile (linear between neighbours)."""
     micros = ranks.value_counts(_arpu_micros(subscriptions, invoices, snapshot=snapshot), "micros")
-    around = ranks.quantile_neighbours(micros, cap_percent)
     # Hundredths of a millionth: fine enough for the interpolated cap to be whole.
     cap = F.col("low") * 100 + (F.col("high") - F.col("low")) * F.col("hundredths")
-    capped = with_scalar(micros, around.select(cap.alias("cap"))).select(
-        F.least(F.col("value") * 100, F.col("cap")).alias("value"), "n"
+    limits = ranks.quantile_neighbours(micros, cap_percent).select(
+        cap.alias("cap"), F.least(F.col("lowest") * 100, cap).alias("lowest"),
+        F.least(F.col("highest") * 100, cap).alias("highest"),
     )
-    return ranks.equal_width_bins(capped, bins, F.lit(100.0 * _MICROS))
+    capped = F.least(F.col("value") * 100, F.col("cap"))
+    return ranks.equal_width_bins(micros, limits, bins, F.lit(100.0 * _MICROS), capped)

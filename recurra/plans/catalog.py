@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import partial
+import uuid
+from collections.abc import Callable, Mapping
+from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -22,6 +23,7 @@ from recurra.operators import (
     usage,
     value,
 )
+from recurra.session import shared_dir
 from recurra.sources import tables as io
 from recurra.sources.derived import SNAPSHOT, DerivedTables
 
@@ -90,6 +92,43 @@ def _pivot_source(t: DerivedTables) -> DataFrame:
     return mrr.pivot_source(t["subscriptions"], t["plans"], t["customers"], snapshot=SNAPSHOT)
 
 
+def _stored_cells(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows and filled cells of each table."""
+    parts = []
+    for name, df in tables.items():
+        filled = reduce(Column.__add__, [F.count(c) for c in df.columns])
+        parts.append(
+            df.agg(F.count("*").alias("n_rows"), filled.alias("n_values")).select(
+                F.lit(name).alias("table_name"), "n_rows", "n_values"
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _new_folder(t: DerivedTables, purpose: str) -> str:
+    return f"{shared_dir(t.spark)}/recurra-{purpose}-{uuid.uuid4().hex}"
+
+
+def _read_raw(t: DerivedTables) -> DataFrame:
+    folder = _new_folder(t, "raw")
+    for name, df in t.raw().items():
+        df.write.option("header", True).csv(f"{folder}/{name}")
+    return _stored_cells(io.read_raw(t.spark, folder))
+
+
+def _write_clean(t: DerivedTables) -> DataFrame:
+    folder = _new_folder(t, "clean")
+    io.write_clean(_clean(t), folder)
+    return _stored_cells(io.read_clean(t.spark, folder))
+
+
+def _publish_star(t: DerivedTables) -> DataFrame:
+    folder = _new_folder(t, "star")
+    tables = star.star_tables(t.clean(), snapshot=SNAPSHOT)
+    io.publish_star(tables, folder)
+    return _stored_cells({name: t.spark.read.parquet(f"{folder}/{name}") for name in tables})
+
+
 def _with_customers(operator: Callable[..., DataFrame], t: DerivedTables) -> DataFrame:
     return operator(t["customers"], t["subscriptions"], snapshot=SNAPSHOT)
 
@@ -99,7 +138,10 @@ def _with_invoices(operator: Callable[..., DataFrame], t: DerivedTables) -> Data
 
 
 _BUILDERS: dict[str, Callable[[DerivedTables], DataFrame]] = {
-    # sources and sinks
+    # sources and sinks; the first three write whole tables to the shared folder and read them back
+    "read_raw": _read_raw,
+    "write_clean": _write_clean,
+    "publish_star": _publish_star,
     "register_views": lambda t: io.register_views({"subscriptions": t["subscriptions"], "plans": t["plans"]}),
     "metrics_table": _metrics,
     # cleaning

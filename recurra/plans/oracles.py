@@ -11,7 +11,7 @@ import re
 
 from recurra.functions.text import COUNTRY_SPELLINGS
 from recurra.plans.catalog import PROFILED, TIERS
-from recurra.schemas import CLEAN, DOMAINS, FOREIGN_KEYS, PRIMARY_KEYS, REQUIRED
+from recurra.schemas import CLEAN, DOMAINS, FOREIGN_KEYS, PRIMARY_KEYS, RAW, REQUIRED
 from recurra.sources.derived import MAPPING, SNAPSHOT, SOURCES
 
 _SNAP = f"DATE '{SNAPSHOT.isoformat()}'"
@@ -354,6 +354,11 @@ def _reconcile() -> str:
     return _union(parts)
 
 
+def _cells(table: str, columns: list[str], source: str) -> str:
+    filled = " + ".join(f"count({c})" for c in columns)
+    return f"SELECT '{table}' AS table_name, count(*) AS n_rows, {filled} AS n_values FROM {source}"
+
+
 def _clv_by(segment: str, source: str = "clv") -> str:
     return f"""
         SELECT coalesce({segment}, 'Unknown') AS {segment}, count(*) AS customers,
@@ -557,6 +562,25 @@ _QUERIES = {
 }
 
 
+_RETENTION = ["cohort_month", "cohort_size", "months_since_signup", "active_customers", "retention_pct"]
+_STAR = {
+    "dim_customer": ["customer_id", "company_name", "country", "company_size_band", "acquisition_channel", "signup_date"],
+    "dim_plan": ["plan_id", "plan_name", "tier", "monthly_price", "annual_price"],
+    "fact_monthly_subscription": ["month", "customer_id", "plan_id", "mrr"],
+    "fact_mrr_waterfall": ["month", "customer_id", "mrr", "prev_mrr", "movement_type", "mrr_delta"],
+    "fact_churn_by_month": ["month", "active_customers", "customers_churned", "churned_mrr", "logo_churn_rate_pct"],
+    "fact_cohort_retention": _RETENTION,
+    "fact_customer_clv": [
+        "customer_id", "country", "company_size_band", "acquisition_channel", "total_revenue", "tenure_months"
+    ],
+}
+_QUERIES |= {
+    "read_raw": _union([_cells(t, RAW[t].names, f"raw_{t}") for t in RAW]),
+    "write_clean": _union([_cells(t, CLEAN[t].names, f"c_{t}") for t in CLEAN]),
+    "publish_star": _union([_cells(t, columns, f"({_QUERIES[t]})") for t, columns in _STAR.items()]),
+}
+
+
 def _named(text: str) -> set[str]:
     return set(re.findall(r"[a-z_0-9]+", text)) & set(_CTES)
 

@@ -194,7 +194,7 @@ class DerivedTables(Mapping):
     """The derived tables by name, each a lazy plan over the Parquet files in `folder`."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self._spark = spark
+        self.spark = spark
         self._folder = folder
         self._built: dict[str, DataFrame] = {}
 
@@ -202,9 +202,9 @@ class DerivedTables(Mapping):
         if name not in self._built:
             if name in MAPPING:
                 needed = {n: self[n] for n in (*SOURCES, *MAPPING) if "{" + n + "}" in MAPPING[name]}
-                self._built[name] = self._spark.sql(MAPPING[name], **needed)
+                self._built[name] = self.spark.sql(MAPPING[name], **needed)
             elif name in SOURCES:
-                self._built[name] = self._spark.read.schema(SOURCES[name]).parquet(f"{self._folder}/{name}.parquet")
+                self._built[name] = self.spark.read.schema(SOURCES[name]).parquet(f"{self._folder}/{name}.parquet")
             else:
                 raise KeyError(name)
         return self._built[name]

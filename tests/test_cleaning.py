@@ -11,6 +11,7 @@ from tables import SNAPSHOT, by, customers, plans, raw, rows, subscriptions
 
 from recurra.operators import cleaning, joins, quality
 from recurra.operators.star import star_tables
+from recurra.operators.usage import trailing_usage
 from recurra.session import CHECKPOINT_CONF, shared_dir
 from recurra.sources import tables as io
 from recurra.sources.jobs import run_cleaning, run_star
@@ -200,6 +201,10 @@ def test_publishing_needs_clean_tables(spark, tmp_path):
             io.publish_tables(written, "default")
         assert {r["n_rows"] for r in quality.table_row_counts({"invoices": spark.table("default.invoices")}).collect()} == {3}
         assert spark.table("default.customers").schema == written["customers"].schema
+        io.publish_tables(written, "default", buckets=4)
+        stored = spark.table("default.usage_monthly")
+        assert sorted(rows(stored)) == sorted(rows(written["usage_monthly"]))
+        assert "Exchange" not in trailing_usage(stored)._jdf.queryExecution().executedPlan().toString()
     finally:
         for name in written:
             spark.sql(f"DROP TABLE IF EXISTS default.{name}")

@@ -39,7 +39,8 @@ def test_median_and_mean(spark, name):
 @pytest.mark.parametrize("percent", [0, 1, 50, 99, 100])
 def test_quantile_neighbours(spark, percent):
     values = sorted(SAMPLES["many magnitudes"])
-    n, hundredths, low, high = rows(ranks.quantile_neighbours(counted(spark, values), percent))[0]
+    found = ranks.quantile_neighbours(counted(spark, values), percent)
+    n, hundredths, low, high = rows(found.select("n", "hundredths", "low", "high"))[0]
     place = (n - 1) * percent
     assert (low, hundredths) == (values[place // 100], place % 100)
     assert high == values[min(place // 100 + 1, n - 1)]
@@ -53,14 +54,16 @@ def test_narrow_values_skip_the_first_step(spark):
 @pytest.mark.parametrize("name", ["two", "negative", "hot value"])
 def test_histogram(spark, name):
     values = SAMPLES[name]
-    found = sorted(rows(ranks.equal_width_bins(counted(spark, values), 30, F.lit(1.0))))
+    counts = counted(spark, values)
+    found = sorted(rows(ranks.equal_width_bins(counts, ranks.bounds(counts), 30, F.lit(1.0))))
     heights, edges = np.histogram(values, bins=30)
     assert [n for *_, n in found] == heights.tolist()
     assert [low for _, low, *_ in found] == pytest.approx(edges[:-1].tolist())
 
 
 def test_a_histogram_of_one_value(spark):
-    found = sorted(rows(ranks.equal_width_bins(counted(spark, [5, 5, 5]), 4, F.lit(1.0))))
+    counts = counted(spark, [5, 5, 5])
+    found = sorted(rows(ranks.equal_width_bins(counts, ranks.bounds(counts), 4, F.lit(1.0))))
     assert [n for *_, n in found] == [3, 0, 0, 0]
 
 
