@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recurra.functions.dates import month_of
@@ -12,16 +12,19 @@ from recurra.functions.money import from_cents, rounded_percent, to_cents
 from recurra.operators.spine import (
     MONTH_START,
     OVERLAP,
-    customer_months,
-    customer_ranges,
-    explode_months,
+    change_points,
+    entries,
+    month_rows,
+    spells,
     with_month_range,
 )
 
 
 def active_customers_by_month(subscriptions: DataFrame, *, snapshot: date) -> DataFrame:
-    months = customer_months(subscriptions, convention=OVERLAP, snapshot=snapshot)
-    return months.groupBy("month").agg(F.count("*").alias("active_customers"))
+    ranged = with_month_range(subscriptions, convention=OVERLAP, snapshot=snapshot)
+    entered = entries(change_points(ranged, ["customer_id"]), ["customer_id"])
+    months = month_rows(entered.select("month", F.col("entered").alias("active_customers")), [], running=["active_customers"])
+    return months.where(F.col("active_customers") > 0)
 
 
 def cancellations(mrr: DataFrame) -> DataFrame:
@@ -60,22 +63,36 @@ def fact_churn_by_month(mrr: DataFrame, *, snapshot: date) -> DataFrame:
     Equal amounts of a customer in a month count once in churned_mrr. The month of the snapshot is left
     out: nobody can be seen to leave it.
     """
-    ranged = with_month_range(
-        mrr.withColumn("cents", to_cents(F.col("mrr"))), convention=MONTH_START, snapshot=snapshot
-    )
-    amounts = explode_months(customer_ranges(ranged, ["customer_id", "cents"])).distinct()
-    per_month = amounts.groupBy("customer_id", "month").agg(F.sum("cents").alias("cents"))
+    amounts = mrr.withColumn("cents", to_cents(F.col("mrr")))
+    ranged = with_month_range(amounts, convention=MONTH_START, snapshot=snapshot)
+    keys = ["customer_id", "cents"]
+    held = spells(change_points(ranged, keys), keys)
+
+    def amount_side(month: str, sign: int) -> Column:
+        return F.struct(
+            F.col(month).alias("month"), (F.col("cents") * sign).alias("delta"), F.lit(sign).alias("running")
+        )
+
+    # From spells of an amount to spells of the customer; both are local to the customer's task.
+    steps = held.select("customer_id", F.inline(F.array(amount_side("month", 1), amount_side("until", -1))))
+    net = steps.groupBy("customer_id", "month").agg(F.sum("running").alias("running"), F.sum("delta").alias("cents"))
+    spelled = spells(net, ["customer_id"])
     following = F.lead("month").over(Window.partitionBy("customer_id").orderBy("month"))
-    gone = F.coalesce(F.col("next_month") != F.add_months("month", 1), F.lit(True))
-    flagged = per_month.withColumn("next_month", following).withColumn("gone", gone)
-    totals = (
-        flagged.where(F.col("month") < F.lit(snapshot.replace(day=1)))
-        .groupBy("month")
-        .agg(
-            F.count("*").alias("active_customers"), F.count_if("gone").alias("customers_churned"),
-            F.sum(F.when(F.col("gone"), F.col("cents")).otherwise(0)).alias("cents"),
+    gone = F.coalesce(following != F.col("until"), F.lit(True)).cast("int")
+
+    def side(month: Column, active: int, churned: Column) -> Column:
+        return F.struct(
+            month.alias("month"), F.lit(active).alias("active_customers"), churned.alias("customers_churned"),
+            (churned * F.coalesce("cents", F.lit(0))).alias("cents"),
         )
+
+    first, until, nobody = F.col("month"), F.col("until"), F.lit(0)
+    changes = spelled.withColumn("gone", gone).select(
+        F.inline(F.array(side(first, 1, nobody), side(until, -1, nobody), side(F.add_months(until, -1), 0, F.col("gone"))))
     )
+    totals = month_rows(
+        changes, [], running=["active_customers"], once=["customers_churned", "cents"]
+    ).where((F.col("active_customers") > 0) & (F.col("month") < F.lit(snapshot.replace(day=1))))
     return totals.select(
         "month", "active_customers", "customers_churned", from_cents(F.col("cents")).alias("churned_mrr"),
         rounded_percent(F.col("customers_churned"), F.col("active_customers"), 2).alias("logo_churn_rate_pct"),

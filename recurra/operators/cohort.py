@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from recurra.functions.dates import month_of, months_apart
 from recurra.functions.money import rounded_percent, rounded_ratio
-from recurra.operators.spine import OVERLAP, customer_ranges, explode_months, with_month_range
+from recurra.operators.spine import OVERLAP, change_points, spells, with_month_range
 
 CHECKPOINTS = (0, 1, 3, 6, 12)
 YEAR = tuple(range(13))
@@ -27,19 +27,19 @@ def retention(
 ) -> DataFrame:
     """Share of each cohort active (any overlap) the given numbers of months after signup.
 
-    Ranges are cut to the months asked for before they are exploded. Months before signup are outside.
+    Spells are cut to the months asked for before they become rows. Months before signup are outside.
     """
-    cohorts = customers.select("customer_id", month_of(F.col("signup_date")).alias("cohort_month"))
+    cohort_month = month_of(F.col("signup_date")).alias("cohort_month")
+    cohorts = customers.select("customer_id", cohort_month).repartition("customer_id").distinct()
     ranged = with_month_range(subscriptions, convention=OVERLAP, snapshot=snapshot)
-    joined = customer_ranges(ranged, ["customer_id"]).join(cohorts, "customer_id")
-    cut = joined.withColumn(
-        "first_month", F.greatest("first_month", F.add_months("cohort_month", min(offsets)))
-    ).withColumn("last_month", F.least("last_month", F.add_months("cohort_month", max(offsets))))
-    months = explode_months(cut).distinct()
-    offset = months_apart(F.col("month"), F.col("cohort_month"))
+    spelled = spells(change_points(ranged, ["customer_id"]), ["customer_id"]).join(cohorts, "customer_id")
+    first = F.greatest(months_apart(F.col("month"), F.col("cohort_month")), F.lit(min(offsets)))
+    last = F.least(months_apart(F.col("until"), F.col("cohort_month")) - 1, F.lit(max(offsets)))
+    cut = spelled.select("cohort_month", first.alias("first"), last.alias("last")).where(F.col("first") <= F.col("last"))
+    months = cut.select("cohort_month", F.explode(F.sequence("first", "last")).alias("months_since_signup"))
+    # A customer's spells do not overlap: one row per customer and month, so a plain count is distinct.
     counts = (
-        months.withColumn("months_since_signup", offset)
-        .where(F.col("months_since_signup").isin(list(offsets)))
+        months.where(F.col("months_since_signup").isin(list(offsets)))
         .groupBy("cohort_month", "months_since_signup")
         .agg(F.count("*").alias("active_customers"))
     )

@@ -14,8 +14,10 @@ from recurra.operators.spine import (
     MONTH_START,
     TO_LAST_END,
     TO_SNAPSHOT,
-    customer_ranges,
-    explode_months,
+    change_points,
+    month_rows,
+    spell_months,
+    spells,
     with_month_range,
 )
 from recurra.schemas import PRICE
@@ -45,95 +47,102 @@ def subscription_mrr(subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
     )
 
 
-def customer_month_cents(mrr: DataFrame, *, snapshot: date, horizon: str, by: Sequence[str] = ()) -> DataFrame:
-    """customer_id, *by, month, cents over subscriptions active at month start; placed by customer."""
+def customer_spells(mrr: DataFrame, *, snapshot: date, horizon: str, by: Sequence[str] = ()) -> DataFrame:
+    """customer_id, *by, month, until, cents over subscriptions active at month start; placed by customer."""
     keys = ["customer_id", *by]
     ranged = with_month_range(mrr, convention=MONTH_START, snapshot=snapshot, horizon=horizon)
-    merged = customer_ranges(ranged, keys, F.sum(to_cents(F.col("mrr"))).alias("cents"))
-    return explode_months(merged).groupBy(*keys, "month").agg(F.sum("cents").alias("cents"))
+    points = change_points(ranged.withColumn("cents", to_cents(F.col("mrr"))), keys, with_cents=True)
+    return spells(points, keys)
 
 
 def customer_month_mrr(mrr: DataFrame, *, snapshot: date, horizon: str = TO_LAST_END) -> DataFrame:
-    cents = customer_month_cents(mrr, snapshot=snapshot, horizon=horizon)
-    return cents.select("month", "customer_id", from_cents(F.col("cents")).alias("mrr"))
+    months = spell_months(customer_spells(mrr, snapshot=snapshot, horizon=horizon))
+    return months.select("month", "customer_id", from_cents(F.col("cents")).alias("mrr"))
 
 
 def fact_monthly_subscription(mrr: DataFrame, *, snapshot: date) -> DataFrame:
-    cents = customer_month_cents(mrr, snapshot=snapshot, horizon=TO_SNAPSHOT, by=["plan_id"])
-    return cents.select("month", "customer_id", "plan_id", from_cents(F.col("cents")).alias("mrr"))
+    months = spell_months(customer_spells(mrr, snapshot=snapshot, horizon=TO_SNAPSHOT, by=["plan_id"]))
+    return months.select("month", "customer_id", "plan_id", from_cents(F.col("cents")).alias("mrr"))
 
 
-def _movements(mrr: DataFrame, *, snapshot: date, horizon: str) -> DataFrame:
-    # The previous row is the previous active month, which need not be the previous calendar month.
-    # One row per customer and month goes in, so a window never exceeds the months on record.
-    cents = customer_month_cents(mrr, snapshot=snapshot, horizon=horizon)
-    previous = F.lag("cents").over(Window.partitionBy("customer_id").orderBy("month"))
-    moved = cents.withColumn("prev_cents", previous)
-    now, before = F.col("cents"), F.col("prev_cents")
-    kind = (
+def _with_previous(mrr: DataFrame, *, snapshot: date, horizon: str) -> DataFrame:
+    # The previous amount is that of the previous active month, which need not be the previous calendar
+    # month: only active spells are left here.
+    spelled = customer_spells(mrr, snapshot=snapshot, horizon=horizon)
+    return spelled.withColumn("prev_cents", F.lag("cents").over(Window.partitionBy("customer_id").orderBy("month")))
+
+
+def _movement(now: Column, before: Column) -> Column:
+    return (
         F.when(before.isNull(), "new").when(now > before, "expansion").when(now < before, "contraction")
         .otherwise("unchanged")
     )
-    return moved.withColumn("movement_type", kind).withColumn("delta_cents", now - F.coalesce(before, F.lit(0)))
+
+
+def _delta(now: Column, before: Column) -> Column:
+    return now - F.coalesce(before, F.lit(0))
 
 
 def fact_mrr_waterfall(mrr: DataFrame, *, snapshot: date) -> DataFrame:
     """One row per customer and active month, classified against the customer's previous active month."""
-    moved = _movements(mrr, snapshot=snapshot, horizon=TO_SNAPSHOT)
-    return moved.select(
-        "month", "customer_id", from_cents(F.col("cents")).alias("mrr"),
-        from_cents(F.col("prev_cents")).alias("prev_mrr"), "movement_type",
-        from_cents(F.col("delta_cents")).alias("mrr_delta"),
+    months = spell_months(_with_previous(mrr, snapshot=snapshot, horizon=TO_SNAPSHOT))
+    now, before = F.col("cents"), F.col("before")
+    # After its first month a spell repeats its own amount.
+    return months.withColumn("before", F.when(F.col("step") == 0, F.col("prev_cents")).otherwise(now)).select(
+        "month", "customer_id", from_cents(now).alias("mrr"), from_cents(before).alias("prev_mrr"),
+        _movement(now, before).alias("movement_type"), from_cents(_delta(now, before)).alias("mrr_delta"),
     )
 
 
 def mrr_waterfall(mrr: DataFrame, *, snapshot: date, horizon: str = TO_LAST_END) -> DataFrame:
     """New, expansion, contraction and total MRR by month."""
-    moved = _movements(mrr, snapshot=snapshot, horizon=horizon)
+    spelled = _with_previous(mrr, snapshot=snapshot, horizon=horizon)
+    now, before = F.col("cents"), F.col("prev_cents")
+    moved = spelled.withColumn("kind", _movement(now, before)).withColumn("delta", _delta(now, before))
+    kinds = ("new", "expansion", "contraction")
 
-    def moved_by(kind: str) -> Column:
-        return F.sum(F.when(F.col("movement_type") == kind, F.col("delta_cents")).otherwise(0))
+    def side(month: str, sign: int) -> Column:
+        moves = [
+            (F.when(F.col("kind") == k, F.col("delta")).otherwise(0) if sign > 0 else F.lit(0)).cast("bigint").alias(k)
+            for k in kinds
+        ]
+        return F.struct(F.col(month).alias("month"), (now * sign).alias("total"), F.lit(sign).alias("customers"), *moves)
 
-    totals = moved.groupBy("month").agg(
-        moved_by("new").alias("new"), moved_by("expansion").alias("expansion"),
-        moved_by("contraction").alias("contraction"), F.sum("cents").alias("total"),
-    )
-    return totals.select(
-        "month", *[from_cents(F.col(c)).alias(f"{c}_mrr") for c in ("new", "expansion", "contraction", "total")]
-    )
+    changes = moved.select(F.inline(F.array(side("month", 1), side("until", -1))))
+    totals = month_rows(changes, [], running=["total", "customers"], once=kinds).where(F.col("customers") > 0)
+    return totals.select("month", *[from_cents(F.col(c)).alias(f"{c}_mrr") for c in (*kinds, "total")])
 
 
 def monthly_mrr(mrr: DataFrame, *, snapshot: date, horizon: str = TO_LAST_END) -> DataFrame:
-    """month, cents. Sums inside each task before the shuffle, which carries one row per month and task."""
+    """month, cents over all customers; each task hands on one row per month."""
     ranged = with_month_range(mrr, convention=MONTH_START, snapshot=snapshot, horizon=horizon)
-    cents = ranged.select("first_month", "last_month", to_cents(F.col("mrr")).alias("cents"))
-    return explode_months(cents).groupBy("month").agg(F.sum("cents").alias("cents"))
+    cents = to_cents(F.col("mrr"))
+    up = F.struct(F.col("first_month").alias("month"), cents.alias("cents"), F.lit(1).alias("running"))
+    down = F.struct(F.add_months("last_month", 1).alias("month"), (-cents).alias("cents"), F.lit(-1).alias("running"))
+    months = month_rows(ranged.select(F.inline(F.array(up, down))), [], running=["cents", "running"])
+    return months.where(F.col("running") > 0).drop("running")
 
 
-def segment_months(
-    priced: DataFrame, customers: DataFrame, *, snapshot: date, segments: Sequence[str] = SEGMENTS
-) -> DataFrame:
-    """customer_id, month, *segments, cents; placed by customer, for customers on record."""
-    ranged = with_month_range(priced, convention=MONTH_START, snapshot=snapshot)
-    merged = customer_ranges(ranged, ["customer_id", "plan_tier"], F.sum(to_cents(F.col("mrr"))).alias("cents"))
-    channel = F.coalesce("acquisition_channel", F.lit(UNKNOWN)).alias("acquisition_channel")
-    of_customer = [channel if c == "acquisition_channel" else F.col(c) for c in segments if c != "plan_tier"]
-    who = customers.select("customer_id", *of_customer)
-    return (
-        explode_months(merged.join(who, "customer_id"))
-        .groupBy("customer_id", "month", *segments)
-        .agg(F.sum("cents").alias("cents"))
-    )
+def tier_spells(priced: DataFrame, *, snapshot: date) -> DataFrame:
+    """customer_id, plan_tier, month, until, cents; a customer's tiers are separate, one tier's spells disjoint."""
+    return customer_spells(priced, snapshot=snapshot, horizon=TO_SNAPSHOT, by=["plan_tier"])
 
 
 def pivot_source(subscriptions: DataFrame, plans: DataFrame, customers: DataFrame, *, snapshot: date) -> DataFrame:
     """MRR and distinct customers by month, plan tier, channel and country (a NULL country is a group)."""
-    rows = segment_months(price_subscriptions(subscriptions, plans), customers, snapshot=snapshot)
-    # One row per customer and cell at this point, so a plain count is the distinct count.
-    cells = rows.groupBy("month", *SEGMENTS).agg(
-        F.sum("cents").alias("cents"), F.count("*").alias("active_customers")
-    )
-    return cells.select(
+    channel = F.coalesce("acquisition_channel", F.lit(UNKNOWN)).alias("acquisition_channel")
+    who = customers.select("customer_id", channel, "country")
+    spelled = tier_spells(price_subscriptions(subscriptions, plans), snapshot=snapshot).join(who, "customer_id")
+
+    # A customer is in a cell at most once at a time, so steps of one add up to distinct customers.
+    def side(month: str, sign: int) -> Column:
+        return F.struct(
+            F.col(month).alias("month"), (F.col("cents") * sign).alias("cents"), F.lit(sign).alias("active_customers")
+        )
+
+    changes = spelled.select(*SEGMENTS, F.inline(F.array(side("month", 1), side("until", -1))))
+    cells = month_rows(changes, SEGMENTS, running=["cents", "active_customers"])
+    return cells.where(F.col("active_customers") > 0).select(
         "month", *SEGMENTS, from_cents(F.col("cents")).alias("mrr"), "active_customers"
     )
 

@@ -7,10 +7,10 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recurra.functions.dates import months_apart
 from recurra.functions.money import from_cents
 from recurra.operators.churn import cancellations_by_month
-from recurra.operators.mrr import price_subscriptions, segment_months
+from recurra.operators.mrr import price_subscriptions, tier_spells
+from recurra.operators.spine import entries, month_rows
 
 # Fixed value: a monthly logo churn rate above this is red.
 CHURN_LIMIT = 0.05
@@ -23,26 +23,21 @@ def monthly_summary(subscriptions: DataFrame, plans: DataFrame, customers: DataF
     counts twice; active_customers_distinct counts each customer once.
     """
     priced = price_subscriptions(subscriptions, plans)
-    # Channel and country are the customer's own, so the cells of a customer in a month differ by tier only.
-    rows = segment_months(priced, customers, snapshot=snapshot, segments=["plan_tier"])
-    per_customer = rows.groupBy("customer_id", "month").agg(F.sum("cents").alias("cents"), F.count("*").alias("cells"))
-    totals = per_customer.groupBy("month").agg(
-        F.sum("cents").alias("cents"), F.sum("cells").alias("active_customers"),
-        F.count("*").alias("active_customers_distinct"),
-    )
-    # Windows without a key from here on: they order one row per month, a few hundred at most.
-    following = F.lead("month").over(Window.orderBy("month"))
-    gap = F.coalesce(months_apart(following, F.col("month")), F.lit(1))
-    stepped = totals.withColumn("gap", gap).withColumn("step", F.explode(F.sequence(F.lit(0), F.col("gap") - 1)))
+    on_record = customers.select("customer_id")
+    spelled = tier_spells(priced, snapshot=snapshot).join(on_record, "customer_id", "left_semi")
 
-    def unless_filler(name: str) -> Column:
-        return F.when(F.col("step") == 0, F.col(name)).otherwise(0).alias(name)
+    # Channel and country are the customer's own, so the cells of a customer in a month differ by tier only.
+    def side(month: str, sign: int) -> Column:
+        return F.struct(F.col(month).alias("month"), (F.col("cents") * sign).alias("cents"), F.lit(sign).alias("running"))
 
-    spine = stepped.select(
-        F.add_months("month", F.col("step")).alias("month"),
-        *[unless_filler(c) for c in ("cents", "active_customers", "active_customers_distinct")],
+    steps = spelled.select("customer_id", F.inline(F.array(side("month", 1), side("until", -1))))
+    points = steps.groupBy("customer_id", "month").agg(F.sum("cents").alias("cents"), F.sum("running").alias("running"))
+    changes = entries(points, ["customer_id"]).select(
+        "month", "cents", F.col("running").alias("active_customers"), F.col("entered").alias("active_customers_distinct")
     )
-    filled = spine.join(cancellations_by_month(priced), "month", "left").fillna(0, ["customers_cancelled"])
+    months = month_rows(changes, [], running=["cents", "active_customers", "active_customers_distinct"])
+    filled = months.join(cancellations_by_month(priced), "month", "left").fillna(0, ["customers_cancelled"])
+    # No key, but one row per calendar month.
     before = F.lag("cents").over(Window.orderBy("month"))
     return filled.withColumn("before", before).select(
         "month", from_cents(F.col("cents")).alias("total_mrr"), "active_customers", "active_customers_distinct",

@@ -43,6 +43,14 @@ def _sometimes_duplicate(row_id: str) -> str:
     return f"CASE WHEN {row_id} % 50 = 0 THEN customer_id + {_DUPLICATE} ELSE customer_id END"
 
 
+def _plan_of(subscription: str) -> str:
+    return f"CAST(CAST(floor({subscription} / 10) AS BIGINT) % 3 + 1 AS INT)"
+
+
+def _cycle_of(subscription: str) -> str:
+    return f"CASE WHEN {subscription} % 10 < 6 THEN 'monthly' ELSE 'annual' END"
+
+
 _PLANS = f"""
 SELECT plan_id, {_TIER} AS plan_name, {_TIER} AS tier,
        CAST({_MONTHLY} AS DECIMAL(10,2)) AS monthly_price, CAST({_ANNUAL} AS DECIMAL(10,2)) AS annual_price
@@ -55,10 +63,9 @@ SELECT subscription_id, customer_id, plan_id, start_date,
        CASE WHEN NOT stays AND runs_to <= {_AS_OF} THEN runs_to END AS end_date, billing_cycle,
        CASE WHEN NOT stays AND runs_to <= {_AS_OF} THEN 'cancelled' ELSE 'active' END AS status
 FROM (SELECT o_orderkey AS subscription_id, o_custkey AS customer_id,
-             CAST(CAST(substr(o_orderpriority, 1, 1) AS INT) % 3 + 1 AS INT) AS plan_id,
-             CAST(o_orderdate AS DATE) AS start_date,
+             {_plan_of('o_orderkey')} AS plan_id, CAST(o_orderdate AS DATE) AS start_date,
              CAST(o_orderdate AS DATE) + CAST(o_orderkey * 37 % 360 + 20 AS INT) AS runs_to,
-             CASE WHEN o_orderkey % 10 < 6 THEN 'monthly' ELSE 'annual' END AS billing_cycle,
+             {_cycle_of('o_orderkey')} AS billing_cycle,
              o_orderstatus = 'O' AND CAST(o_orderdate AS DATE) >= DATE '2000-07-01' AS stays
       FROM {{orders}}) o
 """
@@ -87,7 +94,7 @@ SELECT l_orderkey * 10 + l_linenumber AS invoice_id, l_orderkey AS subscription_
        CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'failed'
             WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN 'refunded' ELSE 'paid' END AS payment_status,
        l_suppkey AS fx_supp, l_partkey AS fx_part
-FROM {{lineitem}} JOIN {{subscriptions}} s ON s.subscription_id = l_orderkey
+FROM (SELECT l.*, {_plan_of('l_orderkey')} AS plan_id, {_cycle_of('l_orderkey')} AS billing_cycle FROM {{lineitem}} l) i
 """
 
 # Shipments after the snapshot count for its month.
@@ -166,7 +173,7 @@ FROM {{support_tickets}}
 # Columns that are read, with their stored types; naming them spares a job per file to look them up.
 SOURCES = {
     "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
-    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz, o_orderpriority string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz",
     "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
     "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
     "part": "p_type string",
