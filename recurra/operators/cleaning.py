@@ -95,7 +95,7 @@ def clean_amount(invoices: DataFrame) -> DataFrame:
     )
 
 
-def with_outlier_flag(invoices: DataFrame, subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
+def _with_outlier_flag(invoices: DataFrame, subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
     """Add expected_price (whole annual price for annual billing) and is_outlier (false where unknown)."""
     prices = priced_subscriptions(subscriptions, plans, how="left")
     # Any cycle but monthly is compared with the annual price.
@@ -115,7 +115,7 @@ def with_outlier_flag(invoices: DataFrame, subscriptions: DataFrame, plans: Data
 
 
 def flag_invoice_outliers(invoices: DataFrame, subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
-    return with_outlier_flag(invoices, subscriptions, plans).select(
+    return _with_outlier_flag(invoices, subscriptions, plans).select(
         "invoice_id", "subscription_id", "amount", "expected_price", "is_outlier"
     )
 
@@ -124,7 +124,7 @@ def clean_invoices(invoices: DataFrame, subscriptions: DataFrame, plans: DataFra
     typed = invoices.withColumn("invoice_date", messy_date(F.col("invoice_date"))).withColumn(
         "amount", parse_amount(F.col("amount"))
     )
-    return with_outlier_flag(typed, subscriptions, plans).select(
+    return _with_outlier_flag(typed, subscriptions, plans).select(
         "invoice_id", "subscription_id", "invoice_date", "amount", "payment_status", "is_outlier"
     )
 
@@ -204,7 +204,7 @@ def cleaning_log(raw: Mapping[str, DataFrame]) -> DataFrame:
     remap = cut_lineage(customer_remap(raw["customers"]))
     start, day, amount = F.col("start_date"), F.col("invoice_date"), F.col("amount")
     rows_in, rows_out = F.count("*").alias("rows_in"), F.count("*").alias("rows_out")
-    flagged = with_outlier_flag(
+    flagged = _with_outlier_flag(
         raw["invoices"].select(
             "subscription_id", messy_date(day).alias("invoice_date"), parse_amount(amount).alias("amount"),
             is_formatted_amount(amount).alias("was_formatted"),

@@ -43,7 +43,7 @@ def _remap(t: DerivedTables) -> DataFrame:
 
 
 def _price_check(t: DerivedTables) -> DataFrame:
-    return invoices.invoice_price_check(t.clean()["invoices"], t["subscriptions"], t["plans"])
+    return invoices.invoice_price_check(t["invoices"], t["subscriptions"], t["plans"])
 
 
 def _clean(t: DerivedTables) -> dict[str, DataFrame]:
@@ -70,7 +70,7 @@ def _metrics(t: DerivedTables) -> DataFrame:
         [
             ("missing_pct", missing.agg(F.first("pct_missing"))),
             ("tenure_months", value.tenure_summary(t["subscriptions"], snapshot=SNAPSHOT)),
-            ("arpu", value.arpu_summary(t["subscriptions"], t["unflagged_invoices"], snapshot=SNAPSHOT)),
+            ("arpu", value.arpu_summary(t["subscriptions"], t["invoices"], snapshot=SNAPSHOT)),
             ("retention_m12", cohort.cohort_m12_summary(t["customers"], t["subscriptions"], snapshot=SNAPSHOT)),
             ("usage_before_churn", usage.usage_drop_pct(t["usage_monthly"], t["subscriptions"])),
             ("outliers", invoices.outlier_share(_price_check(t))),
@@ -80,7 +80,7 @@ def _metrics(t: DerivedTables) -> DataFrame:
 
 def _clv(t: DerivedTables, segment: str) -> DataFrame:
     return value.clv_by_segment(
-        t["customers"], t["subscriptions"], t["unflagged_invoices"], t["plans"], snapshot=SNAPSHOT, segment=segment
+        t["customers"], t["subscriptions"], t["invoices"], t["plans"], snapshot=SNAPSHOT, segment=segment
     )
 
 
@@ -134,7 +134,7 @@ def _with_customers(operator: Callable[..., DataFrame], t: DerivedTables) -> Dat
 
 
 def _with_invoices(operator: Callable[..., DataFrame], t: DerivedTables) -> DataFrame:
-    return operator(t["subscriptions"], t["unflagged_invoices"], snapshot=SNAPSHOT)
+    return operator(t["subscriptions"], t["invoices"], snapshot=SNAPSHOT)
 
 
 _BUILDERS: dict[str, Callable[[DerivedTables], DataFrame]] = {
@@ -157,7 +157,7 @@ _BUILDERS: dict[str, Callable[[DerivedTables], DataFrame]] = {
     "clean_subscriptions": lambda t: cleaning.clean_subscriptions(t["raw_subscriptions"], _remap(t)),
     "clean_amount": lambda t: cleaning.clean_amount(t["raw_invoices"]),
     "flag_invoice_outliers": lambda t: cleaning.flag_invoice_outliers(
-        t["unflagged_invoices"], t["subscriptions"], t["plans"]
+        t["invoices"], t["subscriptions"], t["plans"]
     ),
     "clean_invoices": lambda t: cleaning.clean_invoices(
         t["raw_invoices"], t["raw_subscriptions"], cleaning.clean_plans(t["raw_plans"])
@@ -198,7 +198,7 @@ _BUILDERS: dict[str, Callable[[DerivedTables], DataFrame]] = {
     "cohort_m12_summary": partial(_with_customers, cohort.cohort_m12_summary),
     # customer value, usage signals, profiling
     "fact_customer_clv": lambda t: value.fact_customer_clv(
-        t["customers"], t["subscriptions"], t["unflagged_invoices"], snapshot=SNAPSHOT
+        t["customers"], t["subscriptions"], t["invoices"], snapshot=SNAPSHOT
     ),
     "clv_by_channel": partial(_clv, segment="acquisition_channel"),
     "clv_by_size_band": partial(_clv, segment="company_size_band"),

@@ -109,9 +109,10 @@ _CTES = {
     "c_invoices": """
         SELECT i.*, coalesce(amount > 5 * list_price OR 5 * amount < list_price, FALSE) AS is_outlier
         FROM parsed_invoices i LEFT JOIN list_prices USING (subscription_id)""",
-    "invoices": """
-        SELECT i.*, list_price, coalesce(amount > 5 * list_price OR 5 * amount < list_price, FALSE) AS is_outlier
-        FROM unflagged_invoices i LEFT JOIN list_prices USING (subscription_id)""",
+    "judged_invoices": """
+        SELECT i.invoice_id, subscription_id, i.amount, list_price,
+               coalesce(amount > 5 * list_price OR 5 * amount < list_price, FALSE) AS is_outlier
+        FROM invoices i LEFT JOIN list_prices USING (subscription_id)""",
     "c_usage_monthly": f"""
         SELECT {_true_id('r')} AS customer_id, CAST(month || '-01' AS DATE) AS usage_month,
                CAST(sum(login_count) AS BIGINT) AS login_count,
@@ -194,11 +195,11 @@ _CTES = {
         SELECT c.customer_id, c.country, c.company_size_band, c.acquisition_channel, sum(i.amount) AS total_revenue,
                {_TENTHS} AS tenths
         FROM customers c JOIN subscriptions s USING (customer_id)
-             JOIN unflagged_invoices i ON i.subscription_id = s.subscription_id AND i.payment_status = 'paid'
+             JOIN invoices i ON i.subscription_id = s.subscription_id AND i.payment_status = 'paid'
         GROUP BY ALL""",
     "tier_clv": f"""
         SELECT s.customer_id, s.tier AS plan_tier, sum(i.amount) AS total_revenue, {_TENTHS} AS tenths
-        FROM priced s JOIN unflagged_invoices i ON i.subscription_id = s.subscription_id AND i.payment_status = 'paid'
+        FROM priced s JOIN invoices i ON i.subscription_id = s.subscription_id AND i.payment_status = 'paid'
         GROUP BY ALL""",
     "recent_usage": """
         SELECT customer_id, usage_month, login_count, sum(login_count) OVER w AS logins, count(*) OVER w AS n
@@ -212,7 +213,7 @@ _CTES = {
     "day_bounds": "SELECT min(days) AS lo, max(days) AS hi FROM tenures",
     "revenues": """
         SELECT s.customer_id, coalesce(sum(i.amount), 0) AS total_revenue
-        FROM subscriptions s LEFT JOIN unflagged_invoices i
+        FROM subscriptions s LEFT JOIN invoices i
              ON i.subscription_id = s.subscription_id AND i.payment_status = 'paid' GROUP BY s.customer_id""",
     "arpus": f"""
         SELECT customer_id, total_revenue, days,
@@ -449,7 +450,7 @@ _QUERIES = {
     "remap_customer_id": "SELECT subscription_id, customer_id FROM c_subscriptions",
     "clean_subscriptions": "SELECT * FROM c_subscriptions",
     "clean_amount": _money("invoice_id, subscription_id, was_formatted", "parsed_invoices", "amount"),
-    "flag_invoice_outliers": f"SELECT invoice_id, subscription_id, {_dbl('amount')} AS amount, {_dbl('list_price')} AS expected_price, is_outlier FROM invoices",
+    "flag_invoice_outliers": f"SELECT invoice_id, subscription_id, {_dbl('amount')} AS amount, {_dbl('list_price')} AS expected_price, is_outlier FROM judged_invoices",
     "clean_invoices": _money("invoice_id, subscription_id, invoice_date, payment_status, is_outlier", "c_invoices", "amount"),
     "clean_usage": "SELECT * FROM c_usage_monthly",
     "clean_tickets": "SELECT * FROM c_support_tickets",

@@ -12,7 +12,6 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recurra.operators.cleaning import with_outlier_flag
 from recurra.schemas import CLEAN, RAW
 
 SNAPSHOT = date(2001, 8, 31)
@@ -84,8 +83,8 @@ FROM {customer} LEFT JOIN (SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS f
      ON f.o_custkey = c_custkey
 """
 
-# unflagged_invoices still lacks is_outlier, which is an operator's work, and has two columns to vary raw text by.
-_UNFLAGGED_INVOICES = f"""
+# The two quantities that spoil the amount are the outliers; the fx columns vary the raw text.
+_INVOICES = f"""
 SELECT l_orderkey * 10 + l_linenumber AS invoice_id, l_orderkey AS subscription_id,
        CAST(l_shipdate AS DATE) AS invoice_date,
        CAST(CAST(CASE WHEN billing_cycle = 'monthly' THEN {_MONTHLY} ELSE {_ANNUAL} END AS DECIMAL(10,2))
@@ -93,7 +92,7 @@ SELECT l_orderkey * 10 + l_linenumber AS invoice_id, l_orderkey AS subscription_
                     ELSE CAST(1 AS DECIMAL(5,2)) END) AS DECIMAL(12,2)) AS amount,
        CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'failed'
             WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN 'refunded' ELSE 'paid' END AS payment_status,
-       l_suppkey AS fx_supp, l_partkey AS fx_part
+       l_quantity IN (1, 50) AS is_outlier, l_suppkey AS fx_supp, l_partkey AS fx_part
 FROM (SELECT l.*, {_plan_of('l_orderkey')} AS plan_id, {_cycle_of('l_orderkey')} AS billing_cycle FROM {{lineitem}} l) i
 """
 
@@ -153,7 +152,7 @@ SELECT invoice_id, subscription_id, {_messy('invoice_date', 'invoice_id % 4')} A
                ELSE CAST(CAST(floor(amount) AS BIGINT) AS STRING) END)
              || '.' || lpad(CAST(CAST(amount * 100 AS BIGINT) % 100 AS STRING), 2, '0')
         ELSE CAST(amount AS STRING) END AS amount, payment_status
-FROM {{unflagged_invoices}}
+FROM {{invoices}}
 """
 
 _RAW_USAGE = f"""
@@ -185,7 +184,7 @@ MAPPING = {
     "plans": _PLANS,
     "subscriptions": _SUBSCRIPTIONS,
     "customers": _CUSTOMERS,
-    "unflagged_invoices": _UNFLAGGED_INVOICES,
+    "invoices": _INVOICES,
     "usage_monthly": _USAGE,
     "support_tickets": _TICKETS,
     "raw_plans": _RAW_PLANS,
@@ -227,7 +226,4 @@ class DerivedTables(Mapping):
 
     def clean(self) -> dict[str, DataFrame]:
         """Typed tables without the detour over raw text."""
-        tables = {name: self[name] for name in CLEAN if name != "invoices"}
-        flagged = with_outlier_flag(self["unflagged_invoices"], self["subscriptions"], self["plans"])
-        tables["invoices"] = flagged.select(CLEAN["invoices"].names)
-        return tables
+        return {name: self[name].select(schema.names) for name, schema in CLEAN.items()}
