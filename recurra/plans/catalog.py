@@ -74,7 +74,8 @@ def _metrics(t: DerivedTables) -> DataFrame:
             ("retention_m12", cohort.cohort_m12_summary(t["customers"], t["subscriptions"], snapshot=SNAPSHOT)),
             ("usage_before_churn", usage.usage_drop_pct(t["usage_monthly"], t["subscriptions"])),
             ("outliers", invoices.outlier_share(_price_check(t))),
-        ]
+        ],
+        cleaning.cleaning_log(t.raw()),
     )
 
 
@@ -112,7 +113,7 @@ def _new_folder(t: DerivedTables, purpose: str) -> str:
 def _read_raw(t: DerivedTables) -> DataFrame:
     folder = _new_folder(t, "raw")
     for name, df in t.raw().items():
-        df.write.option("header", True).csv(f"{folder}/{name}")
+        df.write.option("header", True).option("compression", "gzip").csv(f"{folder}/{name}")
     return _stored_cells(io.read_raw(t.spark, folder))
 
 

@@ -431,6 +431,7 @@ def _metrics() -> str:
             for job, (columns, text) in jobs.items()
             for c in columns
         ]
+        + [f"SELECT 'cleaning' AS job, table_name || '.' || metric AS metric, {_dbl('value')} AS value FROM ({_cleaning_log()})"]
     )
 
 

@@ -103,11 +103,20 @@ def register_views(tables: Mapping[str, DataFrame]) -> DataFrame:
     return mrr
 
 
-def metrics_table(parts: Iterable[tuple[str, DataFrame]]) -> DataFrame:
-    """One long table (job, metric, value) from one-row results of named jobs."""
+def metrics_table(parts: Iterable[tuple[str, DataFrame]], log: DataFrame | None = None) -> DataFrame:
+    """One long table (job, metric, value) from one-row results of named jobs, and a cleaning log if given."""
 
     def long(job: str, row: DataFrame) -> DataFrame:
         values = row.select(*[F.col(c).cast("double").alias(c) for c in row.columns])
         return values.unpivot([], values.columns, "metric", "value").select(F.lit(job).alias("job"), "metric", "value")
 
-    return reduce(DataFrame.unionByName, [long(job, row) for job, row in parts])
+    tables = [long(job, row) for job, row in parts]
+    if log is not None:
+        metric = F.concat_ws(".", "table_name", "metric").alias("metric")
+        tables.append(log.select(F.lit("cleaning").alias("job"), metric, F.col("value").cast("double").alias("value")))
+    return reduce(DataFrame.unionByName, tables)
+
+
+def write_metrics(metrics: DataFrame, folder: str, *, run: str) -> None:
+    """Keep the metrics of a run beside those of earlier runs; writing a run again replaces it."""
+    metrics.write.mode("overwrite").parquet(f"{folder}/run={run}")

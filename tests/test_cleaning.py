@@ -235,12 +235,18 @@ def test_star_is_stored_by_month_and_month_filters_prune(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(month" in one._jdf.queryExecution().executedPlan().toString()
 
 
-def test_views_and_metrics(spark):
+def test_views_and_metrics(spark, tmp_path):
     subs = subscriptions(spark, (1, 1, "2025-01-01", None))
     io.register_views({"subscriptions": subs, "plans": plans(spark), "customers": customers(spark, (1, "2025-01-01"))})
     assert spark.sql("SELECT sum(mrr) FROM subscription_mrr").collect()[0][0] == Decimal(29)
-    metrics = io.metrics_table([("a", spark.sql("SELECT 1 AS x, 2.5 AS y")), ("b", spark.sql("SELECT 3 AS x"))])
-    assert sorted(rows(metrics)) == [("a", "x", 1.0), ("a", "y", 2.5), ("b", "x", 3.0)]
+    log = spark.sql("SELECT 't' AS table_name, 'rows_in' AS metric, 4L AS value")
+    metrics = io.metrics_table([("a", spark.sql("SELECT 1 AS x, 2.5 AS y")), ("b", spark.sql("SELECT 3 AS x"))], log)
+    expected = [("a", "x", 1.0), ("a", "y", 2.5), ("b", "x", 3.0), ("cleaning", "t.rows_in", 4.0)]
+    assert sorted(rows(metrics)) == expected
+    for run in ("first", "second", "second"):
+        io.write_metrics(metrics, str(tmp_path), run=run)
+    kept = spark.read.parquet(str(tmp_path))
+    assert sorted(rows(kept.where("run = 'second'").drop("run"))) == expected and kept.count() == 8
 
 
 def test_the_shared_folder_is_the_one_the_session_names(spark):
