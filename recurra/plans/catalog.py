@@ -123,6 +123,12 @@ def _write_clean(t: DerivedTables) -> DataFrame:
     return _stored_cells(io.read_clean(t.spark, folder))
 
 
+def _read_clean(t: DerivedTables) -> DataFrame:
+    folder = _new_folder(t, "typed")
+    io.write_clean(t.clean(), folder, "csv")
+    return _stored_cells(io.read_clean(t.spark, folder, "csv"))
+
+
 def _publish_star(t: DerivedTables) -> DataFrame:
     folder = _new_folder(t, "star")
     tables = star.star_tables(t.clean(), snapshot=SNAPSHOT)
@@ -139,8 +145,9 @@ def _with_invoices(operator: Callable[..., DataFrame], t: DerivedTables) -> Data
 
 
 _BUILDERS: dict[str, Callable[[DerivedTables], DataFrame]] = {
-    # sources and sinks; the first three write whole tables to the shared folder and read them back
+    # sources and sinks; the first four write whole tables to the shared folder and read them back
     "read_raw": _read_raw,
+    "read_clean": _read_clean,
     "write_clean": _write_clean,
     "publish_star": _publish_star,
     "register_views": lambda t: io.register_views({"subscriptions": t["subscriptions"], "plans": t["plans"]}),

@@ -578,6 +578,7 @@ _STAR = {
 }
 _QUERIES |= {
     "read_raw": _union([_cells(t, RAW[t].names, f"raw_{t}") for t in RAW]),
+    "read_clean": _union([_cells(t, CLEAN[t].names, t) for t in CLEAN]),
     "write_clean": _union([_cells(t, CLEAN[t].names, f"c_{t}") for t in CLEAN]),
     "publish_star": _union([_cells(t, columns, f"({_QUERIES[t]})") for t, columns in _STAR.items()]),
 }
