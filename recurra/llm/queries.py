@@ -7,16 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recurra.llm import mixing, simhash
+from recurra.llm import decontamination, line_dedup, mixing, quality, simhash
 from recurra.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_dedup.dedup_lines(read_table(spark, folder, "documents"))
+    return found.select("row.doc_id", "n_lines", "n_exact", "n_near", F.col("kept_text").alias("text"))
+
+
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_components(read_table(spark, folder, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs, benchmark = read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark")
+    return decontamination.report(decontamination.find_contamination(docs, benchmark, keep=["doc_id"]))
+
+
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality.quality_rules(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return found.select("row.doc_id", *counts, "base_failed", "kept", "score")
+
+
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     found = mixing.mix(read_table(spark, folder, "documents"))
     return found.select("doc_id", "size", "source_size", "target", "taken")
@@ -24,7 +40,10 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_line_dedup": op1_line_dedup,
         "op3_simhash": op3_simhash,
+        "op8_decontamination": op8_decontamination,
+        "op9_quality_rules": op9_quality_rules,
         "op10_mixing": op10_mixing,
     }
 
