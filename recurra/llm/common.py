@@ -58,3 +58,9 @@ def all_columns(df: DataFrame) -> list[Column]:
 def packed(df: DataFrame) -> Column:
     """A whole row as one column `row`, so that no name of its columns can clash with a working column."""
     return F.struct(*all_columns(df)).alias("row")
+
+
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """`df` with a column that no later step computes anew. Spark moves projections into what uses them, which inside a function
+    over array elements means once for each element; it does not move what a generator made."""
+    return df.select(*all_columns(df), F.explode(F.array(value)).alias(name))

@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recurra.llm.common import packed, spaced_words
+from recurra.llm.common import computed_once, packed, spaced_words
 from recurra.session import cut_lineage
 
 # Shorter lines are never removed, and shorter ones than the second are removed only if they are equal.
@@ -34,7 +34,7 @@ def _with_lines(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     lines = docs.where(text.isNotNull()).select(
         F.col(id_column).alias("id"), F.xxhash64(text).alias("text_hash"), F.posexplode(F.split(text, "\n")).alias("line_no", "line")
     )
-    return lines.select("id", "text_hash", "line_no", spaced_words(F.col("line")).alias("words")).where(F.size("words") >= MIN_WORDS)
+    return computed_once(lines, "words", spaced_words(F.col("line"))).drop("line").where(F.size("words") >= MIN_WORDS)
 
 
 def _line_key() -> list[Column]:
@@ -185,17 +185,15 @@ def dedup_lines(docs: DataFrame, *, id_column: str = "doc_id", text_column: str
     text = F.col(text_column)
     key = F.struct(F.col(id_column).alias("id"), F.xxhash64(text).alias("text_hash"))
     rows = docs.select(packed(docs), text.alias("text"), key.alias("key")).join(dropped, F.col("key") == F.col("of"), "left")
-    lines = rows.select(
+    rows = rows.select(
         "row", "text", "dropped", F.coalesce("n_exact", F.lit(0)).alias("n_exact"), F.coalesce("n_near", F.lit(0)).alias("n_near"),
-        F.when(F.col("text").isNull(), F.array().cast("array<string>")).otherwise(F.split("text", "\n")).alias("lines"),
     )
-    # `lines` is used more than once, so it is split once and not anew for every line.
+    split = F.when(F.col("text").isNull(), F.array().cast("array<string>")).otherwise(F.split("text", "\n"))
+    lines = computed_once(rows, "lines", split)
     left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("dropped"))
     kept = F.array_join(F.transform(left, lambda i: F.get("lines", i)), "\n")
-    return lines.select(
-        "row", F.size("lines").cast("bigint").alias("n_lines"), "n_exact", "n_near",
-        F.when(F.col("dropped").isNull(), F.col("text")).otherwise(kept).alias("kept_text"),
-    )
+    judged = computed_once(lines, "kept_text", F.when(F.col("dropped").isNull(), F.col("text")).otherwise(kept))
+    return judged.select("row", F.size("lines").cast("bigint").alias("n_lines"), "n_exact", "n_near", "kept_text")
 
 
 def without_repeated_lines(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", map_bits: int = MAP_BITS) -> DataFrame:

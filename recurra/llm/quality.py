@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recurra.llm.common import packed, spaced_words
+from recurra.llm.common import computed_once, packed, spaced_words
 
 BUCKETS = 1 << 14
 SMOOTHING = 1.0
@@ -57,7 +57,7 @@ def labelled_sample(labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
 
 def bucket_counts(docs: DataFrame, labels: DataFrame, *, id_column: str, text_column: str, buckets: int, sample: int) -> DataFrame:
     """(bucket, raw, good, bad): n-grams of all documents, and of the labelled sample. A row a bucket at most leaves a task."""
-    texts = docs.select(F.col(id_column).alias("id"), spaced_words(F.col(text_column)).alias("words"))
+    texts = computed_once(docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")), "words", spaced_words(F.col("text")))
     known = texts.join(F.broadcast(labelled_sample(labels, sample)), F.col("id") == F.col("labelled_id"), "left")
     grams = known.select(F.explode(_buckets(F.col("words"), buckets)).alias("bucket"), "good")
     return grams.groupBy("bucket").agg(
@@ -119,23 +119,19 @@ def _covered(places: Column) -> Column:
 
 def rule_counts(docs: DataFrame, *, text_column: str = "text", more: dict | None = None) -> DataFrame:
     """(row, words, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words) for every row; `row` is the row itself.
-
-    Each step is a projection of its own that uses the one before more than once, which keeps what it made from being made anew for
-    every element.
     """
     text = F.coalesce(F.col(text_column), F.lit(""))
-    rows = docs.select(packed(docs), text.alias("text"), spaced_words(F.col(text_column)).alias("words"))
+    rows = computed_once(docs.select(packed(docs), text.alias("text")), "words", spaced_words(F.col("text")))
     rows = rows.select("row", "words", *[c.alias(n) for n, c in _counts(F.col("words"), F.col("text")).items()])
     kept = ["row", "words", "n_words", "word_chars", "n_symbols", (F.col("line_count") - F.col("distinct_lines")).cast("bigint").alias("n_dup_lines")]
-    rows = rows.select(*kept, _window_hashes(F.col("words")).alias("hashes"))
-    kept = ["row", "words", "n_words", "word_chars", "n_symbols", "n_dup_lines"]
+    rows = computed_once(rows.select(*kept), "hashes", _window_hashes(F.col("words")))
     # Most documents repeat no window, and a set tells that faster than sorting.
     repeats = F.size(F.array_distinct("hashes")) < F.size("hashes")
     placed = F.array_sort(F.transform("hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    rows = rows.select(*kept, F.when(repeats, placed).alias("placed"))
-    rows = rows.select(*kept, F.when(F.col("placed").isNotNull(), _repeated_places(F.col("placed"))).alias("places"))
+    rows = computed_once(rows, "placed", F.when(repeats, placed)).drop("hashes")
+    rows = computed_once(rows, "places", F.when(F.col("placed").isNotNull(), _repeated_places(F.col("placed")))).drop("placed")
     covered = F.when(F.col("places").isNotNull(), _covered(F.col("places"))).otherwise(F.lit(0))
-    return rows.select(*kept, covered.cast("bigint").alias("n_repeat_words"))
+    return computed_once(rows, "n_repeat_words", covered.cast("bigint")).drop("places")
 
 
 def quality_rules(
@@ -157,9 +153,7 @@ def quality_rules(
     grams = F.greatest(2 * F.col("n_words") - 1, F.lit(1))
     total = F.aggregate(_buckets(F.col("words"), buckets), F.lit(0.0), lambda sum_, b: sum_ + F.get(table, b))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    scored = rows.select(
-        "row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (total / grams).alias("score"), failed.alias("base_failed")
-    )
+    scored = computed_once(rows, "score", total / grams).drop("words").withColumn("base_failed", failed)
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= F.lit(limit)))
 
 
