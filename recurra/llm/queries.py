@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recurra.llm import decontamination, line_dedup, mixing, quality, simhash
+from recurra.llm import decontamination, extraction, line_dedup, mixing, quality, simhash, token_counts
 from recurra.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,10 +18,22 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("row.doc_id", "n_lines", "n_exact", "n_near", F.col("kept_text").alias("text"))
 
 
+def op2_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    found = extraction.extract(read_table(spark, folder, "pages"), keep=["page_id", "url"])
+    return found.select("page_id", "url", F.col("extracted").alias("text"), F.length("extracted").cast("bigint").alias("n_chars"))
+
+
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_components(read_table(spark, folder, "documents"))
 
 
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers  # only this query needs the vocabulary files
+
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    return token_counts.count_tokens(read_table(spark, folder, "documents"), path)
+
+
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs, benchmark = read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark")
     return decontamination.report(decontamination.find_contamination(docs, benchmark, keep=["doc_id"]))
@@ -41,7 +53,9 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_line_dedup": op1_line_dedup,
+        "op2_html_extraction": op2_html_extraction,
         "op3_simhash": op3_simhash,
+        "op7_token_counts": op7_token_counts,
         "op8_decontamination": op8_decontamination,
         "op9_quality_rules": op9_quality_rules,
         "op10_mixing": op10_mixing,
