@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recurra.llm import decontamination, extraction, line_dedup, mixing, quality, simhash, token_counts
+from recurra.llm import decontamination, extraction, license_scan, line_dedup, mixing, oracles, quality, simhash, token_counts
 from recurra.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,10 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_components(read_table(spark, folder, "documents"))
 
 
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan_licenses(read_table(spark, folder, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers  # only this query needs the vocabulary files
 
@@ -55,6 +59,7 @@ def queries() -> dict[str, Query]:
         "op1_line_dedup": op1_line_dedup,
         "op2_html_extraction": op2_html_extraction,
         "op3_simhash": op3_simhash,
+        "op4_license_scan": op4_license_scan,
         "op7_token_counts": op7_token_counts,
         "op8_decontamination": op8_decontamination,
         "op9_quality_rules": op9_quality_rules,
@@ -63,4 +68,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_license_scan": oracles.license_scan_sql()}
