@@ -49,3 +49,23 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS B
   coalesce(array_to_string(all_list, ','), '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
 FROM words LEFT JOIN per_doc USING (r)
 """
+
+
+# The digest's 40 hexadecimal digits in base 32: four bits a digit, five a letter.
+WARC = """
+WITH sized AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+digits AS (
+  SELECT page_id, octet_length(payload) AS payload_bytes, upper(sha1(payload)) AS hex FROM sized),
+bits AS (
+  SELECT *, array_to_string(list_transform(range(1, 41), lambda i: lpad(bin(strpos('0123456789ABCDEF', hex[i]) - 1), 4, '0')), '') AS b FROM digits),
+named AS (
+  SELECT page_id, payload_bytes, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    list_sum(list_transform(range(0, 5), lambda j: CASE WHEN b[i * 5 + j + 1] = '1' THEN 1 << (4 - j) ELSE 0 END))::INT + 1, 1)), '') AS payload_digest
+  FROM bits),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS lowest FROM named)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN page_id = lowest THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = lowest THEN NULL ELSE lowest END AS refers_to
+FROM firsts
+"""

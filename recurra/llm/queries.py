@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recurra.llm import decontamination, extraction, license_scan, line_dedup, mixing, oracles, quality, simhash, token_counts
+from recurra.llm import decontamination, extraction, license_scan, line_dedup, mixing, oracles, quality, simhash, token_counts, warc
 from recurra.llm.common import read_table
+from recurra.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +33,13 @@ def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan_licenses(read_table(spark, folder, "documents"))
 
 
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archives = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
+    manifest = warc.write_archives(read_table(spark, folder, "pages"), archives)
+    found = warc.read_archives(manifest, archives, with_payload=False)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers  # only this query needs the vocabulary files
 
@@ -60,6 +69,7 @@ def queries() -> dict[str, Query]:
         "op2_html_extraction": op2_html_extraction,
         "op3_simhash": op3_simhash,
         "op4_license_scan": op4_license_scan,
+        "op5_warc": op5_warc,
         "op7_token_counts": op7_token_counts,
         "op8_decontamination": op8_decontamination,
         "op9_quality_rules": op9_quality_rules,
@@ -68,4 +78,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_license_scan": oracles.license_scan_sql()}
+    return {
+        "op4_license_scan": oracles.license_scan_sql(),
+        "op5_warc": oracles.WARC,
+    }
