@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recurra.llm import decontamination, extraction, license_scan, line_dedup, mixing, oracles, quality, simhash, token_counts, warc
+from recurra.llm import decontamination, extraction, license_scan, line_dedup, lm_scoring, mixing, oracles, quality, simhash, token_counts, warc
 from recurra.llm.common import read_table
 from recurra.session import shared_dir
 
@@ -40,6 +40,10 @@ def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scoring.score_documents(read_table(spark, folder, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers  # only this query needs the vocabulary files
 
@@ -70,6 +74,7 @@ def queries() -> dict[str, Query]:
         "op3_simhash": op3_simhash,
         "op4_license_scan": op4_license_scan,
         "op5_warc": op5_warc,
+        "op6_lm_scoring": op6_lm_scoring,
         "op7_token_counts": op7_token_counts,
         "op8_decontamination": op8_decontamination,
         "op9_quality_rules": op9_quality_rules,
