@@ -69,3 +69,61 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
   CASE WHEN page_id = lowest THEN NULL ELSE lowest END AS refers_to
 FROM firsts
 """
+
+# Variants as texts where the query has hashes; doc_id is a key of documents, so it orders the places of a line.
+LINE_DEDUP = r"""
+WITH split AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, unnest(range(len(string_split(text, chr(10))))) AS line_no
+  FROM documents WHERE text IS NOT NULL),
+lines AS (SELECT *, trim(regexp_replace(raw, '[ \t\n\x0b\x0c\r]+', ' ', 'g')) AS line FROM split),
+placed AS (
+  SELECT doc_id, raw, line_no, string_split(line, ' ') AS w, line, doc_id::HUGEINT * 1000000000 + line_no AS place FROM lines),
+firsts AS (SELECT line, any_value(w) AS w, min(place) AS first FROM placed WHERE len(w) >= 5 GROUP BY line),
+long AS (SELECT *, len(w) AS n FROM firsts WHERE len(w) >= 10),
+variants AS (
+  SELECT line, first, n, i, array_to_string(list_concat(w[1:i - 1], w[i + 1:]), ' ') AS v FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM long)),
+earliest AS (SELECT v, n, i, min(first) AS e FROM variants GROUP BY ALL),
+near AS (
+  SELECT line FROM variants JOIN earliest USING (v, n, i) WHERE e < first
+  UNION SELECT x.line FROM variants x JOIN long y ON y.line = x.v WHERE y.first < x.first
+  UNION SELECT y.line FROM long y JOIN variants x ON y.line = x.v WHERE x.first < y.first),
+judged AS (
+  SELECT doc_id, raw, line_no, len(placed.w) >= 5 AND place <> first AS exact, len(placed.w) >= 5 AND place = first AND near.line IS NOT NULL AS is_near
+  FROM placed LEFT JOIN firsts USING (line) LEFT JOIN near USING (line)),
+per_doc AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (exact) AS n_exact, count(*) FILTER (is_near) AS n_near,
+    coalesce(string_agg(raw, chr(10) ORDER BY line_no) FILTER (NOT coalesce(exact, false) AND NOT coalesce(is_near, false)), '') AS text
+  FROM judged GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_exact, 0) AS BIGINT) AS n_exact,
+  CAST(coalesce(n_near, 0) AS BIGINT) AS n_near, CASE WHEN d.text IS NOT NULL THEN p.text END AS text
+FROM documents d LEFT JOIN per_doc p USING (doc_id)
+"""
+
+DECONTAMINATION = r"""
+WITH texts AS (
+  SELECT 'd' AS kind, doc_id AS id, coalesce(text, '') AS text FROM documents
+  UNION ALL SELECT 'b', item_id, coalesce(text, '') FROM benchmark),
+words AS (
+  SELECT kind, id, list_filter(string_split(regexp_replace(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' '), lambda w: w <> '') AS w
+  FROM texts),
+windows AS (
+  SELECT kind, id, i, array_to_string(w[i:i + 9], ' ') AS v, least(len(w), 10) AS n
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM words WHERE len(w) > 0 AND (kind = 'b' OR len(w) >= 10))),
+-- Items shorter than a window are looked for at every place of every document.
+short AS (SELECT DISTINCT v, n FROM windows WHERE kind = 'b' AND n < 10),
+places AS (
+  SELECT id, i, v, n FROM windows WHERE kind = 'd'
+  UNION ALL
+  SELECT id, i, array_to_string(w[i:i + n - 1], ' '), n
+  FROM (SELECT id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM words, (SELECT DISTINCT n FROM short) WHERE kind = 'd' AND len(w) >= n)),
+found AS (
+  SELECT p.id AS doc_id, p.i, p.n, b.id AS item_id FROM places p JOIN windows b ON b.kind = 'b' AND b.v = p.v AND b.n = p.n),
+hits AS (
+  SELECT doc_id, count(DISTINCT word_no) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS word_no FROM found) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, list_sort(list(DISTINCT item_id::VARCHAR)) AS l FROM found GROUP BY doc_id)
+SELECT w.id AS doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(len(l), 0) AS BIGINT) AS n_items,
+  sha256(coalesce(array_to_string(l, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words w LEFT JOIN hits h ON h.doc_id = w.id LEFT JOIN items t ON t.doc_id = w.id WHERE w.kind = 'd'
+"""

@@ -84,6 +84,8 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_line_dedup": oracles.LINE_DEDUP,
         "op4_license_scan": oracles.license_scan_sql(),
         "op5_warc": oracles.WARC,
+        "op8_decontamination": oracles.DECONTAMINATION,
     }
