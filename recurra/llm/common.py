@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The two kinds of words, as regular expressions over characters.
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
@@ -55,11 +57,30 @@ def all_columns(df: DataFrame) -> list[Column]:
     return [F.col("`" + name.replace("`", "``") + "`") for name in df.columns]
 
 
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """`df` without some columns; unlike drop, whatever characters the names of the others have."""
+    return df.select(*[c for c, name in zip(all_columns(df), df.columns) if name not in names])
+
+
 def packed(df: DataFrame) -> Column:
     """A whole row as one column `row`, so that no name of its columns can clash with a working column."""
     return F.struct(*all_columns(df)).alias("row")
 
 
+def map_batches(
+    df: DataFrame, of_batches: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType
+) -> DataFrame:
+    """mapInArrow for rows that carry a user's columns: those go by number, whatever their names."""
+    names = [f"c{n}" for n in range(len(schema))]
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in of_batches(batches):
+            yield batch.rename_columns(names)
+
+    kinds = T.StructType([T.StructField(name, field.dataType) for name, field in zip(names, schema.fields)])
+    return df.toDF(*[f"c{n}" for n in range(len(df.columns))]).mapInArrow(numbered, kinds).toDF(*schema.names)
+
+
 def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """`df` with a column that no later step computes anew. Spark moves projections into what uses them, which inside a function
     over array elements means once for each element; it does not move what a generator made."""

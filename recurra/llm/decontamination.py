@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from recurra.llm.common import PIECE_BYTES, PLAIN, all_columns
+from recurra.llm.common import PIECE_BYTES, PLAIN, all_columns, map_batches, without
 from recurra.llm.fm_index import FMIndex
 
 WINDOW = 10
@@ -176,7 +176,7 @@ def find_contamination(
                          F.col(text_column).cast("binary").alias("found data"), F.lit(None).cast(RESULT).alias("found"))
     for block in _blocks(benchmark, item_column, item_text, block_bytes):
         result = _searched(result, Phrases.of(block, window), shard_words, sample)
-    return result.drop("found data")
+    return without(result, "found data")
 
 
 def _searched(docs: DataFrame, phrases: Phrases, shard_words: int, sample: int) -> DataFrame:
@@ -215,7 +215,7 @@ def _searched(docs: DataFrame, phrases: Phrases, shard_words: int, sample: int)
             if shard:
                 yield searched(batch.slice(first), shard)
 
-    return docs.mapInArrow(of_batches, docs.schema)
+    return map_batches(docs, of_batches, docs.schema)
 
 
 def without_spans(text: str | None, spans: list[dict[str, int]]) -> str | None:
@@ -252,9 +252,9 @@ def report(found: DataFrame, id_column: str = "doc_id") -> DataFrame:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text_column: str = "text", **options) -> DataFrame:
     """`docs` without the passages found in the benchmark. A text that is nothing but such passages goes with its row; texts
     without a hit stay as they are, byte for byte."""
-    found = find_contamination(docs, benchmark, text_column=text_column, **options)
-    names = docs.columns
-    at, kept = names.index(text_column), [c for c in found.columns if c != "found"]
+    kept = [f"c{n}" for n in range(len(docs.columns))]
+    at = docs.columns.index(text_column)
+    found = find_contamination(docs.toDF(*kept), benchmark, text_column=kept[at], **options)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -271,4 +271,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text_column: str = "
             out = pa.RecordBatch.from_arrays(columns, names=kept)
             yield out.filter(alive) if hit else out
 
-    return found.mapInArrow(of_batches, T.StructType([f for f in found.schema.fields if f.name != "found"]))
+    return map_batches(found, of_batches, docs.schema)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recurra.llm.common import all_columns
+from recurra.llm.common import all_columns, map_batches, without
 from recurra.llm.html_tree import Node, blocks, elements, main_elements, parse
 from recurra.session import cut_lineage
 
@@ -181,7 +181,8 @@ def extract(
     rows = pages.select(*kept, host.alias("page host"), data.alias("page data"))
     sites = branches.select(F.col("host").alias("site host"), F.col("paths").alias("page paths"))
     sites = F.broadcast(sites) if size <= most_sent else sites
-    rows = rows.join(sites, F.col("page host") == F.col("site host"), "left").drop("page host", "site host")
+    rows = rows.join(sites, F.col("page host") == F.col("site host"), "left")
+    rows = without(rows, "page host", "site host")
     place = len(kept)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,4 +195,4 @@ def extract(
 
     out = rows.select(*kept, F.lit("").alias("extracted"))
     names = out.columns[:-1]
-    return rows.mapInArrow(of_batches, out.schema)
+    return map_batches(rows, of_batches, out.schema)

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recurra.llm.common import count_spaced_words, packed
+from recurra.llm.common import count_spaced_words, packed, without
 from recurra.session import cut_lineage
 
 WEIGHTS = (5, 2, 1)
@@ -221,7 +221,7 @@ def mixed_rows(docs: DataFrame, *, id_column: str = "doc_id", text_column: str =
     mine = F.struct(
         F.col(id_column).alias("id"), F.col(source_column).alias("source"), count_spaced_words(F.col(text_column)).alias("size")
     )
-    here = docs.drop("mix")
+    here = without(docs, "mix")
     rows = here.select(packed(here), mine.alias("key")).join(decisions, F.col("key") == F.col("of"))
     turn = F.row_number().over(Window.partitionBy("key").orderBy("key"))
     return rows.withColumn("turn", turn).where(F.col("turn") <= F.size("all")).select(
