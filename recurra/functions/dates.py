@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from recurra.functions.text import stripped
+
+# The accepted date formats.
 ISO = r"^\d{4}-\d{1,2}-\d{1,2}$"
 YEAR_MONTH = r"^\d{4}-\d{1,2}$"
 NAMED_MONTH = r"^\d{1,2}-[A-Za-z]{3}-\d{4}$"
@@ -13,13 +16,13 @@ SLASHED = r"^(\d{1,2})/(\d{1,2})/(\d{4})$"
 
 def iso_date(raw: Column) -> Column:
     """ISO text to date; blank or unreadable text becomes NULL."""
-    text = F.trim(raw)
+    text = stripped(raw)
     return F.when(text.rlike(ISO), text.try_cast("date"))
 
 
 def first_of_month(raw: Column) -> Column:
     """'2023-09' to the first day of that month."""
-    text = F.trim(raw)
+    text = stripped(raw)
     return F.when(text.rlike(YEAR_MONTH), F.concat(text, F.lit("-01")).try_cast("date"))
 
 
@@ -39,7 +42,7 @@ def _month_first(text: Column) -> Column:
 
 def messy_date(raw: Column) -> Column:
     """ISO, or day-month name-year, or slashes: day first if that is a date, else month first."""
-    text = F.trim(raw)
+    text = stripped(raw)
     return (
         F.when(text.rlike(ISO), text.try_cast("date"))
         .when(text.rlike(NAMED_MONTH), F.try_to_date(text, "d-MMM-yyyy"))
@@ -49,7 +52,7 @@ def messy_date(raw: Column) -> Column:
 
 def is_ambiguous_date(raw: Column) -> Column:
     """True where a slash date reads as a valid date both ways round, equal parts included."""
-    text = F.trim(raw)
+    text = stripped(raw)
     both = _day_first(text).isNotNull() & _month_first(text).isNotNull()
     return F.when(text.rlike(SLASHED), both).otherwise(False)
 

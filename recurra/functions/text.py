@@ -28,10 +28,15 @@ COUNTRY_SPELLINGS = {
 }
 
 
+def stripped(raw: Column) -> Column:
+    """Without white space of any kind (tabs, line ends, no-break spaces) around it."""
+    return F.regexp_replace(raw, r"(?U)^\s+|\s+$", "")
+
+
 def canonical_country(raw: Column) -> Column:
     """Canonical country, or NULL where the spelling is not known."""
     spellings = F.create_map(*[F.lit(v) for v in chain.from_iterable(COUNTRY_SPELLINGS.items())])
-    return F.try_element_at(spellings, F.lower(F.trim(raw)))
+    return F.try_element_at(spellings, F.lower(stripped(raw)))
 
 
 def comparable_name(raw: Column) -> Column:

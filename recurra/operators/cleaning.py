@@ -12,8 +12,8 @@ from recurra.functions.dates import first_of_month, is_ambiguous_date, iso_date,
 from recurra.functions.money import is_formatted_amount, parse_amount, rounded_percent
 from recurra.functions.text import canonical_country, comparable_name
 from recurra.operators.invoices import priced_subscriptions
-from recurra.operators.joins import spread_join
-from recurra.schemas import PRICE, PRIMARY_KEYS
+from recurra.operators.joins import spread_join, with_scalar
+from recurra.schemas import MALFORMED, PRICE, PRIMARY_KEYS
 from recurra.session import cut_lineage
 
 # An amount above 5 times or below 0.2 times the list price is an outlier.
@@ -177,6 +177,7 @@ def _long(row: DataFrame, table: str) -> DataFrame:
 
 
 def _customer_log(customers: DataFrame, remap: DataFrame) -> list[DataFrame]:
+    """Every merged duplicate is one row less, so what is left needs no pass of its own."""
     spelling, signup = F.col("country"), F.col("signup_date")
     # Spellings are few, so they are grouped first; both distinct counts then read a handful of rows.
     by_spelling = customers.groupBy("country").agg(
@@ -194,9 +195,23 @@ def _customer_log(customers: DataFrame, remap: DataFrame) -> list[DataFrame]:
         F.sum("no_band").alias("missing_company_size_band"),
         F.sum("no_channel").alias("missing_acquisition_channel"),
     )
-    merged = remap.agg(F.count("*").alias("merged_duplicates"))
-    kept = clean_customers(customers, remap).agg(F.count("*").alias("rows_out"))
-    return [_long(part, "customers") for part in (totals, merged, kept)]
+    both = with_scalar(totals, remap.agg(F.count("*").alias("merged_duplicates")))
+    return [_long(both.withColumn("rows_out", F.col("rows_in") - F.col("merged_duplicates")), "customers")]
+
+
+def _usage_log(usage: DataFrame, remap: DataFrame) -> DataFrame:
+    """Rows in and out in one pass: a row out is a group of rows in."""
+    named = usage.select("customer_id", first_of_month(F.col("month")).alias("usage_month"), "login_count", "feature_usage_count")
+    merged = remap_customer_id(named, remap, ["usage_month", "login_count", "feature_usage_count"])
+    groups = merged.groupBy("customer_id", "usage_month").agg(F.count("*").alias("n"))
+    return groups.agg(F.sum("n").alias("rows_in"), F.count("*").alias("rows_out"))
+
+
+def malformed_rows(raw: Mapping[str, DataFrame]) -> list[DataFrame]:
+    """Rows that a reader could not make sense of, for the tables that say so (read_raw with keep_malformed)."""
+    return [
+        _long(df.agg(F.count_if(MALFORMED).alias("malformed_rows")), name) for name, df in raw.items() if MALFORMED in df.columns
+    ]
 
 
 def cleaning_log(raw: Mapping[str, DataFrame]) -> DataFrame:
@@ -231,8 +246,8 @@ def cleaning_log(raw: Mapping[str, DataFrame]) -> DataFrame:
             ),
             "invoices",
         ),
-        _long(raw["usage_monthly"].agg(rows_in), "usage_monthly"),
-        _long(clean_usage(raw["usage_monthly"], remap).agg(rows_out), "usage_monthly"),
+        _long(_usage_log(raw["usage_monthly"], remap), "usage_monthly"),
         _long(raw["support_tickets"].agg(rows_in, rows_out), "support_tickets"),
+        *malformed_rows(raw),
     ]
     return reduce(DataFrame.unionByName, parts)

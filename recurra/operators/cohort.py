@@ -57,10 +57,14 @@ def fact_cohort_retention(customers: DataFrame, subscriptions: DataFrame, *, sna
     return retention(customers, subscriptions, snapshot=snapshot, offsets=YEAR)
 
 
-def _matrix(customers: DataFrame, subscriptions: DataFrame, *, snapshot: date, digits: int) -> DataFrame:
-    """A cell is NULL until its month has come, and 0 if it has come and nobody was active."""
+def _wide(customers: DataFrame, subscriptions: DataFrame, *, snapshot: date, digits: int) -> DataFrame:
+    """One row for each cohort that was ever active, one column for each month since signup."""
     rows = retention(customers, subscriptions, snapshot=snapshot, offsets=YEAR, digits=digits)
-    wide = rows.groupBy("cohort_month").pivot("months_since_signup", list(YEAR)).agg(F.first("retention_pct"))
+    return rows.groupBy("cohort_month").pivot("months_since_signup", list(YEAR)).agg(F.first("retention_pct"))
+
+
+def _matrix(wide: DataFrame, *, snapshot: date) -> DataFrame:
+    """A cell is NULL until its month has come, and 0 if it has come and nobody was active."""
     elapsed = months_apart(F.lit(snapshot), F.col("cohort_month"))
     return wide.select(
         "cohort_month", *[F.when(elapsed >= k, F.coalesce(F.col(str(k)), F.lit(0))).alias(f"m{k}") for k in YEAR]
@@ -70,14 +74,19 @@ def _matrix(customers: DataFrame, subscriptions: DataFrame, *, snapshot: date, d
 def cohort_retention_matrix(
     customers: DataFrame, subscriptions: DataFrame, *, snapshot: date, newest: int = 18
 ) -> DataFrame:
-    """Cohorts down, months since signup across; the newest cohorts, as many as a page shows."""
-    matrix = _matrix(customers, subscriptions, snapshot=snapshot, digits=1)
+    """Cohorts down, months since signup across; the newest cohorts, as many as a page shows.
+
+    A cohort of which nobody was ever active has a row like the others.
+    """
+    cohorts = cohort_sizes(customers).where("cohort_month is not null").select("cohort_month")
+    wide = _wide(customers, subscriptions, snapshot=snapshot, digits=1)
+    matrix = _matrix(cohorts.join(wide, "cohort_month", "left"), snapshot=snapshot)
     return matrix.orderBy(F.col("cohort_month").desc()).limit(newest)
 
 
 def cohort_m12_summary(customers: DataFrame, subscriptions: DataFrame, *, snapshot: date) -> DataFrame:
-    """Lowest, highest and mean twelve-month retention over the cohorts old enough to have one."""
-    matrix = _matrix(customers, subscriptions, snapshot=snapshot, digits=6)
+    """Lowest, highest and mean twelve-month retention over the cohorts that were ever active and are old enough to have one."""
+    matrix = _matrix(_wide(customers, subscriptions, snapshot=snapshot, digits=6), snapshot=snapshot)
     year = F.col("m12")
     return matrix.agg(
         F.min(year).alias("min_pct"), F.max(year).alias("max_pct"),

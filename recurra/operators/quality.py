@@ -22,35 +22,49 @@ def _present(keys: Sequence[str]) -> Column:
 
 
 def duplicate_keys(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
-    """Keys held more than once, and the rows beyond the first of each."""
-    repeated = df.where(_present(keys)).groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    return repeated.agg(
-        F.count("*").alias("n_duplicate_keys"),
-        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("n_surplus_rows"),
-    ).select(F.lit(table).alias("table_name"), "n_duplicate_keys", "n_surplus_rows")
+    """Keys held more than once, the rows beyond the first of each, and rows whose key is missing or incomplete."""
+    counted = df.groupBy(*keys).agg(F.count("*").alias("n")).select("n", _present(keys).alias("present"))
+    repeated = F.col("present") & (F.col("n") > 1)
+    return counted.agg(
+        F.count_if(repeated).alias("n_duplicate_keys"),
+        F.coalesce(F.sum(F.when(repeated, F.col("n") - 1)), F.lit(0)).cast("bigint").alias("n_surplus_rows"),
+        F.coalesce(F.sum(F.when(~F.col("present"), F.col("n"))), F.lit(0)).cast("bigint").alias("n_null_keys"),
+    ).select(F.lit(table).alias("table_name"), "n_duplicate_keys", "n_surplus_rows", "n_null_keys")
 
 
 def pk_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
     return _union(duplicate_keys(df, name, PRIMARY_KEYS[name]) for name, df in tables.items())
 
 
-def orphan_count(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """n_orphans: child rows whose value the parent lacks.
+def _used_keys(child: DataFrame, column: str) -> DataFrame:
+    """Values counted before they move, so one that many rows share reaches a join as one row."""
+    return child.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("bigint").alias("_key")).agg(F.count("*").alias("n"))
 
-    Child values are counted first, so a value that many rows share reaches the join as one row.
-    """
-    used = child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_key")).agg(F.count("*").alias("n"))
-    missing = used.join(parent.select(F.col(parent_column).alias("_key")), "_key", "left_anti")
+
+def orphan_count(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    """n_orphans: child rows whose value the parent lacks."""
+    missing = _used_keys(child, column).join(parent.select(F.col(parent_column).alias("_key")), "_key", "left_anti")
     return missing.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_orphans"))
 
 
 def fk_orphans(tables: Mapping[str, DataFrame]) -> DataFrame:
-    return _union(
-        orphan_count(tables[child], column, tables[parent], key).select(
-            F.lit(child).alias("child_table"), F.lit(column).alias("fk_column"), "n_orphans"
+    """Child rows whose value the parent lacks; all children of one parent meet it in one join, so a parent is read once."""
+    found = []
+    for parent, key in dict.fromkeys((p, k) for _, _, p, k in FOREIGN_KEYS):
+        children = [(c, column) for c, column, p, k in FOREIGN_KEYS if (p, k) == (parent, key)]
+        used = _union(
+            _used_keys(tables[child], column).select(F.lit(f"{child}.{column}").alias("use"), "_key", "n") for child, column in children
         )
-        for child, column, parent, key in FOREIGN_KEYS
-    )
+        # An anti-join would be moved below the union, into one for each child.
+        known = tables[parent].select(F.col(key).cast("bigint").alias("_key"), F.lit(True).alias("known"))
+        missing = used.join(known, "_key", "left").where("known is null")
+        counts = [F.coalesce(F.sum(F.when(F.col("use") == f"{c}.{k}", F.col("n"))), F.lit(0)).cast("bigint") for c, k in children]
+        rows = F.array(*[
+            F.struct(F.lit(c).alias("child_table"), F.lit(k).alias("fk_column"), count.alias("n_orphans"))
+            for (c, k), count in zip(children, counts)
+        ])
+        found.append(missing.agg(rows.alias("rows")).select(F.inline("rows")))
+    return _union(found)
 
 
 def _rules(table: str) -> dict[str, Column]:
@@ -75,11 +89,17 @@ def domain_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
     return _union(parts)
 
 
-def table_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    return _union(
+def table_row_counts(tables: Mapping[str, DataFrame], expected: Mapping[str, int] | None = None) -> DataFrame:
+    """Rows of each table; with `expected`, also what was expected (NULL where nothing was) and whether they match."""
+    counts = _union(
         df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
         for name, df in tables.items()
     )
+    if expected is None:
+        return counts
+    wanted = reduce(lambda c, item: c.when(F.col("table_name") == item[0], F.lit(item[1])), expected.items(), F.when(F.lit(False), F.lit(0)))
+    status = F.when(wanted.isNull(), "unknown").when(wanted == F.col("n_rows"), "match").otherwise("diff")
+    return counts.withColumns({"expected_rows": wanted.cast("bigint"), "status": status})
 
 
 def reconcile(

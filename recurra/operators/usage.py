@@ -15,11 +15,11 @@ CHURNED = "Churned (ever)"
 NEVER_CHURNED = "Never churned"
 
 
-def _with_trailing(usage: DataFrame, rows: int) -> DataFrame:
-    """Add the sum and the count of the logins of the preceding rows (rows, not calendar months)."""
+def _with_trailing(usage: DataFrame, rows: int, *carried: str) -> DataFrame:
+    """Add the sum and the count of the logins of the preceding rows (rows, not calendar months); keep columns `carried`."""
     before = Window.partitionBy("customer_id").orderBy("usage_month").rowsBetween(-rows, -1)
     return (
-        usage.select("customer_id", "usage_month", "login_count")
+        usage.select("customer_id", "usage_month", "login_count", *carried)
         .withColumn("trailing_sum", F.sum("login_count").over(before))
         .withColumn("trailing_rows", F.count("login_count").over(before))
     )
@@ -39,16 +39,18 @@ def revenue_at_risk(usage: DataFrame, customers: DataFrame, mrr: DataFrame, *, t
     """
     latest = usage.agg(F.max("usage_month").alias("latest_month"))
     logins, total, n = F.col("login_count"), F.col("trailing_sum"), F.col("trailing_rows")
-    # logins < total / n / 2, in whole numbers
-    declining = with_scalar(_with_trailing(usage, 5), latest).where(
-        (F.col("usage_month") == F.col("latest_month")) & (logins * n * 2 < total)
-    )
     at_stake = (
         mrr.where(F.col("status") == "active").groupBy("customer_id").agg(F.sum(to_cents(F.col("mrr"))).alias("cents"))
     )
+    # Only usage of customers with something at stake is put in order.
+    usage_at_stake = usage.join(at_stake, "customer_id")
+    # logins < total / n / 2, in whole numbers
+    declining = with_scalar(_with_trailing(usage_at_stake, 5, "cents"), latest).where(
+        (F.col("usage_month") == F.col("latest_month")) & (logins * n * 2 < total)
+    )
     names = customers.select("customer_id", "company_name")
     return (
-        declining.join(at_stake, "customer_id").join(names, "customer_id")
+        declining.join(names, "customer_id")
         .orderBy(F.col("cents").desc(), "customer_id")
         .limit(top)
         .select(

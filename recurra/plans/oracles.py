@@ -43,8 +43,12 @@ def _dbl(expression: str) -> str:
     return f"CAST({expression} AS DOUBLE)"
 
 
+def _strip(raw: str) -> str:
+    return rf"regexp_replace({raw}, '^[\s\x{{00A0}}]+|[\s\x{{00A0}}]+$', '', 'g')"
+
+
 def _date(raw: str) -> str:
-    x = f"trim({raw})"
+    x = _strip(raw)
     shaped = f"regexp_full_match({x}, '[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{4}}')"
     return (
         f"CAST(coalesce(try_strptime({x}, '%Y-%m-%d'), try_strptime({x}, '%d-%b-%Y'), "
@@ -58,7 +62,7 @@ def _part(x: str, i: int) -> str:
 
 
 def _ambiguous(raw: str) -> str:
-    x = f"trim({raw})"
+    x = _strip(raw)
     return f"coalesce({x} LIKE '%/%/%' AND {_part(x, 1)} BETWEEN 1 AND 12 AND {_part(x, 2)} BETWEEN 1 AND 12, FALSE)"
 
 
@@ -88,7 +92,7 @@ _CTES = {
         SELECT customer_id, company_name, country_name AS country, company_size_band,
                {_date('signup_date')} AS signup_date, acquisition_channel,
                {_ambiguous('signup_date')} AS signup_date_ambiguous
-        FROM raw_customers LEFT JOIN spellings ON spelling = lower(trim(country))
+        FROM raw_customers LEFT JOIN spellings ON spelling = lower({_strip('country')})
         WHERE customer_id NOT IN (SELECT duplicate_customer_id FROM remap)""",
     "c_plans": """
         SELECT plan_id, plan_name, tier, CAST(monthly_price AS DECIMAL(10,2)) AS monthly_price,
@@ -109,6 +113,9 @@ _CTES = {
     "c_invoices": """
         SELECT i.*, coalesce(amount > 5 * list_price OR 5 * amount < list_price, FALSE) AS is_outlier
         FROM parsed_invoices i LEFT JOIN list_prices USING (subscription_id)""",
+    "first_invoices": """
+        SELECT * FROM invoices QUALIFY row_number() OVER (
+            PARTITION BY invoice_id ORDER BY subscription_id, invoice_date, amount, payment_status, is_outlier) = 1""",
     "judged_invoices": """
         SELECT i.invoice_id, subscription_id, i.amount, list_price,
                coalesce(amount > 5 * list_price OR 5 * amount < list_price, FALSE) AS is_outlier
@@ -291,7 +298,7 @@ def _cleaning_log() -> str:
         for t in CLEAN
         for m, s in (("rows_in", f"raw_{t}"), ("rows_out", f"c_{t}"))
     ]
-    known = "raw_customers LEFT JOIN spellings ON spelling = lower(trim(country))"
+    known = f"raw_customers LEFT JOIN spellings ON spelling = lower({_strip('country')})"
     return _union(
         rows
         + [
@@ -316,7 +323,8 @@ def _cleaning_log() -> str:
 def _duplicates(table: str, keys: tuple[str, ...], source: str, label: str) -> str:
     present = " AND ".join(f"{k} IS NOT NULL" for k in keys)
     return (
-        f"SELECT {label}, count(*) AS n_duplicate_keys, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS n_surplus_rows FROM "
+        f"SELECT {label}, count(*) AS n_duplicate_keys, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS n_surplus_rows, "
+        f"(SELECT count(*) FROM {source} WHERE NOT ({present})) AS n_null_keys FROM "
         f"(SELECT count(*) AS n FROM {source} WHERE {present} GROUP BY {', '.join(keys)}) WHERE n > 1"
     )
 
@@ -342,22 +350,24 @@ def _domain_violations() -> str:
     return _union(parts)
 
 
-def _reconcile() -> str:
+def _reconcile(measures: tuple[str, ...], left: str, right: str) -> str:
     parts = []
-    for m in ("active_customers", "customers_churned", "churned_mrr"):
+    for m in measures:
         parts.append(
             f"""SELECT month, '{m}' AS measure, {_dbl('a.' + m)} AS left_value, {_dbl('b.' + m)} AS right_value,
                 CAST(CAST(a.{m} AS DECIMAL(28,6)) - CAST(b.{m} AS DECIMAL(28,6)) AS DOUBLE) AS difference,
                 CASE WHEN b.month IS NULL THEN 'left_only' WHEN a.month IS NULL THEN 'right_only'
                      WHEN a.{m} = b.{m} THEN 'match' ELSE 'diff' END AS status
-                FROM monthly_churn a FULL JOIN vanished b USING (month)"""
+                FROM {left} a FULL JOIN {right} b USING (month)"""
         )
     return _union(parts)
 
 
-def _cells(table: str, columns: list[str], source: str) -> str:
+def _cells(table: str, columns: list[str], source: str, inexact: tuple[str, ...] = ()) -> str:
     filled = " + ".join(f"count({c})" for c in columns)
-    return f"SELECT '{table}' AS table_name, count(*) AS n_rows, {filled} AS n_values FROM {source}"
+    texts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in columns if c not in inexact)
+    digest = f"CAST(sum(CAST('0x' || substr(md5(concat_ws('|', {texts})), 1, 8) AS BIGINT)) AS BIGINT)"
+    return f"SELECT '{table}' AS table_name, count(*) AS n_rows, {filled} AS n_values, {digest} AS digest FROM {source}"
 
 
 def _clv_by(segment: str, source: str = "clv") -> str:
@@ -373,10 +383,13 @@ def _matrix() -> str:
     cells = []
     for k in range(13):
         share = _rounded(
-            f"100 * coalesce(max(CASE WHEN months_since_signup = {k} THEN active_customers END), 0)", "max(cohort_size)", 1
+            f"100 * coalesce(max(CASE WHEN months_since_signup = {k} THEN active_customers END), 0)", "max(z.cohort_size)", 1
         )
         cells.append(f"CASE WHEN {_apart(_SNAP, 'cohort_month')} >= {k} THEN {share} END AS m{k}")
-    return f"SELECT cohort_month, {', '.join(cells)} FROM year_kept GROUP BY cohort_month ORDER BY cohort_month DESC LIMIT 18"
+    return (
+        f"SELECT cohort_month, {', '.join(cells)} FROM sizes z LEFT JOIN year_kept USING (cohort_month) "
+        "WHERE cohort_month IS NOT NULL GROUP BY cohort_month ORDER BY cohort_month DESC LIMIT 18"
+    )
 
 
 def _kept(condition: str) -> str:
@@ -442,7 +455,7 @@ def _money(columns: str, source: str, *money: str) -> str:
 _QUERIES = {
     "register_views": _SUBSCRIPTION_MRR,
     "metrics_table": _metrics(),
-    "clean_country": "SELECT customer_id, country_name AS country FROM raw_customers LEFT JOIN spellings ON spelling = lower(trim(country))",
+    "clean_country": f"SELECT customer_id, country_name AS country FROM raw_customers LEFT JOIN spellings ON spelling = lower({_strip('country')})",
     "parse_messy_date": f"SELECT customer_id, {_date('signup_date')} AS signup_date, {_ambiguous('signup_date')} AS signup_date_ambiguous FROM raw_customers",
     "null_profile": _union([_null_count(c) for c in PROFILED]),
     "normalize_name": f"SELECT customer_id, {_NAME} AS norm_name FROM raw_customers",
@@ -468,7 +481,10 @@ _QUERIES = {
     ),
     "domain_violations": _domain_violations(),
     "table_row_counts": _union([f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM c_{t}" for t in CLEAN]),
-    "reconcile": _reconcile(),
+    "reconcile": _reconcile(("active_customers", "customers_churned", "churned_mrr"), "monthly_churn", "vanished"),
+    "reconcile_mrr": _reconcile(
+        ("total_mrr",), "(SELECT month, sum(mrr) AS total_mrr FROM waterfall GROUP BY month)", "(SELECT month, total_mrr FROM summary)"
+    ),
     "subscription_mrr": _SUBSCRIPTION_MRR,
     "month_spine": "SELECT month FROM calendar",
     "active_month_start": f"SELECT s.subscription_id, s.customer_id, m.month FROM calendar m JOIN subscriptions s ON {_RUNNING}",
@@ -576,11 +592,17 @@ _STAR = {
         "customer_id", "country", "company_size_band", "acquisition_channel", "total_revenue", "tenure_months"
     ],
 }
+# Columns of the star tables that the queries hold as decimals or doubles.
+_INEXACT = (
+    "monthly_price", "annual_price", "mrr", "prev_mrr", "mrr_delta", "churned_mrr", "logo_churn_rate_pct", "retention_pct",
+    "total_revenue", "tenure_months",
+)
 _QUERIES |= {
     "read_raw": _union([_cells(t, RAW[t].names, f"raw_{t}") for t in RAW]),
     "read_clean": _union([_cells(t, CLEAN[t].names, t) for t in CLEAN]),
     "write_clean": _union([_cells(t, CLEAN[t].names, f"c_{t}") for t in CLEAN]),
-    "publish_star": _union([_cells(t, columns, f"({_QUERIES[t]})") for t, columns in _STAR.items()]),
+    "publish_tables": _union([_cells(t, CLEAN[t].names, "first_invoices" if t == "invoices" else t) for t in CLEAN]),
+    "publish_star": _union([_cells(t, columns, f"({_QUERIES[t]})", _INEXACT) for t, columns in _STAR.items()]),
 }
 
 

@@ -55,6 +55,9 @@ CLEAN = {
 
 TABLES = tuple(CLEAN)
 
+# True where a reader could not make sense of a row, or of a value in it.
+MALFORMED = "_malformed"
+
 PRIMARY_KEYS = {
     "customers": ("customer_id",),
     "plans": ("plan_id",),

@@ -15,8 +15,12 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Checkpoints go with the last reference to them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
+_local_folders: dict[str, str] = {}
+
 
 def build_session(app_name: str = "recurra", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -38,7 +42,10 @@ def shared_dir(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="recurra-checkpoint-")
+    session = spark.sparkContext.applicationId
+    if session not in _local_folders:
+        _local_folders[session] = tempfile.mkdtemp(prefix="recurra-checkpoint-")
+    return _local_folders[session]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

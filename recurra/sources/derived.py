@@ -32,7 +32,7 @@ def _messy(day: str, selector: str) -> str:
     yyyy = f"CAST(year({day}) AS STRING)"
     name = f"substr('JanFebMarAprMayJunJulAugSepOctNovDec', CAST((month({day}) - 1) * 3 + 1 AS INT), 3)"
     return (
-        f"CASE CAST({selector} AS INT) WHEN 0 THEN CAST({day} AS STRING) WHEN 1 THEN {dd} || '/' || {mm} || '/' || {yyyy}"
+        f"CASE CAST({selector} AS INT) WHEN 0 THEN CAST({day} AS STRING) || chr(9) WHEN 1 THEN {dd} || '/' || {mm} || '/' || {yyyy}"
         f" WHEN 2 THEN {dd} || '-' || {name} || '-' || {yyyy} ELSE {mm} || '/' || {dd} || '/' || {yyyy} END"
     )
 
@@ -70,7 +70,8 @@ FROM (SELECT o_orderkey AS subscription_id, o_custkey AS customer_id,
 """
 
 _CUSTOMERS = """
-SELECT c_custkey AS customer_id, replace(c_name, '#', ' ') || ' LLC' AS company_name,
+SELECT c_custkey AS customer_id,
+       CASE WHEN c_custkey % 13 = 0 THEN replace(c_name, '#', ' "') || '", LLC' ELSE replace(c_name, '#', ' ') || ' LLC' END AS company_name,
        CASE c_nationkey % 5 WHEN 0 THEN 'United States' WHEN 1 THEN 'United Kingdom' WHEN 2 THEN 'India'
             WHEN 3 THEN 'Australia' ELSE 'Canada' END AS country,
        CASE WHEN c_custkey % 17 = 0 THEN NULL WHEN c_custkey % 5 = 0 THEN '1-10' WHEN c_custkey % 5 = 1 THEN '11-50'
@@ -123,7 +124,7 @@ FROM {plans}
 
 _RAW_CUSTOMERS = f"""
 SELECT customer_id, company_name, CASE
-   WHEN country = 'United States' THEN (CASE customer_id % 4 WHEN 0 THEN 'United States' WHEN 1 THEN 'USA' WHEN 2 THEN 'US' ELSE ' U.S.A ' END)
+   WHEN country = 'United States' THEN (CASE customer_id % 4 WHEN 0 THEN 'United States' WHEN 1 THEN 'USA' WHEN 2 THEN 'US' ELSE chr(9) || 'U.S.A' || chr(160) END)
    WHEN country = 'United Kingdom' THEN (CASE customer_id % 4 WHEN 0 THEN 'United Kingdom' WHEN 1 THEN 'UK' WHEN 2 THEN 'U.K.' ELSE 'Britain' END)
    WHEN country = 'India' THEN (CASE customer_id % 3 WHEN 0 THEN 'India' WHEN 1 THEN 'IN' ELSE 'Bharat' END)
    WHEN country = 'Australia' THEN (CASE customer_id % 3 WHEN 0 THEN 'Australia' WHEN 1 THEN 'AUS' ELSE 'AU' END)

@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recurra.operators.cleaning import clean_tables
+from recurra.operators.cleaning import clean_tables, cleaning_log
 from recurra.operators.star import star_tables
 from recurra.sources.tables import publish_star, read_clean, read_raw, write_clean
 
@@ -17,5 +17,10 @@ def run_cleaning(spark: SparkSession, raw_folder: str, clean_folder: str, fmt: s
     return read_clean(spark, clean_folder)
 
 
+def log_cleaning(spark: SparkSession, raw_folder: str, fmt: str = "csv") -> DataFrame:
+    """What cleaning meets in a folder of raw tables, malformed rows among it."""
+    return cleaning_log(read_raw(spark, raw_folder, fmt, keep_malformed=fmt == "csv"))
+
+
 def run_star(spark: SparkSession, clean_folder: str, star_folder: str, *, snapshot: date) -> None:
     publish_star(star_tables(read_clean(spark, clean_folder), snapshot=snapshot), star_folder)

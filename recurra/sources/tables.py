@@ -2,42 +2,78 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from recurra.operators.mrr import subscription_mrr
 from recurra.operators.quality import domain_violations, fk_orphans, pk_violations
 from recurra.operators.star import BY_MONTH
-from recurra.schemas import CLEAN, RAW
+from recurra.schemas import CLEAN, MALFORMED, RAW
 
 FORMATS = ("csv", "parquet")
+CSV_OUT = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 # Tables whose key bounds the rows per customer, so no bucket outgrows the others. The other tables may hold
 # any number of rows for one customer and are left to shuffles, which can be split.
 BUCKETED = {"customers": "customer_id", "usage_monthly": "customer_id"}
 
 
-def _read(spark: SparkSession, folder: str, schemas: Mapping[str, StructType], fmt: str) -> dict[str, DataFrame]:
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
+
+
+def _stored_at(spark: SparkSession, folder: str, name: str, fmt: str, prefixes: Sequence[str]) -> str:
+    """<folder>/<table>, <folder>/<table>.<fmt>, or either with a prefix; the first that is there."""
+    places = [f"{folder}/{prefix}{name}{ending}" for prefix in prefixes for ending in ("", f".{fmt}")]
+    return next((p for p in places if _exists(spark, p)), places[0])
+
+
+def _read_csv(spark: SparkSession, path: str, schema: StructType, keep_malformed: bool) -> DataFrame:
+    """Columns by the names in the header, in any order; a file whose header differs from the first one's is refused.
+
+    Values that are not what their column should be are NULL. With `keep_malformed` a last column says which rows have one,
+    or have too many or too few values.
+    """
+    options = {"header": True, "escape": '"', "enforceSchema": False, "columnNameOfCorruptRecord": "_corrupt_record"}
+    header = spark.read.options(**options).csv(path).columns
+    missing = [c for c in schema.names if c not in header]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    if keep_malformed:
+        options["columnPruning"] = False  # else a row is only as long as the columns that are read
+    texts = StructType([StructField(c, StringType()) for c in [*header, "_corrupt_record"]])
+    rows = spark.read.schema(texts).options(**options).csv(path)
+    typed = {f.name: F.col(f"`{f.name}`").try_cast(f.dataType) for f in schema.fields}
+    unreadable = [F.col(f"`{f.name}`").isNotNull() & typed[f.name].isNull() for f in schema.fields if f.dataType != StringType()]
+    broken = reduce(Column.__or__, [F.col("_corrupt_record").isNotNull(), *unreadable])
+    marks = [broken.alias(MALFORMED)] if keep_malformed else []
+    return rows.select(*[value.alias(name) for name, value in typed.items()], *marks)
+
+
+def _read(
+    spark: SparkSession, folder: str, schemas: Mapping[str, StructType], fmt: str, prefixes: Sequence[str], keep_malformed: bool = False
+) -> dict[str, DataFrame]:
     if fmt not in FORMATS:
         raise ValueError(f"expected one of {FORMATS}, not {fmt!r}")
-    reader = {
-        name: spark.read.schema(schema).option("header", True) if fmt == "csv" else spark.read.schema(schema)
-        for name, schema in schemas.items()
-    }
-    return {name: getattr(r, fmt)(f"{folder}/{name}") for name, r in reader.items()}
+    tables = {}
+    for name, schema in schemas.items():
+        path = _stored_at(spark, folder, name, fmt, prefixes)
+        tables[name] = _read_csv(spark, path, schema, keep_malformed) if fmt == "csv" else spark.read.schema(schema).parquet(path)
+    return tables
 
 
-def read_raw(spark: SparkSession, folder: str, fmt: str = "csv") -> dict[str, DataFrame]:
+def read_raw(spark: SparkSession, folder: str, fmt: str = "csv", *, keep_malformed: bool = False) -> dict[str, DataFrame]:
     """The six raw tables; messy columns stay text, nothing is inferred."""
-    return _read(spark, folder, RAW, fmt)
+    return _read(spark, folder, RAW, fmt, ("",), keep_malformed)
 
 
-def read_clean(spark: SparkSession, folder: str, fmt: str = "parquet") -> dict[str, DataFrame]:
-    return _read(spark, folder, CLEAN, fmt)
+def read_clean(spark: SparkSession, folder: str, fmt: str = "parquet", *, keep_malformed: bool = False) -> dict[str, DataFrame]:
+    return _read(spark, folder, CLEAN, fmt, ("", "clean_"), keep_malformed)
 
 
 def write_clean(tables: Mapping[str, DataFrame], folder: str, fmt: str = "parquet") -> None:
@@ -46,7 +82,8 @@ def write_clean(tables: Mapping[str, DataFrame], folder: str, fmt: str = "parque
     for name, df in tables.items():
         writer = df.select(CLEAN[name].names).write.mode("overwrite")
         if fmt == "csv":
-            writer.option("header", True).csv(f"{folder}/{name}")
+            # Quotes are doubled and blanks around a value stay, which is what other readers expect.
+            writer.options(**CSV_OUT).csv(f"{folder}/{name}")
         else:
             writer.parquet(f"{folder}/{name}")
 
@@ -54,7 +91,7 @@ def write_clean(tables: Mapping[str, DataFrame], folder: str, fmt: str = "parque
 def quality_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(check, subject, violations) of every key, reference and value rule."""
     keys = pk_violations(tables).select(
-        F.lit("key").alias("check"), F.col("table_name").alias("subject"), F.col("n_surplus_rows").alias("violations")
+        F.lit("key").alias("check"), F.col("table_name").alias("subject"), (F.col("n_surplus_rows") + F.col("n_null_keys")).alias("violations")
     )
     references = fk_orphans(tables).select(
         F.lit("reference").alias("check"), F.concat_ws(".", "child_table", "fk_column").alias("subject"),
@@ -94,12 +131,12 @@ def publish_star(star: Mapping[str, DataFrame], folder: str) -> None:
             df.write.mode("overwrite").parquet(f"{folder}/{name}")
 
 
-def register_views(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Register the clean tables and subscription_mrr as temporary views; return the latter."""
+def register_views(tables: Mapping[str, DataFrame], prefix: str = "") -> DataFrame:
+    """Register the clean tables and subscription_mrr as temporary views, their names after `prefix`; return the latter."""
     for name, df in tables.items():
-        df.createOrReplaceTempView(name)
+        df.createOrReplaceTempView(f"{prefix}{name}")
     mrr = subscription_mrr(tables["subscriptions"], tables["plans"])
-    mrr.createOrReplaceTempView("subscription_mrr")
+    mrr.createOrReplaceTempView(f"{prefix}subscription_mrr")
     return mrr
 
 

@@ -19,7 +19,7 @@ pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="no test tables")
 # Joins without a key: only ever with the one row of a global aggregate (or its few ranks).
 WITH_SCALARS = {
     "active_month_start", "arpu_histogram", "arpu_summary", "customer_month_mrr", "metrics_table", "mrr_waterfall",
-    "nrr_gap_value", "revenue_at_risk", "tenure_histogram", "tenure_summary",
+    "cleaning_log", "nrr_gap_value", "reconcile_mrr", "revenue_at_risk", "tenure_histogram", "tenure_summary",
 }
 
 
