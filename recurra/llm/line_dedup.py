@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recurra.llm.common import computed_once, packed, spaced_words
+from recurra.llm.common import BLANKS, computed_once, packed
 from recurra.session import cut_lineage
 
 # Shorter lines are never removed, and shorter ones than the second are removed only if they are equal.
@@ -29,46 +29,51 @@ MAP_BITS = 1 << 22
 
 
 def _with_lines(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(id, text_hash, line_no, words) of every line that is long enough."""
+    """(id, text_hash, line_no, line, n) of every line that is long enough: its words with one blank between them, and how many."""
     text = F.col(text_column)
     lines = docs.where(text.isNotNull()).select(
-        F.col(id_column).alias("id"), F.xxhash64(text).alias("text_hash"), F.posexplode(F.split(text, "\n")).alias("line_no", "line")
+        F.col(id_column).alias("id"), F.xxhash64(text).alias("text_hash"), F.posexplode(F.split(text, "\n")).alias("line_no", "raw")
     )
-    return computed_once(lines, "words", spaced_words(F.col("line"))).drop("line").where(F.size("words") >= MIN_WORDS)
+    # Nearly all white space is single blanks already, which the pattern passes over.
+    even = F.regexp_replace(F.trim("raw", F.lit(BLANKS)), r" [ \t-\r]+|[\t-\r][ \t-\r]*", " ")
+    lines = computed_once(lines, "line", even).drop("raw")
+    blanks = F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit("")))
+    return lines.withColumn("n", blanks + 1).where(F.col("n") >= MIN_WORDS)
 
 
 def _line_key() -> list[Column]:
-    """A line's name: the hash of its words, and their number and characters in one number."""
-    extent = F.shiftleft(F.size("words").cast("bigint"), 32) + F.length(F.array_join("words", ""))
-    return [F.xxhash64("words").alias("hash"), extent.alias("extent")]
+    """A line's name: its hash, and its words and bytes in one number."""
+    extent = F.shiftleft(F.col("n").cast("bigint"), 32) + F.octet_length("line")
+    return [F.xxhash64("line").alias("hash"), extent.alias("extent")]
 
 
 def _halves() -> Column:
     """Hashes of the parts that one edit may leave as they were, for the line as the shorter, the equal or the longer one."""
-    n = F.size("words")
+    n = F.col("n")
     half, longer_half = F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")
 
     def first(length: Column) -> Column:
-        return F.xxhash64(F.lit("first"), length, F.slice("words", 1, length))
+        return F.xxhash64(F.lit("first"), F.call_function("substring_index", F.col("line"), F.lit(" "), length))
 
     def last(length: Column) -> Column:
-        return F.xxhash64(F.lit("last"), length, F.slice("words", n - length + 1, length))
+        return F.xxhash64(F.lit("last"), F.call_function("substring_index", F.col("line"), F.lit(" "), -length))
 
     return F.array_distinct(F.array(first(half), first(longer_half), last(n - half), last(n - 1 - longer_half)))
 
 
-def _bit(half: Column, bits: int) -> Column:
-    return F.pmod(half, F.lit(bits)).cast("int")
+def _bits(half: Column, bits: int) -> list[Column]:
+    """The two bits that stand for a half."""
+    return [F.pmod(half, F.lit(bits)).cast("int"), F.pmod(F.xxhash64(half), F.lit(bits)).cast("int")]
 
 
 def shared_halves(lines: DataFrame, bits: int = MAP_BITS) -> list[int]:
     """The bit map, 64 bits a number: set for every half that two different lines have. At most bits / 64 rows reach the driver."""
-    halves = lines.where(F.size("words") >= MIN_NEAR_WORDS).select(F.xxhash64("words").alias("hash"), F.explode(_halves()).alias("half"))
+    halves = lines.where(F.col("n") >= MIN_NEAR_WORDS).select(F.xxhash64("line").alias("hash"), F.explode(_halves()).alias("half"))
     shared = halves.groupBy("half").agg(F.min("hash").alias("low"), F.max("hash").alias("high")).where("low <> high")
-    bit = shared.select(_bit(F.col("half"), bits).alias("bit"))
-    words = bit.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit").bitwiseAND(63))).alias("ones"))
+    bit = shared.select(F.explode(F.array(*_bits(F.col("half"), bits))).alias("bit"))
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit").bitwiseAND(63))
     table = [0] * (bits // 64)
-    for row in words.collect():
+    for row in bit.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(one).alias("ones")).collect():
         table[row["word"]] = row["ones"]
     return table
 
@@ -76,20 +81,23 @@ def shared_halves(lines: DataFrame, bits: int = MAP_BITS) -> list[int]:
 def _may_have_partner(table: list[int], bits: int) -> Column:
     ones = F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
 
-    def is_set(half: Column) -> Column:
-        bit = _bit(half, bits)
+    def is_set(bit: Column) -> Column:
         return F.call_function("bit_get", F.get(ones, F.shiftright(bit, 6)), bit.bitwiseAND(63)) == 1
 
-    return (F.size("words") >= MIN_NEAR_WORDS) & F.exists(_halves(), is_set)
+    def both(half: Column) -> Column:
+        first, second = _bits(half, bits)
+        return is_set(first) & is_set(second)
+
+    return (F.col("n") >= MIN_NEAR_WORDS) & F.exists(_halves(), both)
 
 
 def _variants(lines: DataFrame) -> DataFrame:
     """(variant, length, place, hash, extent): every line whole (place -1) and without each of its words.
 
     A sequence's key is the xor of hashes of its words with their places. Running sums along the line give the key without any
-    one word, so a line of n words costs n steps.
+    one word, so a line of n words costs n steps. Lines are dealt out whole, before their words are taken apart.
     """
-    placed = lines.select("hash", "extent", F.size("words").alias("n"), F.posexplode("words").alias("place", "word"))
+    placed = lines.repartition("hash", "extent").select("hash", "extent", F.size("words").alias("n"), F.posexplode("words").alias("place", "word"))
     placed = placed.select(
         "hash", "extent", "n", "place", F.xxhash64("word", "place").alias("here"), F.xxhash64("word", F.col("place") - 1).alias("moved"),
     )
@@ -113,7 +121,7 @@ def _variants(lines: DataFrame) -> DataFrame:
 
 def _partners(lines: DataFrame) -> DataFrame:
     """(hash, extent, place, p_place, first): for a line under one of its keys the earliest line that may be one edit away."""
-    variants = cut_lineage(_variants(lines))
+    variants = _variants(lines)
     keys = ["variant", "length"]
     shared = (
         variants.groupBy(*keys).agg(F.min("hash").alias("low"), F.max("hash").alias("high")).where("low <> high").select(*keys)
@@ -159,10 +167,11 @@ def repeated_lines(docs: DataFrame, *, id_column: str = "doc_id", text_column: s
     lines = _with_lines(docs, id_column, text_column)
     live = _may_have_partner(shared_halves(lines, map_bits), map_bits)
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash", "line_no")
-    places = lines.select(order.alias("here"), *_line_key(), F.when(live, F.col("words")).alias("words"))
-    distinct = cut_lineage(places.groupBy("hash", "extent").agg(F.min("here").alias("first"), F.any_value("words").alias("words")))
-    near = near_lines(distinct.where("words is not null")).withColumn("is_near", F.lit(True))
-    judged = distinct.drop("words").join(near, ["hash", "extent"], "left")
+    places = lines.select(order.alias("here"), *_line_key(), F.when(live, F.col("line")).alias("line"))
+    distinct = cut_lineage(places.groupBy("hash", "extent").agg(F.min("here").alias("first"), F.any_value("line").alias("line")))
+    candidates = computed_once(distinct.where("line is not null"), "words", F.split("line", " ")).drop("line")
+    near = cut_lineage(near_lines(candidates)).withColumn("is_near", F.lit(True))
+    judged = distinct.drop("line").join(near, ["hash", "extent"], "left")
     here = lines.select("id", "text_hash", "line_no", order.alias("here"), *_line_key()).join(judged, ["hash", "extent"])
     is_repeat = F.col("here") != F.col("first")
     return here.where(is_repeat | F.col("is_near")).groupBy("id", "text_hash").agg(
@@ -182,11 +191,10 @@ def dedup_lines(docs: DataFrame, *, id_column: str = "doc_id", text_column: str
     dropped = repeated_lines(docs, id_column=id_column, text_column=text_column, map_bits=map_bits).select(
         F.struct("id", "text_hash").alias("of"), "dropped", "n_exact", "n_near"
     )
-    text = F.col(text_column)
-    key = F.struct(F.col(id_column).alias("id"), F.xxhash64(text).alias("text_hash"))
-    rows = docs.select(packed(docs), text.alias("text"), key.alias("key")).join(dropped, F.col("key") == F.col("of"), "left")
+    key = F.struct(F.col(id_column).alias("id"), F.xxhash64(F.col(text_column)).alias("text_hash"))
+    rows = docs.select(packed(docs), key.alias("key")).join(dropped, F.col("key") == F.col("of"), "left")
     rows = rows.select(
-        "row", "text", "dropped", F.coalesce("n_exact", F.lit(0)).alias("n_exact"), F.coalesce("n_near", F.lit(0)).alias("n_near"),
+        "row", F.col("row").getField(text_column).alias("text"), "dropped", F.coalesce("n_exact", F.lit(0)).alias("n_exact"), F.coalesce("n_near", F.lit(0)).alias("n_near"),
     )
     split = F.when(F.col("text").isNull(), F.array().cast("array<string>")).otherwise(F.split("text", "\n"))
     lines = computed_once(rows, "lines", split)
