@@ -1,9 +1,9 @@
 """Quality rules: counts of each document, and how much its n-grams look like trusted text rather than like the whole corpus.
 
 Words and pairs of neighbouring words are hashed to a fixed number of buckets. Bucket counts of all documents are the raw
-multinomial, those of a bounded sample of documents labelled as good the trusted one. A document's score is the mean over its
-n-grams of log(trusted / raw). The limit is fixed by the same counts: it lies between the mean score of the n-grams of good and of
-bad labelled documents. Everything is built of DataFrame functions; the only thing that leaves the executors is one row a bucket.
+multinomial, those of one half of a bounded sample of documents labelled as good the trusted one. A document's score is the mean
+over its n-grams of log(trusted / raw). The limit is fixed by the same counts: it lies between the mean score of n-grams of bad
+documents and of the other half of the good ones, which the ratios have not seen and so score as any good document would. Everything is built of DataFrame functions; the only thing that leaves the executors is one row a bucket.
 """
 
 from __future__ import annotations
@@ -40,8 +40,8 @@ def _buckets(words: Column, buckets: int) -> Column:
 
 
 def labelled_sample(labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(labelled_id, good): at most `sample` documents labelled good and not toxic, and as many labelled bad; ids with both kinds of
-    label and null ids or labels are left out."""
+    """(labelled_id, kind): at most `sample` documents labelled good and not toxic, half of them to fit and half held out, and as many
+    labelled bad; ids with both kinds of label and null ids or labels are left out."""
     kinds = (
         labels.where("doc_id is not null and quality is not null").groupBy("doc_id")
         .agg(F.min(F.when((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0), 1).otherwise(0)).alias("low"),
@@ -50,35 +50,42 @@ def labelled_sample(labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     good = kinds.where("low = 1").orderBy(*order).limit(sample)
     bad = kinds.where("high = 0").orderBy(*order).limit(sample)
-    return good.select(F.col("doc_id").alias("labelled_id"), F.lit(True).alias("good")).union(
-        bad.select("doc_id", F.lit(False))
-    )
+    half = F.when(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0, "good").otherwise("held")
+    return good.select(F.col("doc_id").alias("labelled_id"), half.alias("kind")).union(bad.select("doc_id", F.lit("bad")))
 
 
 def bucket_counts(docs: DataFrame, labels: DataFrame, *, id_column: str, text_column: str, buckets: int, sample: int) -> DataFrame:
-    """(bucket, raw, good, bad): n-grams of all documents, and of the labelled sample. A row a bucket at most leaves a task."""
+    """(bucket, raw, good, held, bad): n-grams of all documents, and of the labelled sample. A row a bucket at most leaves a task."""
     texts = computed_once(docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")), "words", spaced_words(F.col("text")))
     known = texts.join(F.broadcast(labelled_sample(labels, sample)), F.col("id") == F.col("labelled_id"), "left")
-    grams = known.select(F.explode(_buckets(F.col("words"), buckets)).alias("bucket"), "good")
+    grams = known.select(F.explode(_buckets(F.col("words"), buckets)).alias("bucket"), "kind")
     return grams.groupBy("bucket").agg(
-        F.count("*").alias("raw"), F.count_if(F.col("good")).alias("good"), F.count_if(~F.col("good")).alias("bad")
+        F.count("*").alias("raw"), *[F.count_if(F.col("kind") == kind).alias(kind) for kind in ("good", "held", "bad")]
     )
 
 
 def fit(counts: DataFrame, *, buckets: int = BUCKETS, smoothing: float = SMOOTHING, place: float = PLACE) -> tuple[list[float], float]:
-    """Log-likelihood ratio of every bucket, and the limit. Without good labels nothing can be told: all ratios are 0. Without
-    bad ones the whole corpus stands for them."""
-    raw, good, bad = [0] * buckets, [0] * buckets, [0] * buckets
+    """Log-likelihood ratio of every bucket, and the limit. Where good or bad labels are missing, or bad text scores no lower, nothing
+    says what to reject, and no document fails the limit. Without good ones all ratios are 0."""
+    found = {kind: [0] * buckets for kind in ("raw", "good", "held", "bad")}
     for row in counts.collect():  # a row a bucket
-        raw[row["bucket"]], good[row["bucket"]], bad[row["bucket"]] = row["raw"], row["good"], row["bad"]
+        for kind, numbers in found.items():
+            numbers[row["bucket"]] = row[kind]
+    raw, good, held, bad = found.values()
+    if not sum(good):
+        good = held
     if not sum(good):
         return [0.0] * buckets, -math.inf
     of_good, of_raw = sum(good) + smoothing * buckets, sum(raw) + smoothing * buckets
     ratios = [math.log((g + smoothing) / of_good) - math.log((r + smoothing) / of_raw) for g, r in zip(good, raw)]
-    low = bad if sum(bad) else raw
-    mean_good = sum(r * n for r, n in zip(ratios, good)) / sum(good)
-    mean_low = sum(r * n for r, n in zip(ratios, low)) / sum(low)
-    return ratios, mean_low + place * (mean_good - mean_low)
+    if not sum(bad):
+        return ratios, -math.inf
+
+    def mean(of: list[int]) -> float:
+        return sum(r * n for r, n in zip(ratios, of)) / sum(of)
+
+    high, low = mean(held if sum(held) else good), mean(bad)
+    return ratios, low + place * (high - low) if high > low else -math.inf
 
 
 def _counts(words: Column, text: Column) -> dict[str, Column]:
@@ -143,7 +150,7 @@ def quality_rules(
     base_failed: fewer than 50 words, or more than half of the words in repeated windows of three. The score is the mean log
     ratio of a document's n-grams, 0 without words; kept means that base rules hold and the score reaches the limit. Null
     texts have no words and fail; rows that repeat count each time; rows without an id are never part of the labelled sample.
-    Without labels of good documents only the base rules decide. No rows: no rows.
+    Without labels of both kinds only the base rules decide. No rows: no rows.
     """
     counts = bucket_counts(docs, labels, id_column=id_column, text_column=text_column, buckets=buckets, sample=sample)
     ratios, limit = fit(counts, buckets=buckets, smoothing=smoothing, place=place)
