@@ -204,25 +204,29 @@ def test_quality_counts(spark):
 
 
 def test_quality_score_is_the_mean_log_ratio(spark):
-    rows = [(i, prose(i), "s") for i in range(12)] + [(20 + i, " ".join(f"{w}%%%" for w in prose(40 + i).split()), "s") for i in range(8)]
-    found = quality.quality_rules(documents(spark, rows), labels(spark, range(6), range(20, 24)), buckets=256)
+    rows = [(i, prose(i), "s") for i in range(40)] + [(50 + i, " ".join(f"{w}%%%" for w in prose(50 + i).split()), "s") for i in range(20)]
+    found = quality.quality_rules(documents(spark, rows), labels(spark, range(30), range(50, 60)), buckets=1024)
     grams = {}
     for doc_id, text, _ in rows:
         w = [x.encode() for x in text.split()]
         chained = [xxhash.xxh64_intdigest(b, xxhash.xxh64_intdigest(a, 42)) for a, b in zip(w, w[1:])]
         hashes = [xxhash.xxh64_intdigest(x, 42) for x in w] + chained
-        grams[doc_id] = [(h - 2**64 if h >> 63 else h) % 256 for h in hashes]
+        grams[doc_id] = [h % 1024 for h in hashes]
     raw = collections.Counter(g for v in grams.values() for g in v)
-    fitted = [i for i in range(6) if xxhash.xxh64_intdigest(i.to_bytes(8, "little"), 42) % 2 == 0]
-    assert 0 < len(fitted) < 6
+    fitted = [i for i in range(30) if xxhash.xxh64_intdigest(i.to_bytes(8, "little"), 42) % 2 == 0]
     good = collections.Counter(g for i in fitted for g in grams[i])
-    ratio = [math.log((good[b] + 1) / (sum(good.values()) + 256)) - math.log((raw[b] + 1) / (sum(raw.values()) + 256)) for b in range(256)]
+    top, bottom = sum(good.values()) + 1024, sum(raw.values()) + 1024
+    ratio = [math.log((good[b] + 1) / top) - math.log((raw[b] + 1) / bottom) for b in range(1024)]
+    mean = lambda ids: sum(ratio[g] for i in ids for g in grams[i]) / sum(len(grams[i]) for i in ids)
+    low, high = mean(range(50, 60)), mean([i for i in range(30) if i not in fitted])
+    limit = low + 0.75 * (high - low)
     for r in found.collect():
         own = grams[r["row"]["doc_id"]]
         assert r["score"] == pytest.approx(sum(ratio[g] for g in own) / len(own))
+        assert r["kept"] == (not r["base_failed"] and r["score"] >= limit)
     kept = {r["row"]["doc_id"] for r in found.where("kept").collect()}
-    assert set(fitted) <= kept and not kept & set(range(20, 24))
-    assert quality.keep_good(documents(spark, rows), labels(spark, range(6), range(20, 24))).columns == [f.name for f in DOCS]
+    assert set(fitted) <= kept
+    assert quality.keep_good(documents(spark, rows), labels(spark, range(30), range(50, 60))).columns == [f.name for f in DOCS]
 
 
 def test_quality_of_no_documents(spark):
