@@ -124,7 +124,7 @@ def _covered(places: Column) -> Column:
     return F.aggregate(steps, F.lit(0).cast("bigint"), lambda total, step: total + step)
 
 
-def rule_counts(docs: DataFrame, *, text_column: str = "text", more: dict | None = None) -> DataFrame:
+def rule_counts(docs: DataFrame, *, text_column: str = "text") -> DataFrame:
     """(row, words, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words) for every row; `row` is the row itself.
     """
     text = F.coalesce(F.col(text_column), F.lit(""))
