@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recurra.llm.common import all_columns, map_batches, without
-from recurra.llm.html_tree import Node, blocks, elements, main_elements, parse
+from recurra.llm.html_tree import NOISE_TAGS, Node, blocks, elements, main_elements, parse
 from recurra.session import cut_lineage
 
 DAMPING = 0.9
@@ -74,7 +74,8 @@ def observations(text: str) -> set[tuple[int, int, int, int]]:
 
 
 def main_text(text: str, noise: frozenset[int] | set[int]) -> str:
-    """The blocks of the article, one a line. If the noise branches would leave nothing, only names and tags decide."""
+    """The blocks of the article, one a line. If the noise branches would leave nothing, only names and tags decide; if those would,
+    on a page without an article or main element, only tags do, as a wrapper of everything may have any name."""
     root = parse(text)
     mains = main_elements(root)
     inside = {id(n) for n in mains}
@@ -86,7 +87,11 @@ def main_text(text: str, noise: frozenset[int] | set[int]) -> str:
     def read(skip: set[int]) -> str:
         return "\n".join(block for main in mains for _, block in blocks(main, skip))
 
-    return read(named | template) or read(named)
+    if found := read(named | template) or read(named):
+        return found
+    if mains[0].tag in ("article", "main"):
+        return ""
+    return read({id(n) for n in elements(root) if n.tag in NOISE_TAGS and id(n) not in inside})
 
 
 def style_nodes(pages: DataFrame) -> DataFrame:

@@ -30,7 +30,9 @@ def texts(df):
     ("<article><p>text</p><section id=comments><article class=comment>hi</article></section></article>", "text"),
     ("<p title=\"a > b\">q</p><p hidden>no</p><p style='display: none'>no</p>", "q"),
     ("plain", "plain"), ("", ""), (None, ""), ("<", "<"), ("<article>", ""), ("a<b", "a<b"), ("<p" * 2000, "<p" * 2000),
-    ("<div>" * 3000 + "deep", "deep"), ("</p></div>x", "x"), ("<article><p>a b &nbsp; c</p></article>", "a b c"),
+    ("<div>" * 3000 + "deep", "deep"), ("</p></div>x", "x"), ("<article><div class=comments>c</div></article>", ""),
+    ("<div class='page has-sidebar'><nav>m</nav><p>all</p></div>", "all"), ("<div class=sidebar>s</div><p>x", "x"),
+    ("<article><p>a b &nbsp; c</p></article>", "a b c"),
 ])
 def test_text_of_one_page(spark, html, text):
     assert texts(extraction.extract(pages(spark, [(1, "http://h/x", html)]))) == {1: text}
