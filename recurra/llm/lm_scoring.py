@@ -18,7 +18,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recurra.llm import gru
@@ -27,7 +27,7 @@ from recurra.session import cut_lineage
 
 PARTS, HELD_OUT = 7, 2
 # Words whose counts every task gets; words of the model itself (with the end and the unknown word).
-FREQUENT = 1 << 17
+FREQUENT = 1 << 18
 MODEL_WORDS = 1024
 CLASSES = 24
 ROUNDS = 2
@@ -80,8 +80,12 @@ class Lexicon:
     @classmethod
     def of(cls, counts: DataFrame, texts: int, frequent: int, model_words: int) -> Lexicon:
         total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("types")).first()
-        # At most `frequent` rows.
-        rows = counts.orderBy(F.desc("n"), "word").limit(frequent).collect()
+        # The lowest count that at most `frequent` words reach: one row for each different count, so few that a task has them all.
+        levels = counts.groupBy("n").agg(F.count("*").alias("words"))
+        reached = levels.select("n", F.sum("words").over(Window.orderBy(F.desc("n"))).alias("reached"))
+        cut = reached.where(F.col("reached") <= frequent).agg(F.min("n").alias("n")).first()["n"]
+        # At most `frequent` rows reach the driver.
+        rows = sorted(counts.where(F.col("n") >= F.lit(cut)).collect(), key=lambda r: (-r["n"], bytes(r["word"])))
         found = np.array([r["n"] for r in rows], np.int64)
         own = min(len(rows), model_words - 2)
         unknown = total["n"] - int(found[:own].sum())
@@ -209,16 +213,18 @@ def score_documents(
         F.monotonically_increasing_id().alias("row"), doc_id.alias("id"), is_held_out(doc_id).alias("held_out"), text.cast("binary").alias("data")
     )
     scored = _scored(rows, lexicon, parameters, bounds)
-    # A row without rare words joins under a key of its own, with a blank and so no word; such rows do not meet and add nothing.
+    # What is known of a text travels once, under a key of its own (with a blank, so it is no word) that adds nothing; beside its
+    # rare words those columns are null.
     own = F.concat(F.lit(" "), F.col("row").cast("string")).cast("binary")
-    none = F.array(F.struct(own.alias("word"), F.lit(0).alias("n")))
-    spread = scored.select(
-        *[c for c in scored.columns if c != "rare"], F.inline(F.when(F.size("rare") > 0, F.col("rare")).otherwise(none))
+    about = [c for c in scored.columns if c not in ("row", "rare")]
+    whole = F.array(F.struct(own.alias("word"), F.lit(0).alias("n")))
+    spread = scored.select("row", *about, F.inline(F.concat(whole, "rare"))).select(
+        "row", *[F.when(F.col("n") == 0, F.col(c)).alias(c) for c in about], "word", "n"
     )
     known = counts.select(F.col("word").alias("known_word"), F.col("n").alias("c"))
     logs = F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 1.0)
     rare = spread.join(known, F.col("word") == F.col("known_word"), "left").groupBy("row").agg(
-        *[F.any_value(c).alias(c) for c in scored.columns if c not in ("row", "rare")],
+        *[F.any_value(c, True).alias(c) for c in about],
         F.sum(logs).alias("rare_logs"), F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("n_rare_known"),
     )
     tokens = F.col("n_tokens") + 1
