@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +29,11 @@ PIECE_BYTES = 1 << 20
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A stored table. Also lets Python workers import this package from where the driver has it, whatever folder they start in."""
+    environment, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
