@@ -1,29 +1,42 @@
-"""Quality rules: counts of each document, and how much its n-grams look like trusted text rather than like the whole corpus.
+"""Quality rules: counts of each document, how much its n-grams look like trusted text rather than like the whole corpus, and how
+much its words look like toxic text rather than like clean text.
 
 Words and pairs of neighbouring words are hashed to a fixed number of buckets. Bucket counts of all documents are the raw
 multinomial, those of one half of a bounded sample of documents labelled as good the trusted one. A document's score is the mean
-over its n-grams of log(trusted / raw). The limit is fixed by the same counts: it lies between the mean score of n-grams of bad
-documents and of the other half of the good ones, which the ratios have not seen and so score as any good document would. Everything is built of DataFrame functions; the only thing that leaves the executors is one row a bucket.
+over its n-grams of log(trusted / raw). Toxic text is mostly well written, so that this does not tell it: the words that one half of
+the documents labelled toxic have significantly more often than documents labelled clean are markers, and a document's toxicity is
+the sum of log(toxic / clean) of its markers over the root of its words. Both limits are set where they divide the scores of single
+documents best that the fit has not seen: of the other half of the good and of the bad ones, and of the other halves of toxic and
+clean ones. Where that is no better than chance allows, the first lies between the mean scores of bad and of good n-grams. Everything is built of DataFrame functions; the only things that leave the executors are one row a bucket, the markers
+and the scores of the labelled sample.
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recurra.llm.common import computed_once, packed, spaced_words
+from recurra.session import cut_lineage
 
 BUCKETS = 1 << 14
 SMOOTHING = 1.0
 # Labelled documents of each kind, the ones with the smallest hashes of their ids. This bounds what is broadcast.
 SAMPLE = 20_000
-# Where the limit lies between the means of bad (0) and good (1) labelled text.
+# Where the limit lies between the means of bad (0) and good (1) labelled text, unless single documents show a better one.
 PLACE = 0.75
+# At most so many words mark toxic text: those that are most significant, from so many standard deviations on.
+MARKERS = 1024
+SIGNIFICANT = 3.0
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = "[#*$%&|<>]"
+# What stands between two words without punctuation.
+PLAIN_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # Words that the windows of repeated words have.
 REPEAT_WINDOW = 3
 
@@ -40,52 +53,138 @@ def _buckets(words: Column, buckets: int) -> Column:
 
 
 def labelled_sample(labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(labelled_id, kind): at most `sample` documents labelled good and not toxic, half of them to fit and half held out, and as many
-    labelled bad; ids with both kinds of label and null ids or labels are left out."""
-    kinds = (
-        labels.where("doc_id is not null and quality is not null").groupBy("doc_id")
-        .agg(F.min(F.when((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0), 1).otherwise(0)).alias("low"),
-             F.max("quality").alias("high"))
+    """(labelled_id, fitted, good, bad, toxic, clean): at most `sample` documents labelled good and not toxic, as many labelled bad,
+    as many labelled toxic and as many labelled not toxic, each id once; `fitted` are the half of them that is not held out. Ids
+    with both kinds of label are of neither kind; null ids and labels are left out."""
+    toxic = F.coalesce("toxic", F.lit(0))
+    kinds = labels.where("doc_id is not null").groupBy("doc_id").agg(
+        F.min(F.when(F.col("quality").isNotNull(), F.when((F.col("quality") == 1) & (toxic == 0), 1).otherwise(0))).alias("low"),
+        F.max("quality").alias("high"), F.min("toxic").alias("least_toxic"), F.max("toxic").alias("most_toxic"),
     )
+    which = {
+        "good": (F.col("low") == 1) & (F.coalesce("most_toxic", F.lit(0)) == 0), "bad": F.col("high") == 0,
+        "toxic": F.col("least_toxic") == 1, "clean": F.col("most_toxic") == 0,
+    }
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    good = kinds.where("low = 1").orderBy(*order).limit(sample)
-    bad = kinds.where("high = 0").orderBy(*order).limit(sample)
-    half = F.when(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0, "good").otherwise("held")
-    return good.select(F.col("doc_id").alias("labelled_id"), half.alias("kind")).union(bad.select("doc_id", F.lit("bad")))
+    chosen = [kinds.where(is_kind).orderBy(*order).limit(sample).select("doc_id", F.lit(kind).alias("kind")) for kind, is_kind in which.items()]
+    flags = [F.max(F.col("kind") == kind).alias(kind) for kind in which]
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    return reduce(DataFrame.union, chosen).groupBy(F.col("doc_id").alias("labelled_id"), half.alias("fitted")).agg(*flags)
+
+
+def _known(docs: DataFrame, labelled: DataFrame, how: str) -> DataFrame:
+    """(id, text) of documents, with what the labelled sample says of them."""
+    return docs.join(F.broadcast(labelled), F.col("id") == F.col("labelled_id"), how)
 
 
-def bucket_counts(docs: DataFrame, labels: DataFrame, *, id_column: str, text_column: str, buckets: int, sample: int) -> DataFrame:
-    """(bucket, raw, good, held, bad): n-grams of all documents, and of the labelled sample. A row a bucket at most leaves a task."""
-    texts = computed_once(docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")), "words", spaced_words(F.col("text")))
-    known = texts.join(F.broadcast(labelled_sample(labels, sample)), F.col("id") == F.col("labelled_id"), "left")
-    grams = known.select(F.explode(_buckets(F.col("words"), buckets)).alias("bucket"), "kind")
+def bucket_counts(docs: DataFrame, labelled: DataFrame, *, buckets: int) -> DataFrame:
+    """(bucket, raw, good, held): n-grams of all documents, and of the two halves of the good ones. A row a bucket at most leaves a task."""
+    known = computed_once(_known(docs, labelled.where("good").select("labelled_id", "fitted"), "left"), "words", spaced_words(F.col("text")))
+    grams = known.select(F.explode(_buckets(F.col("words"), buckets)).alias("bucket"), "fitted")
     return grams.groupBy("bucket").agg(
-        F.count("*").alias("raw"), *[F.count_if(F.col("kind") == kind).alias(kind) for kind in ("good", "held", "bad")]
+        F.count("*").alias("raw"), F.count_if("fitted").alias("good"), F.count_if(~F.col("fitted")).alias("held")
     )
 
 
-def fit(counts: DataFrame, *, buckets: int = BUCKETS, smoothing: float = SMOOTHING, place: float = PLACE) -> tuple[list[float], float]:
-    """Log-likelihood ratio of every bucket, and the limit. Where good or bad labels are missing, or bad text scores no lower, nothing
-    says what to reject, and no document fails the limit. Without good ones all ratios are 0."""
-    found = {kind: [0] * buckets for kind in ("raw", "good", "held", "bad")}
+def fit(counts: DataFrame, *, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> list[float]:
+    """Log-likelihood ratio of every bucket; without good documents all are 0."""
+    found = {kind: [0] * buckets for kind in ("raw", "good", "held")}
     for row in counts.collect():  # a row a bucket
         for kind, numbers in found.items():
             numbers[row["bucket"]] = row[kind]
-    raw, good, held, bad = found.values()
+    raw, good, held = found.values()
     if not sum(good):
         good = held
     if not sum(good):
-        return [0.0] * buckets, -math.inf
+        return [0.0] * buckets
     of_good, of_raw = sum(good) + smoothing * buckets, sum(raw) + smoothing * buckets
-    ratios = [math.log((g + smoothing) / of_good) - math.log((r + smoothing) / of_raw) for g, r in zip(good, raw)]
-    if not sum(bad):
-        return ratios, -math.inf
+    return [math.log((g + smoothing) / of_good) - math.log((r + smoothing) / of_raw) for g, r in zip(good, raw)]
+
+
+def _plain_words(text: Column) -> Column:
+    """Words without punctuation, in lower case, and perhaps an empty one at either end."""
+    return F.split(F.lower(text), PLAIN_GAP)
+
+
+def toxic_markers(docs: DataFrame, labelled: DataFrame, *, markers: int = MARKERS, significant: float = SIGNIFICANT) -> dict[str, float]:
+    """log(toxic / clean), by the documents that have the word, of words that toxic documents have more often than chance explains.
+
+    Documents are counted, not places, so that a text that repeats a word does not make it a marker. None without both kinds."""
+    texts = _known(docs, labelled.where("toxic or clean"), "inner")
+    sizes = texts.groupBy("fitted").agg(F.count_if("toxic").alias("toxic"), F.count_if("clean").alias("clean")).collect()
+    # The fitted half, or the other one if that has no toxic or no clean document.
+    usable = {r["fitted"]: (r["toxic"], r["clean"]) for r in sizes if r["toxic"] and r["clean"]}
+    if not usable:
+        return {}
+    half = max(usable)
+    of_toxic, of_clean = usable[half]
+    words = texts.where(F.col("fitted") == half).select(F.explode(F.array_distinct(_plain_words(F.col("text")))).alias("word"), "toxic", "clean")
+    counted = words.where("word <> ''").groupBy("word").agg(F.count_if("toxic").alias("t"), F.count_if("clean").alias("c")).where("t > 1")
+    share = (F.col("t") + F.col("c") + 1) / (of_toxic + of_clean + 2)
+    deviation = F.sqrt(share * (1 - share) * (1 / of_toxic + 1 / of_clean))
+    # A word that everything has tells nothing, and its share may reach 1.
+    counted = counted.where(share < 1).withColumn("z", (F.col("t") / of_toxic - F.col("c") / of_clean) / deviation)
+    ratio = F.log((F.col("t") + 0.5) / (of_toxic + 1)) - F.log((F.col("c") + 0.5) / (of_clean + 1))
+    best = counted.where(F.col("z") > significant).orderBy(F.desc("z"), "word").limit(markers)
+    return {r["word"]: r["ratio"] for r in best.select("word", ratio.alias("ratio")).collect()}
+
+
+def _score(words: Column, ratios: list[float]) -> Column:
+    """Mean log ratio of the n-grams; 0 without words."""
+    # One constant of as many numbers as buckets.
+    table = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")
+    total = F.aggregate(_buckets(words, len(ratios)), F.lit(0.0), lambda sum_, b: sum_ + F.get(table, b))
+    return total / F.greatest(2 * F.size(words) - 1, F.lit(1))
 
-    def mean(of: list[int]) -> float:
-        return sum(r * n for r, n in zip(ratios, of)) / sum(of)
 
-    high, low = mean(held if sum(held) else good), mean(bad)
-    return ratios, low + place * (high - low) if high > low else -math.inf
+def _toxicity(text: Column, n_words: Column, markers: dict[str, float]) -> Column:
+    """Sum of the log ratios of the markers in a text, over the root of its words."""
+    if not markers:
+        return F.lit(0.0)
+    table = F.map_from_arrays(F.split(F.lit(" ".join(markers)), " "), F.split(F.lit(",".join(map(repr, markers.values()))), ",").cast("array<double>"))
+    hits = F.filter(_plain_words(F.coalesce(text, F.lit(""))), lambda word: word.isin(*markers))
+    total = F.aggregate(hits, F.lit(0.0), lambda sum_, word: sum_ + F.try_element_at(table, word))
+    return total / F.sqrt(F.greatest(n_words, F.lit(1)).cast("double"))
+
+
+def best_limit(low: list[float], high: list[float], start: float = -math.inf) -> float:
+    """The limit at which the share of `high` that reaches it is most above that of `low`, halfway between two scores; of several as
+    good the lowest. It stays at `start` unless that divides worse by more than one standard error, which small samples may not show."""
+    if not low or not high:
+        return start
+    low, high = sorted(low), sorted(high)
+    scores = sorted({*low, *high})
+
+    def gain(score: float) -> float:
+        return bisect_left(low, score) / len(low) - bisect_left(high, score) / len(high)
+
+    best = max(range(len(scores)), key=lambda i: gain(scores[i]))
+    found = (scores[best - 1] + scores[best]) / 2 if gain(scores[best]) > 0 else -math.inf
+    return found if gain(found) - gain(start) > math.sqrt(0.25 / len(low) + 0.25 / len(high)) else start
+
+
+def limits(docs: DataFrame, labelled: DataFrame, ratios: list[float], markers: dict[str, float], *, place: float = PLACE) -> tuple[float, float]:
+    """The score that a document must reach and the toxicity that it must stay below, by the scores of single labelled documents.
+
+    Bad documents had no part in the fit, and are all held out. A kind with no held-out document is judged by its fitted ones.
+    Where labels of a kind are missing, or it scores no worse, nothing says what to reject, and no document fails that limit."""
+    known = computed_once(_known(docs, labelled, "inner"), "words", spaced_words(F.col("text")))
+    scored = known.select("fitted", "good", "bad", "toxic", "clean", F.greatest(2 * F.size("words") - 1, F.lit(0)).alias("grams"),
+                          _score(F.col("words"), ratios).alias("score"), _toxicity(F.col("text"), F.size("words"), markers).alias("toxicity"))
+    rows = scored.collect()  # a row a labelled document
+
+    def of(kind: str) -> list:
+        return [r for r in rows if r[kind] and not r["fitted"]] or [r for r in rows if r[kind]]
+
+    def mean(found: list) -> float:
+        return sum(r["grams"] * r["score"] for r in found) / max(sum(r["grams"] for r in found), 1)
+
+    good, bad, least = of("good"), [r for r in rows if r["bad"]], -math.inf
+    if good and bad:
+        start = mean(bad) + place * (mean(good) - mean(bad)) if mean(good) > mean(bad) else -math.inf
+        least = best_limit([r["score"] for r in bad], [r["score"] for r in good], start)
+    most = best_limit([r["toxicity"] for r in of("clean")], [r["toxicity"] for r in of("toxic")])
+    return least, most if most > 0 else math.inf
 
 
 def _counts(words: Column, text: Column) -> dict[str, Column]:
@@ -143,25 +242,25 @@ def rule_counts(docs: DataFrame, *, text_column: str = "text") -> DataFrame:
 
 def quality_rules(
     docs: DataFrame, labels: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", buckets: int = BUCKETS,
-    sample: int = SAMPLE, smoothing: float = SMOOTHING, place: float = PLACE,
+    sample: int = SAMPLE, smoothing: float = SMOOTHING, place: float = PLACE, markers: int = MARKERS,
 ) -> DataFrame:
-    """`row` (the columns of `docs`) with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, score, base_failed and kept.
+    """`row` (the columns of `docs`) with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, score, toxicity, base_failed and kept.
 
     base_failed: fewer than 50 words, or more than half of the words in repeated windows of three. The score is the mean log
-    ratio of a document's n-grams, 0 without words; kept means that base rules hold and the score reaches the limit. Null
-    texts have no words and fail; rows that repeat count each time; rows without an id are never part of the labelled sample.
-    Without labels of both kinds only the base rules decide. No rows: no rows.
+    ratio of a document's n-grams, 0 without words; toxicity is that of its marker words, 0 without any. kept means that base
+    rules hold, the score reaches its limit and toxicity stays below its own. Null texts have no words and fail; rows that repeat
+    count each time; rows without an id are never part of the labelled sample. Without labels of both kinds only the base rules
+    decide. No rows: no rows.
     """
-    counts = bucket_counts(docs, labels, id_column=id_column, text_column=text_column, buckets=buckets, sample=sample)
-    ratios, limit = fit(counts, buckets=buckets, smoothing=smoothing, place=place)
-    # One constant of `buckets` numbers.
-    table = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")
-    rows = rule_counts(docs, text_column=text_column)
-    grams = F.greatest(2 * F.col("n_words") - 1, F.lit(1))
-    total = F.aggregate(_buckets(F.col("words"), buckets), F.lit(0.0), lambda sum_, b: sum_ + F.get(table, b))
+    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    labelled = cut_lineage(labelled_sample(labels, sample))
+    ratios = fit(bucket_counts(texts, labelled, buckets=buckets), buckets=buckets, smoothing=smoothing)
+    marks = toxic_markers(texts, labelled, markers=markers)
+    least, most = limits(texts, labelled, ratios, marks, place=place)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    scored = computed_once(rows, "score", total / grams).drop("words").withColumn("base_failed", failed)
-    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= F.lit(limit)))
+    scored = computed_once(rule_counts(docs, text_column=text_column), "score", _score(F.col("words"), ratios)).drop("words")
+    scored = computed_once(scored, "toxicity", _toxicity(F.col("row").getField(text_column), F.col("n_words"), marks)).withColumn("base_failed", failed)
+    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= F.lit(least)) & (F.col("toxicity") < F.lit(most)))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:

@@ -229,6 +229,28 @@ def test_quality_score_is_the_mean_log_ratio(spark):
     assert quality.keep_good(documents(spark, rows), labels(spark, range(30), range(50, 60))).columns == [f.name for f in DOCS]
 
 
+def test_toxic_text_of_good_quality_goes(spark):
+    def toxic(i):
+        return " ".join(w if k % 9 else ("Moron,", "SCUM", "trash!")[(i + k // 9) % 3] for k, w in enumerate(prose(i - 100).split()))
+
+    rows = [(i, prose(i), "s") for i in range(60)] + [(100 + i, toxic(100 + i), "s") for i in range(40)]
+    marked = [(i, 1, 0) for i in range(40)] + [(100 + i, 1, 1) for i in range(30)] + [(100, None, 1)]
+    found = quality.quality_rules(documents(spark, rows), spark.createDataFrame(marked, "doc_id bigint, quality int, toxic int"))
+    assert {r["row"]["doc_id"] for r in found.where("kept").collect()} == set(range(60))
+    # Toxic labels alone say nothing of what is clean.
+    alone = quality.keep_good(documents(spark, rows), spark.createDataFrame(marked[40:], "doc_id bigint, quality int, toxic int"))
+    assert alone.count() == len(rows)
+
+
+def test_limit_divides_documents_not_means():
+    # The worst of the low scores pulls their mean far down: three quarters of the way up leaves most of them.
+    low, high = [-3.0, -0.2, -0.15, -0.12] * 5, [-0.04, 0.0, 0.1] * 5
+    assert quality.best_limit(low, high, -0.25) == pytest.approx(-0.08)
+    # What single documents cannot show to be better stays.
+    assert quality.best_limit([0.0, 0.1, 0.3], [0.2, 0.4], 0.35) == 0.35
+    assert quality.best_limit([1.0], [0.0]) == quality.best_limit([], [1.0]) == quality.best_limit([0.0], [0.0]) == -math.inf
+
+
 def test_quality_of_no_documents(spark):
     assert quality.quality_rules(spark.createDataFrame([], DOCS), labels(spark, [1], [2])).count() == 0
 
