@@ -10,7 +10,7 @@ import xxhash
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|iframe|svg|math|select|title)\b(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*+>|\Z)"
+    r"|<(?P<raw>script|style|textarea)\b(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*+>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/<>]*+)(?P<attributes>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<[!?/][^>]*+>",
     re.S | re.I,
@@ -31,6 +31,12 @@ _ENDS = {
 }
 _NO_PARAGRAPH = frozenset("li dd dt tr td th thead tbody tfoot body html head figcaption legend summary".split())
 
+# Elements that are no part of a page's text. What stands in them is read, so that an unclosed one ends with its parent, and left out.
+_DROPPED = frozenset("noscript template iframe svg select title annotation annotation-xml".split())
+# A block's start tag ends those of them that cannot hold one, unless an element of the second set stands between.
+_HOLD_NO_BLOCK = frozenset("svg select title".split())
+_HOLD_BLOCKS = frozenset("foreignobject desc noscript template iframe annotation-xml".split())
+
 NOISE_TAGS = frozenset("nav header footer aside form menu dialog button fieldset head".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 NOISE_NAMES = frozenset(
@@ -78,10 +84,22 @@ def _close(stack: list[Node], ends: set[str] | frozenset[str], unless: set[str]
         if stack[at].tag in ends:
             del stack[at:]
             return
-        if stack[at].tag in unless:
+        if stack[at].tag in unless or stack[at].tag in _DROPPED:
             return
 
 
+def _leave(stack: list[Node]) -> None:
+    """Ends the outermost open element that cannot hold a block."""
+    outermost = 0
+    for at in range(len(stack) - 1, 0, -1):
+        if stack[at].tag in _HOLD_BLOCKS:
+            break
+        if stack[at].tag in _HOLD_NO_BLOCK:
+            outermost = at
+    if outermost:
+        del stack[outermost:]
+
+
 _PARAGRAPH = frozenset(["p"])
 _PARAGRAPH_SCOPE = frozenset("td th table button caption html body".split())
 
@@ -89,7 +107,7 @@ _PARAGRAPH_SCOPE = frozenset("td th table button caption html body".split())
 def parse(text: str) -> Node:
     """The tree of a page. Every text is a page; tags that do not fit are passed over."""
     root = Node("", "", False, None)
-    stack, at = [root], 0
+    stack, at, may_leave = [root], 0, False
     for match in _TOKEN.finditer(text):
         start = match.start()
         if start > at:
@@ -100,7 +118,7 @@ def parse(text: str) -> Node:
             continue
         tag = tag.lower()
         if match["end"]:
-            if tag in BLOCK:
+            if tag in BLOCK or tag in _DROPPED:
                 for place in range(len(stack) - 1, 0, -1):
                     if stack[place].tag == tag:
                         del stack[place:]
@@ -113,6 +131,8 @@ def parse(text: str) -> Node:
                     if stack[place].tag in BLOCK:
                         break
             continue
+        if may_leave and tag in BLOCK and tag != "hr":
+            _leave(stack)
         if tag in BLOCK and tag not in _NO_PARAGRAPH:
             _close(stack, _PARAGRAPH, _PARAGRAPH_SCOPE)
         if tag in _ENDS:
@@ -120,7 +140,9 @@ def parse(text: str) -> Node:
         attributes = match["attributes"]
         looks, noise = _looks(tag, attributes) if attributes else ("", tag in NOISE_TAGS)
         node = Node(tag, looks, noise, stack[-1])
-        stack[-1].children.append(node)
+        if tag not in _DROPPED:
+            stack[-1].children.append(node)
+        may_leave = may_leave or tag in _HOLD_NO_BLOCK
         if tag not in VOID and not attributes.endswith("/"):
             stack.append(node)
     if at < len(text):

@@ -38,6 +38,18 @@ def test_text_of_one_page(spark, html, text):
     assert texts(extraction.extract(pages(spark, [(1, "http://h/x", html)]))) == {1: text}
 
 
+@pytest.mark.parametrize("html, text", [
+    ('<article><p>one <svg class="i"/> two</p><p>three</p></article>', "one two\nthree"),
+    ("<article><p>one <math/> two</p><p><math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math></article>", "one two\nx=2"),
+    ("<article><p>one <svg><path></p><p>two</p><select><option>no<p>three</article>", "one\ntwo\nthree"),
+    ("<article><p>a<iframe></p><p>b</p><div><noscript></div>c<p>d <template><li>no<p>no</template>e</article>", "a\nb\nc\nd e"),
+    ("<p>a <noscript><div>no</noscript> b<svg><title>no</title><foreignObject><p>no</foreignObject></svg> c", "a b c"),
+    ("<title>no<body><p>x<script>no</p>", "x"),
+])
+def test_elements_without_text_end_with_their_parent(html, text):
+    assert extraction.main_text(html, set()) == text
+
+
 def test_template_of_a_site_is_removed(spark):
     def page(i):
         return (
