@@ -8,7 +8,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recurra.llm import decontamination, extraction, license_scan, line_dedup, lm_scoring, mixing, oracles, quality, simhash, token_counts, warc
+from recurra.llm import (
+    conversations,
+    decontamination,
+    extraction,
+    license_scan,
+    line_dedup,
+    lm_scoring,
+    merkle,
+    mixing,
+    oracles,
+    quality,
+    simhash,
+    token_counts,
+    toxicity,
+    warc,
+)
 from recurra.llm.common import read_table
 from recurra.session import shared_dir
 
@@ -67,6 +82,19 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.manifest(read_table(spark, folder, "documents"))
+
+
+def op12_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    found = toxicity.score_toxicity(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"), keep=["doc_id"])
+    return found.select("row.doc_id", "held_out", "score", "predicted")
+
+
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repair_conversations(read_table(spark, folder, "conversations"), damage=True)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -79,6 +107,9 @@ def queries() -> dict[str, Query]:
         "op8_decontamination": op8_decontamination,
         "op9_quality_rules": op9_quality_rules,
         "op10_mixing": op10_mixing,
+        "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_toxicity": op12_toxicity,
+        "op13_conversation_repair": op13_conversation_repair,
     }
 
 
@@ -88,4 +119,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_license_scan": oracles.license_scan_sql(),
         "op5_warc": oracles.WARC,
         "op8_decontamination": oracles.DECONTAMINATION,
+        "op11_merkle_manifest": oracles.MERKLE,
+        "op13_conversation_repair": oracles.CONVERSATIONS,
     }
