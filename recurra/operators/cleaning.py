@@ -120,22 +120,28 @@ def flag_invoice_outliers(invoices: DataFrame, subscriptions: DataFrame, plans:
     )
 
 
+def typed_invoices(invoices: DataFrame, subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
+    """The clean columns beside was_formatted, expected_price and whatever else `invoices` has."""
+    typed = invoices.withColumns({
+        "was_formatted": is_formatted_amount(F.col("amount")), "invoice_date": messy_date(F.col("invoice_date")), "amount": parse_amount(F.col("amount")),
+    })
+    return _with_outlier_flag(typed, subscriptions, plans)
+
+
 def clean_invoices(invoices: DataFrame, subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
-    typed = invoices.withColumn("invoice_date", messy_date(F.col("invoice_date"))).withColumn(
-        "amount", parse_amount(F.col("amount"))
-    )
-    return _with_outlier_flag(typed, subscriptions, plans).select(
+    return typed_invoices(invoices, subscriptions, plans).select(
         "invoice_id", "subscription_id", "invoice_date", "amount", "payment_status", "is_outlier"
     )
 
 
-def clean_usage(usage: DataFrame, remap: DataFrame) -> DataFrame:
-    """Rows of merged customers meet in the same month, so counts are summed."""
+def clean_usage(usage: DataFrame, remap: DataFrame, *also: Column) -> DataFrame:
+    """Rows of merged customers meet in the same month, so counts are summed; `also` are further aggregates of the rows."""
+    others = [c for c in usage.columns if c not in ("customer_id", "month", "login_count", "feature_usage_count")]
     month = first_of_month(F.col("month")).alias("usage_month")
-    typed = usage.select("customer_id", month, "login_count", "feature_usage_count")
+    typed = usage.select("customer_id", month, "login_count", "feature_usage_count", *others)
     merged = remap_customer_id(typed, remap, ["usage_month", "login_count", "feature_usage_count"])
     return merged.groupBy("customer_id", "usage_month").agg(
-        F.sum("login_count").alias("login_count"), F.sum("feature_usage_count").alias("feature_usage_count")
+        F.sum("login_count").alias("login_count"), F.sum("feature_usage_count").alias("feature_usage_count"), *also
     )
 
 
@@ -146,10 +152,10 @@ def clean_tickets(tickets: DataFrame, remap: DataFrame) -> DataFrame:
     return remap_customer_id(typed, remap, PRIMARY_KEYS["support_tickets"])
 
 
-def clean_plans(plans: DataFrame) -> DataFrame:
+def clean_plans(plans: DataFrame, keep_malformed: bool = False) -> DataFrame:
     return plans.select(
         "plan_id", "plan_name", "tier", F.col("monthly_price").cast(PRICE).alias("monthly_price"),
-        F.col("annual_price").cast(PRICE).alias("annual_price"),
+        F.col("annual_price").cast(PRICE).alias("annual_price"), *([MALFORMED] if keep_malformed else []),
     )
 
 

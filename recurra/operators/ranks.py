@@ -35,32 +35,37 @@ def _bucket(value: Column, digits: int) -> Column:
     """Magnitude and leading digits as one number that grows with the value."""
     if digits >= 19:
         return value
-    text = F.abs(value).cast("string")
-    leading = F.rpad(F.substring(text, 1, digits), digits, "0").cast("bigint")
-    size = F.length(text).cast("bigint") * 10**digits + leading
-    return F.when(value < 0, -size).when(value > 0, size).otherwise(F.lit(0)).cast("bigint")
+    size = F.length(F.abs(value).cast("string"))
+    powers = F.array(*[F.lit(10**k).cast("bigint") for k in range(19)])
+
+    def power(exponent: Column) -> Column:
+        return F.get(powers, F.greatest(exponent, F.lit(0)))
+
+    leading = F.call_function("div", F.abs(value), power(size - digits)) * power(digits - size)
+    bucket = size.cast("bigint") * 10**digits + leading
+    return F.when(value < 0, -bucket).when(value > 0, bucket).otherwise(F.lit(0)).cast("bigint")
 
 
 def values_at(counts: DataFrame, ranks: DataFrame, narrowing: tuple[int, ...] = NARROWING) -> DataFrame:
     """`ranks` with the value at each 0-based `position`; its other columns stay as they are.
 
-    `ranks` is a handful of rows made from a global aggregate, so it is broadcast.
+    `ranks` is a handful of rows made from a global aggregate, so it is broadcast. Every step reads the counts once and looks into the
+    buckets that the step before has found, which are as many as there are ranks.
     """
     kept = [c for c in ranks.columns if c != "position"]
     left = counts.crossJoin(F.broadcast(ranks))
-    for digits in narrowing:
-        left = left.withColumn("bucket", _bucket(F.col("value"), digits))
-        sizes = left.groupBy(*kept, "position", "bucket").agg(F.sum("copies").alias("size"))
+    for digits, finer in zip(narrowing, (*narrowing[1:], None)):
+        sizes = left.groupBy(*kept, "position", _bucket(F.col("value"), digits).alias("bucket")).agg(F.sum("copies").alias("size"))
         before = Window.partitionBy(*kept).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
         hit = (
             sizes.withColumn("below", F.coalesce(F.sum("size").over(before), F.lit(0)))
             .where((F.col("below") <= F.col("position")) & (F.col("position") < F.col("below") + F.col("size")))
             .select(*kept, "bucket", (F.col("position") - F.col("below")).alias("position"))
         )
-        if digits == narrowing[-1]:
+        if finer is None:
             return hit.select(*kept, F.col("bucket").alias("value"))
-        # One bucket per rank, so this side has as many rows as there are ranks.
-        left = left.drop("position").join(F.broadcast(hit), [*kept, "bucket"]).drop("bucket")
+        # A finer bucket lies in one coarser one, so the last hit says all that the earlier ones did.
+        left = counts.join(F.broadcast(hit), _bucket(F.col("value"), digits) == F.col("bucket")).drop("bucket")
     raise ValueError("narrowing must not be empty")
 
 

@@ -13,6 +13,7 @@ from recurra.operators.mrr import subscription_mrr
 from recurra.operators.quality import domain_violations, fk_orphans, pk_violations
 from recurra.operators.star import BY_MONTH
 from recurra.schemas import CLEAN, MALFORMED, RAW
+from recurra.sources.files import exists
 
 FORMATS = ("csv", "parquet")
 CSV_OUT = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
@@ -22,58 +23,88 @@ CSV_OUT = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ign
 BUCKETED = {"customers": "customer_id", "usage_monthly": "customer_id"}
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
-
-
 def _stored_at(spark: SparkSession, folder: str, name: str, fmt: str, prefixes: Sequence[str]) -> str:
     """<folder>/<table>, <folder>/<table>.<fmt>, or either with a prefix; the first that is there."""
     places = [f"{folder}/{prefix}{name}{ending}" for prefix in prefixes for ending in ("", f".{fmt}")]
-    return next((p for p in places if _exists(spark, p)), places[0])
+    return next((p for p in places if exists(spark, p)), places[0])
 
 
-def _read_csv(spark: SparkSession, path: str, schema: StructType, keep_malformed: bool) -> DataFrame:
-    """Columns by the names in the header, in any order; a file whose header differs from the first one's is refused.
+def _unclosed(record: Column) -> Column:
+    """Whether a record has an odd number of quotes, as both parts of one have that was cut at a line break."""
+    return F.pmod(F.octet_length(record) - F.octet_length(F.replace(record, F.lit('"'), F.lit(""))), F.lit(2)) == 1
 
-    Values that are not what their column should be are NULL. With `keep_malformed` a last column says which rows have one,
-    or have too many or too few values.
-    """
-    options = {"header": True, "escape": '"', "enforceSchema": False, "columnNameOfCorruptRecord": "_corrupt_record"}
+
+def _csv_rows(spark: SparkSession, path: str, schema: StructType, multi_line: bool) -> tuple[DataFrame, dict[str, Column], dict[str, Column]]:
+    """The rows as texts, with the record of those that have too few or too many values; the typed columns; by reason, what is wrong."""
+    options = {"header": True, "escape": '"', "enforceSchema": False, "columnNameOfCorruptRecord": "_corrupt_record", "multiLine": multi_line}
     header = spark.read.options(**options).csv(path).columns
     missing = [c for c in schema.names if c not in header]
     if missing:
         raise ValueError(f"{path} has no column {', '.join(missing)}")
-    if keep_malformed:
-        options["columnPruning"] = False  # else a row is only as long as the columns that are read
     texts = StructType([StructField(c, StringType()) for c in [*header, "_corrupt_record"]])
-    rows = spark.read.schema(texts).options(**options).csv(path)
+    # Without pruning, since a row would else be only as long as the columns that are read.
+    rows = spark.read.schema(texts).options(**options, columnPruning=False).csv(path)
     typed = {f.name: F.col(f"`{f.name}`").try_cast(f.dataType) for f in schema.fields}
-    unreadable = [F.col(f"`{f.name}`").isNotNull() & typed[f.name].isNull() for f in schema.fields if f.dataType != StringType()]
-    broken = reduce(Column.__or__, [F.col("_corrupt_record").isNotNull(), *unreadable])
-    marks = [broken.alias(MALFORMED)] if keep_malformed else []
-    return rows.select(*[value.alias(name) for name, value in typed.items()], *marks)
+    record = F.col("_corrupt_record")
+    wrong = {"line break in quotes": F.coalesce(_unclosed(record), F.lit(False)), "number of values": record.isNotNull()}
+    for f in schema.fields:
+        if f.dataType != StringType():
+            wrong[f"value of {f.name}"] = F.col(f"`{f.name}`").isNotNull() & typed[f.name].isNull()
+    return rows, typed, wrong
+
+
+def _read_csv(spark: SparkSession, path: str, schema: StructType, keep_malformed: bool, multi_line: bool) -> DataFrame:
+    """Columns by the names in the header, in any order; a file whose header differs from the first one's is refused.
+
+    Values that are not what their column should be are NULL. With `keep_malformed` a last column says which rows have one,
+    or have too many or too few values. A quoted value with a line break is read as one only with `multi_line`, which keeps files from being split
+    over tasks; else its parts are malformed rows, and reading stops at them unless malformed rows are kept.
+    """
+    rows, typed, wrong = _csv_rows(spark, path, schema, multi_line)
+    if keep_malformed:
+        return rows.select(*[value.alias(name) for name, value in typed.items()], reduce(Column.__or__, wrong.values()).alias(MALFORMED))
+    torn = F.concat(F.lit(f"{path} has quoted values with line breaks, read it with multi_line: "), F.col("_corrupt_record"))
+    refused = F.when(wrong["line break in quotes"], F.raise_error(torn))
+    return rows.where(refused.isNull()).select(*[value.alias(name) for name, value in typed.items()])
+
+
+def malformed_records(
+    spark: SparkSession, folder: str, name: str, schema: StructType, *, multi_line: bool = False, prefixes: Sequence[str] = ("",)
+) -> DataFrame:
+    """(table_name, file, record, reasons) for every row of a CSV table; rows without fault have no reasons. The record is as it was read, or, where only
+    values are wrong, its values written anew."""
+    rows, _, wrong = _csv_rows(spark, _stored_at(spark, folder, name, "csv", prefixes), schema, multi_line)
+    values = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in rows.columns if c != "_corrupt_record"]))
+    reasons = F.filter(F.array(*[F.when(broken, reason) for reason, broken in wrong.items()]), lambda r: r.isNotNull())
+    return rows.select(
+        F.lit(name).alias("table_name"), F.col("_metadata.file_path").alias("file"), F.coalesce("_corrupt_record", values).alias("record"), reasons.alias("reasons")
+    )
 
 
 def _read(
-    spark: SparkSession, folder: str, schemas: Mapping[str, StructType], fmt: str, prefixes: Sequence[str], keep_malformed: bool = False
+    spark: SparkSession, folder: str, schemas: Mapping[str, StructType], fmt: str, prefixes: Sequence[str], keep_malformed: bool = False,
+    multi_line: bool = False,
 ) -> dict[str, DataFrame]:
     if fmt not in FORMATS:
         raise ValueError(f"expected one of {FORMATS}, not {fmt!r}")
     tables = {}
     for name, schema in schemas.items():
         path = _stored_at(spark, folder, name, fmt, prefixes)
-        tables[name] = _read_csv(spark, path, schema, keep_malformed) if fmt == "csv" else spark.read.schema(schema).parquet(path)
+        tables[name] = _read_csv(spark, path, schema, keep_malformed, multi_line) if fmt == "csv" else spark.read.schema(schema).parquet(path)
     return tables
 
 
-def read_raw(spark: SparkSession, folder: str, fmt: str = "csv", *, keep_malformed: bool = False) -> dict[str, DataFrame]:
+def read_raw(
+    spark: SparkSession, folder: str, fmt: str = "csv", *, keep_malformed: bool = False, multi_line: bool = False
+) -> dict[str, DataFrame]:
     """The six raw tables; messy columns stay text, nothing is inferred."""
-    return _read(spark, folder, RAW, fmt, ("",), keep_malformed)
+    return _read(spark, folder, RAW, fmt, ("",), keep_malformed, multi_line)
 
 
-def read_clean(spark: SparkSession, folder: str, fmt: str = "parquet", *, keep_malformed: bool = False) -> dict[str, DataFrame]:
-    return _read(spark, folder, CLEAN, fmt, ("", "clean_"), keep_malformed)
+def read_clean(
+    spark: SparkSession, folder: str, fmt: str = "parquet", *, keep_malformed: bool = False, multi_line: bool = False
+) -> dict[str, DataFrame]:
+    return _read(spark, folder, CLEAN, fmt, ("", "clean_"), keep_malformed, multi_line)
 
 
 def write_clean(tables: Mapping[str, DataFrame], folder: str, fmt: str = "parquet") -> None:
