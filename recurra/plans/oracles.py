@@ -113,9 +113,16 @@ _CTES = {
     "c_invoices": """
         SELECT i.*, coalesce(amount > 5 * list_price OR 5 * amount < list_price, FALSE) AS is_outlier
         FROM parsed_invoices i LEFT JOIN list_prices USING (subscription_id)""",
-    "first_invoices": """
-        SELECT * FROM invoices QUALIFY row_number() OVER (
-            PARTITION BY invoice_id ORDER BY subscription_id, invoice_date, amount, payment_status, is_outlier) = 1""",
+    "whole_invoices": """
+        SELECT invoice_id * 100000 + row_number() OVER (
+                   PARTITION BY invoice_id ORDER BY subscription_id, invoice_date, amount, payment_status, is_outlier) AS invoice_id,
+               subscription_id, invoice_date, amount, payment_status, is_outlier
+        FROM invoices""",
+    "other_invoices": """
+        SELECT invoice_id, subscription_id, CASE WHEN invoice_id % 997 = 101 THEN amount + 1 ELSE amount END AS amount,
+               CASE WHEN invoice_id % 1999 <> 201 THEN payment_status END AS payment_status
+        FROM whole_invoices WHERE invoice_id % 2999 <> 301
+        UNION ALL SELECT -invoice_id, subscription_id, amount, payment_status FROM whole_invoices WHERE invoice_id % 2003 = 401""",
     "judged_invoices": """
         SELECT i.invoice_id, subscription_id, i.amount, list_price,
                coalesce(amount > 5 * list_price OR 5 * amount < list_price, FALSE) AS is_outlier
@@ -363,9 +370,9 @@ def _reconcile(measures: tuple[str, ...], left: str, right: str) -> str:
     return _union(parts)
 
 
-def _cells(table: str, columns: list[str], source: str, inexact: tuple[str, ...] = ()) -> str:
+def _cells(table: str, columns: list[str], source: str, hundredths: tuple[str, ...] = ()) -> str:
     filled = " + ".join(f"count({c})" for c in columns)
-    texts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in columns if c not in inexact)
+    texts = ", ".join(f"coalesce(CAST({f'CAST(round({c} * 100) AS BIGINT)' if c in hundredths else c} AS VARCHAR), '~')" for c in columns)
     digest = f"CAST(sum(CAST('0x' || substr(md5(concat_ws('|', {texts})), 1, 8) AS BIGINT)) AS BIGINT)"
     return f"SELECT '{table}' AS table_name, count(*) AS n_rows, {filled} AS n_values, {digest} AS digest FROM {source}"
 
@@ -592,17 +599,53 @@ _STAR = {
         "customer_id", "country", "company_size_band", "acquisition_channel", "total_revenue", "tenure_months"
     ],
 }
-# Columns of the star tables that the queries hold as decimals or doubles.
-_INEXACT = (
-    "monthly_price", "annual_price", "mrr", "prev_mrr", "mrr_delta", "churned_mrr", "logo_churn_rate_pct", "retention_pct",
-    "total_revenue", "tenure_months",
-)
+# Columns that the stored tables hold as decimals or doubles.
+_MONEY = ("amount", "monthly_price", "annual_price")
+_INEXACT = (*_MONEY, "mrr", "prev_mrr", "mrr_delta", "churned_mrr", "logo_churn_rate_pct", "retention_pct", "total_revenue", "tenure_months")
+_WHOLE_SET = _union([_cells(t, CLEAN[t].names, "whole_invoices" if t == "invoices" else t, _MONEY) for t in CLEAN])
 _QUERIES |= {
     "read_raw": _union([_cells(t, RAW[t].names, f"raw_{t}") for t in RAW]),
-    "read_clean": _union([_cells(t, CLEAN[t].names, t) for t in CLEAN]),
-    "write_clean": _union([_cells(t, CLEAN[t].names, f"c_{t}") for t in CLEAN]),
-    "publish_tables": _union([_cells(t, CLEAN[t].names, "first_invoices" if t == "invoices" else t) for t in CLEAN]),
+    "read_clean": _union([_cells(t, CLEAN[t].names, t, _MONEY) for t in CLEAN]),
+    "write_clean": _union([_cells(t, CLEAN[t].names, f"c_{t}", _MONEY) for t in CLEAN]),
+    "publish_tables": _WHOLE_SET,
+    "publish_run": _WHOLE_SET,
     "publish_star": _union([_cells(t, columns, f"({_QUERIES[t]})", _INEXACT) for t, columns in _STAR.items()]),
+    "run_cleaning": _union([_cleaning_log(), *[_log(t, "malformed_rows", "0", "(SELECT 1) one") for t in CLEAN]]),
+    "refresh_by_month": f"""
+        SELECT month, CASE WHEN count(*) FILTER (late) = 0 THEN 'same' WHEN count(*) FILTER (NOT late) = 0 THEN 'added' ELSE 'rewritten' END AS status,
+               count(*) AS n_rows, CAST(round(sum(mrr) * 100) AS BIGINT) AS cents
+        FROM (SELECT *, plan_id = 2 AND month(month) % 2 = 0 AS late FROM ({_QUERIES['fact_monthly_subscription']})) GROUP BY month""",
+    "compare_tables": """
+        SELECT coalesce(a.invoice_id, b.invoice_id) AS invoice_id,
+               CASE WHEN b.invoice_id IS NULL THEN 'left_only' WHEN a.invoice_id IS NULL THEN 'right_only' ELSE 'diff' END AS status,
+               CASE WHEN a.invoice_id IS NULL OR b.invoice_id IS NULL THEN '' ELSE concat_ws(',',
+                   CASE WHEN a.subscription_id IS DISTINCT FROM b.subscription_id THEN 'subscription_id' END,
+                   CASE WHEN a.amount IS DISTINCT FROM b.amount THEN 'amount' END,
+                   CASE WHEN a.payment_status IS DISTINCT FROM b.payment_status THEN 'payment_status' END) END AS columns
+        FROM whole_invoices a FULL JOIN other_invoices b ON a.invoice_id = b.invoice_id
+        WHERE a.invoice_id IS NULL OR b.invoice_id IS NULL OR a.subscription_id IS DISTINCT FROM b.subscription_id
+              OR a.amount IS DISTINCT FROM b.amount OR a.payment_status IS DISTINCT FROM b.payment_status""",
+    "reconcile_metrics": _union([
+        f"SELECT '{t}' AS table_name, 'rows_out' AS measure, {_dbl('count(*)')} AS left_value, {_dbl('count(*)')} AS right_value, {_dbl('0')} AS difference, 'match' AS status FROM c_{t}"
+        for t in CLEAN
+    ]),
+    "overlapping_tickets": f"""
+        SELECT week, count(*) AS open_tickets,
+               CAST(sum(datediff('day', greatest(created_date, week), least(closed_date, sunday)) + 1) AS BIGINT) AS open_days
+        FROM (SELECT CAST(d AS DATE) AS week, CAST(d + INTERVAL 6 DAY AS DATE) AS sunday
+              FROM generate_series(TIMESTAMP '1992-01-06', TIMESTAMP '2030-12-30', INTERVAL 7 DAY) g(d)) weeks
+        JOIN (SELECT created_date, coalesce(resolved_date, {_SNAP}) AS closed_date FROM support_tickets) tickets
+          ON created_date <= sunday AND week <= closed_date AND created_date <= closed_date
+        GROUP BY week""",
+    "active_by_overlap": f"""
+        SELECT month, plan_id, count(DISTINCT customer_id) AS active_customers, count(*) AS subscriptions
+        FROM calendar JOIN subscriptions ON start_date <= last_day(month) AND coalesce(end_date, {_SNAP}) >= month AND start_date <= coalesce(end_date, {_SNAP})
+        GROUP BY month, plan_id""",
+    "sketched_customers": """
+        SELECT CAST(year(usage_month) AS INT) AS year, count(DISTINCT customer_id) AS customers, TRUE AS within_bound FROM usage_monthly GROUP BY ALL""",
+    "sketched_amounts": """
+        SELECT payment_status, CAST(share AS DOUBLE) AS share, count(*) AS n, TRUE AS within_bound
+        FROM invoices, (VALUES (0.25), (0.5), (0.75)) shares(share) WHERE amount IS NOT NULL GROUP BY ALL""",
 }
 
 

@@ -19,7 +19,7 @@ pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="no test tables")
 # Joins without a key: only ever with the one row of a global aggregate (or its few ranks).
 WITH_SCALARS = {
     "active_month_start", "arpu_histogram", "arpu_summary", "customer_month_mrr", "metrics_table", "mrr_waterfall",
-    "cleaning_log", "nrr_gap_value", "reconcile_mrr", "revenue_at_risk", "tenure_histogram", "tenure_summary",
+    "cleaning_log", "nrr_gap_value", "reconcile_metrics", "reconcile_mrr", "revenue_at_risk", "tenure_histogram", "tenure_summary",
 }
 
 
@@ -55,6 +55,12 @@ def test_query(spark, duck, name):
     assert name in WITH_SCALARS or "BroadcastNestedLoopJoin" not in plan
 
 
+def test_rank_steps_read_the_counts_once_each(spark):
+    """One read for the totals, one for each of the four steps."""
+    plan = queries()["arpu_summary"](spark, str(FOLDER))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 5
+
+
 def test_scans_read_only_the_columns_needed(spark):
     plan = queries()["active_customers_by_month"](spark, str(FOLDER))._jdf.queryExecution().executedPlan().toString()
     assert re.findall(r"ReadSchema: struct<([^>]*)>", plan) == [
