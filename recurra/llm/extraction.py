@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recurra.llm.common import all_columns, map_batches, without
+from recurra.llm.common import all_columns, map_batches
 from recurra.llm.html_tree import NOISE_TAGS, Node, blocks, elements, main_elements, parse
 from recurra.session import cut_lineage
 
@@ -181,14 +181,15 @@ def extract(
     data = F.coalesce(F.col(html_column), F.lit(""))
     branches = cut_lineage(noise_branches(pages.select(host.alias("host"), data.alias("data")), damping=damping, limit=limit, min_pages=min_pages))
     size = branches.agg(F.sum(F.size("paths"))).first()[0] or 0
-    wanted = [c for c in (pages.columns if keep is None else keep) if c != "extracted"]
+    wanted = [c for c in (pages.columns if keep is None else keep) if c.lower() != "extracted"]
     kept = [c for c, name in zip(all_columns(pages), pages.columns) if name in wanted]
-    rows = pages.select(*kept, host.alias("page host"), data.alias("page data"))
-    sites = branches.select(F.col("host").alias("site host"), F.col("paths").alias("page paths"))
+    # A user's columns go by number, so that no name of theirs can be one of ours.
+    rows = pages.select(*[c.alias(f"c{n}") for n, c in enumerate(kept)], host.alias("host"), data.alias("data"))
+    sites = branches.select(F.col("host").alias("site"), "paths")
     sites = F.broadcast(sites) if size <= most_sent else sites
-    rows = rows.join(sites, F.col("page host") == F.col("site host"), "left")
-    rows = without(rows, "page host", "site host")
+    rows = rows.join(sites, F.col("host") == F.col("site"), "left").drop("host", "site")
     place = len(kept)
+    out = pages.select(*kept, F.lit("").alias("extracted"))
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -196,8 +197,6 @@ def extract(
                 main_text(d.as_py(), frozenset(p & (1 << 64) - 1 for p in paths.as_py() or ()))
                 for d, paths in zip(batch.column(place), batch.column(place + 1))
             ]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:place], pa.array(texts, pa.string())], names=[*names, "extracted"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:place], pa.array(texts, pa.string())], names=[str(n) for n in range(place + 1)])
 
-    out = rows.select(*kept, F.lit("").alias("extracted"))
-    names = out.columns[:-1]
     return map_batches(rows, of_batches, out.schema)
