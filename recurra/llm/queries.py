@@ -25,7 +25,8 @@ from recurra.llm import (
     warc,
 )
 from recurra.llm.common import read_table
-from recurra.session import shared_dir
+from recurra.session import cut_lineage, shared_dir
+from recurra.sources.files import removed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,7 +53,10 @@ def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
     archives = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     manifest = warc.write_archives(read_table(spark, folder, "pages"), archives)
     found = warc.read_archives(manifest, archives, with_payload=False)
-    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    # The archives go once what was read from them is kept.
+    kept = cut_lineage(found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+    removed(spark, archives)
+    return kept
 
 
 def op6_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:

@@ -23,7 +23,7 @@ from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recurra.session import cut_lineage
@@ -136,23 +136,95 @@ def _manifest_rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _MANIFEST_ARROW)], schema=_MANIFEST_ARROW)
 
 
-def shard_of_steps(sizes: DataFrame, shard_bytes: int = SHARD_BYTES, steps: int = STEPS) -> tuple[int, int, list[int]]:
-    """The lowest id, the ids in a step, and the shard of every step, from (page_id, n_bytes): a new shard begins when the one
-    before has its bytes."""
-    found = sizes.agg(F.min("page_id").alias("low"), F.max("page_id").alias("high")).first()
+@dataclass
+class Shards:
+    """Which shard an id belongs to. Blocks of equal steps: a step has a shard's number, or the negative number (less one) of the block that cuts
+    it anew. Block 0 covers all ids; `depth` blocks are passed at most."""
+
+    lows: list[int]
+    widths: list[int]
+    bases: list[int]
+    steps: list[int]
+    depth: int
+    count: int
+
+    def of(self, page_id: Column, digest: Column) -> Column:
+        """The shard of a page; pages without an id are dealt out by their digests."""
+        def table(values: list[int]) -> Column:
+            return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+        lows, widths, bases, steps = map(table, (self.lows, self.widths, self.bases, self.steps))
+        found = F.lit(-1).cast("bigint")
+        for _ in range(self.depth):
+            block = (-found - 1).cast("int")
+            place = F.get(bases, block) + F.call_function("div", page_id - F.get(lows, block), F.get(widths, block))
+            found = F.when(found >= 0, found).otherwise(F.get(steps, place.cast("int")))
+        dealt = F.pmod(F.xxhash64(digest), F.lit(self.count))
+        return F.when(page_id.isNull(), dealt).otherwise(found).cast("int")
+
+
+def shards_of(sizes: DataFrame, shard_bytes: int = SHARD_BYTES, steps: int = STEPS) -> Shards:
+    """Cut the ids into shards, from (page_id, n_bytes): a new shard begins when the one before has its bytes.
+
+    Ids are counted in `steps` equal steps. A step with more than a shard's bytes is cut into steps of its own, and so on down to single ids, so
+    that ids far off from the others do not gather those in one step. What reaches the driver is a row a step.
+    """
+    known = sizes.where("page_id is not null")
+    found = known.agg(F.min("page_id").alias("low"), F.max("page_id").alias("high")).first()
     if found["low"] is None:
-        return 0, 1, [0]
-    low, width = found["low"], max(1, -(-(found["high"] - found["low"] + 1) // steps))
-    step = F.floor((F.col("page_id") - F.lit(low)) / F.lit(width)).cast("int")
-    rows = sizes.where("page_id is not null").groupBy(step.alias("step")).agg(F.sum("n_bytes").alias("n_bytes")).collect()
-    size_of = {r["step"]: r["n_bytes"] for r in rows}
-    shards, shard, filled = [], 0, 0
-    for number in range(max(size_of) + 1):
-        if filled >= shard_bytes:
-            shard, filled = shard + 1, 0
-        shards.append(shard)
-        filled += size_of.get(number, 0)
-    return low, width, shards
+        whole = sizes.agg(F.sum("n_bytes")).first()[0] or 0
+        return Shards([0], [1], [0], [0], 1, max(1, -(-whole // shard_bytes)))
+    # Blocks as (low, width, steps); bytes by (block, step).
+    blocks = [(found["low"], max(1, -(-(found["high"] - found["low"] + 1) // steps)), steps)]
+    filled: dict[tuple[int, int], int] = {}
+    cut_anew: dict[tuple[int, int], int] = {}
+    todo, depth = [(found["low"], found["high"], 0)], 0
+    while todo:
+        depth += 1
+        # The ranges do not overlap, so their lower ends in order tell a row's range.
+        todo.sort()
+        lows = F.array(*[F.lit(low).cast("bigint") for low, _, _ in todo]) if len(todo) <= 64 else F.split(F.lit(",".join(str(low) for low, _, _ in todo)), ",").cast("array<bigint>")
+        mine = F.size(F.filter(lows, lambda low: low <= F.col("page_id"))) - 1
+
+        def of_range(values: list[int]) -> Column:
+            return F.get(F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>"), mine)
+
+        inside = known.where(mine >= 0).withColumns({
+            "high": of_range([high for _, high, _ in todo]), "block": of_range([block for _, _, block in todo]),
+            "low": of_range([low for low, _, _ in todo]), "width": of_range([blocks[block][1] for _, _, block in todo]),
+        }).where("page_id <= high")
+        rows = inside.groupBy("block", F.expr("(page_id - low) div width").cast("int").alias("step")).agg(
+            F.sum("n_bytes").alias("n_bytes"), F.min("page_id").alias("first"), F.max("page_id").alias("last")
+        ).collect()
+        heavy = [r for r in rows if r["n_bytes"] > shard_bytes and r["first"] < r["last"]]
+        # Heavy steps are fewer than shards; together they get as many steps again, two at least.
+        each, todo = max(2, steps // max(1, len(heavy))), []
+        for r in rows:
+            filled[r["block"], r["step"]] = r["n_bytes"]
+        for r in sorted(heavy, key=lambda r: r["first"]):
+            cut_anew[r["block"], r["step"]] = len(blocks)
+            todo.append((r["first"], r["last"], len(blocks)))
+            blocks.append((r["first"], max(1, -(-(r["last"] - r["first"] + 1) // each)), each))
+    bases = [0]
+    for _, _, size in blocks:
+        bases.append(bases[-1] + size)
+    numbers = [0] * bases[-1]
+    shard, inside_shard = 0, 0
+
+    def deal(block: int) -> None:
+        nonlocal shard, inside_shard
+        for step in range(blocks[block][2]):
+            if (block, step) in cut_anew:
+                numbers[bases[block] + step] = -cut_anew[block, step] - 1
+                deal(cut_anew[block, step])
+                continue
+            if inside_shard >= shard_bytes:
+                shard, inside_shard = shard + 1, 0
+            numbers[bases[block] + step] = shard
+            inside_shard += filled.get((block, step), 0)
+
+    deal(0)
+    return Shards([b[0] for b in blocks], [b[1] for b in blocks], bases[:-1], numbers, depth, shard + 1)
 
 
 def _written(folder: str, file_bytes: int, date: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -211,7 +283,7 @@ def write_archives(
 
     Of rows with equal payloads of at least `min_revisit_bytes` bytes the one with the smallest id is a response and the others
     revisit it; ids are followed by null, equal ids go by url, null first, and of rows equal in all one is the response. A null
-    html is an empty payload. Rows without an id are in the first shard. Extra columns are not written. No rows: an empty manifest
+    html is an empty payload. Rows without an id are dealt to the shards by their digests. A payload of any length is one record, and a task holds one at a time. Extra columns are not written. No rows: an empty manifest
     and no archive. The folder must be new and one that driver and executors share.
     """
     rows = pages.select(
@@ -229,16 +301,18 @@ def write_archives(
     )
     # Thin rows for the pages with such payloads travel to the shards beside the pages, so that no body moves by its digest.
     known = sized.join(equal, ["digest", "n_bytes"]).groupBy("page_id", "digest").agg(F.any_value("first").alias("first"))
-    low, width, shards = shard_of_steps(sized, shard_bytes, steps)
-    table = F.split(F.lit(",".join(map(str, shards))), ",").cast("array<int>")
-    step = F.floor((F.col("page_id") - F.lit(low)) / F.lit(width)).cast("int")
-    shard = F.when(F.col("page_id").isNull(), F.lit(0)).otherwise(F.get(table, step)).alias("shard")
+    shards = shards_of(sized, shard_bytes, steps)
+
+    def shard(digest: Column) -> Column:
+        return shards.of(F.col("page_id"), digest).alias("shard")
+
     nothing = F.lit(None)
     bodies = rows.select(
-        shard, "page_id", F.sha1("payload").alias("digest"), "url", nothing.cast("struct<page_id:bigint,url:string>").alias("first"), "payload"
+        shard(F.sha1("payload")), "page_id", F.sha1("payload").alias("digest"), "url", nothing.cast("struct<page_id:bigint,url:string>").alias("first"), "payload"
     )
-    told = known.select(shard, "page_id", "digest", nothing.cast("string").alias("url"), "first", nothing.cast("binary").alias("payload"))
-    dealt = bodies.union(told).repartition(shards[-1] + 1, "shard").sortWithinPartitions(
+    told = known.select(shard(F.col("digest")), "page_id", "digest", nothing.cast("string").alias("url"), "first", nothing.cast("binary").alias("payload"))
+    # One task a shard, by its number.
+    dealt = bodies.union(told).repartitionById(shards.count, "shard").sortWithinPartitions(
         "shard", "page_id", "digest", F.col("first").isNull(), "url"
     )
     manifest = cut_lineage(dealt.mapInArrow(_written(folder, file_bytes, date), _MANIFEST))
