@@ -8,11 +8,12 @@ size are taken is decided by a seeded hash of their ids, so reruns agree.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recurra.llm.common import count_spaced_words, packed, without
@@ -24,6 +25,8 @@ MOST_COPIES = 2
 SEED = 20
 # Words that the knapsack fits exactly; its table has this many bits for each size.
 KNAPSACK = 1 << 14
+# Bits that the knapsack over a whole rest may take; a rest that needs more is fitted in units of several words.
+KNAPSACK_BITS = 1 << 28
 # Documents of one source and size that are put in order together.
 RANKED_TOGETHER = 4096
 
@@ -56,8 +59,23 @@ def reachable(sizes: list[int], counts: list[int], budget: int) -> list[int]:
     return taken
 
 
-def fit_counts(sizes: np.ndarray, counts: np.ndarray, budget: int, knapsack: int = KNAPSACK) -> np.ndarray:
-    """How many documents of each size to take so that their sizes add up to `budget` as nearly as this finds, never above."""
+def _whole_rest(sizes: list[int], counts: list[int], budget: int, bits: int) -> list[int]:
+    """How many of each size come near `budget` from below, over all of it: by the knapsack, in units as fine as `bits` allow.
+
+    Sizes are rounded up to units, so no sum is above the budget. A common divisor of the sizes costs nothing.
+    """
+    divisor = math.gcd(*sizes)
+    bundles = sum(min(count, budget // size).bit_length() for size, count in zip(sizes, counts))
+    unit = max(1, -(-(bundles * (budget // divisor)) // bits)) * divisor
+    return reachable([-(-size // unit) for size in sizes], counts, budget // unit)
+
+
+def fit_counts(sizes: np.ndarray, counts: np.ndarray, budget: int, knapsack: int = KNAPSACK, bits: int = KNAPSACK_BITS) -> np.ndarray:
+    """How many documents of each size to take so that their sizes add up to `budget` as nearly as this finds, never above.
+
+    Of every size the proportional share, then the largest that fit down to what the knapsack takes over. Where that leaves something, as it may
+    with few and very long documents, the knapsack over all that the shares left is tried as well, and the nearer of both is taken.
+    """
     taken = np.zeros(len(sizes), np.int64)
     total = sum(int(s) * int(c) for s, c in zip(sizes, counts))
     if not total or budget <= 0:
@@ -69,6 +87,24 @@ def fit_counts(sizes: np.ndarray, counts: np.ndarray, budget: int, knapsack: int
         if sizes[i] > 0:
             taken[i] = int(counts[i]) * budget // total
             left -= int(taken[i]) * int(sizes[i])
+    filled, rest = _filled(sizes, counts, taken, left, order, knapsack)
+    if rest and left > knapsack:
+        for start, gap in ((taken, left), (np.zeros_like(taken), budget)):
+            open_ = [i for i in order[::-1] if 0 < sizes[i] <= gap and counts[i] > start[i]]
+            if not open_:
+                continue
+            other = start.copy()
+            other[open_] += _whole_rest([int(sizes[i]) for i in open_], [int(counts[i] - start[i]) for i in open_], gap, bits)
+            # What rounding to units left over.
+            other, missing = _filled(sizes, counts, other, budget - int((other * sizes).sum()), order, knapsack)
+            if missing < rest:
+                filled, rest = other, missing
+    return filled
+
+
+def _filled(sizes: np.ndarray, counts: np.ndarray, taken: np.ndarray, left: int, order: np.ndarray, knapsack: int) -> tuple[np.ndarray, int]:
+    """`taken` with the largest sizes that fit into what is left, the last of it by the knapsack; and what is left then."""
+    taken = taken.copy()
     for i in order:
         # The largest sizes fill the gap down to what the knapsack takes over.
         if sizes[i] > 0 and left > knapsack:
@@ -79,13 +115,14 @@ def fit_counts(sizes: np.ndarray, counts: np.ndarray, budget: int, knapsack: int
     if left <= knapsack and open_:
         found = reachable([int(sizes[i]) for i in open_], [int(counts[i] - taken[i]) for i in open_], left)
         taken[open_] += found
+        left -= sum(n * int(sizes[i]) for n, i in zip(found, open_))
     else:
         for i in order:
             if 0 < sizes[i] <= left:
                 more = min(int(counts[i] - taken[i]), left // int(sizes[i]))
                 taken[i] += more
                 left -= more * int(sizes[i])
-    return taken
+    return taken, left
 
 
 def numbered(sources: DataFrame) -> DataFrame:
@@ -160,7 +197,7 @@ def _decided(sized: DataFrame, plan: DataFrame, seed: int, ranked_together: int)
     planned = plan.select(
         F.col("source").alias("p_source"), F.col("size").alias("p_size"), "n", "source_size", "target", "copies", "picked"
     )
-    hashed = F.xxhash64(F.lit(seed), F.col("id").cast("string"))
+    hashed = F.xxhash64(F.lit(seed), F.col("id").cast("string"), "text_hash")
     run = F.pmod(F.xxhash64(F.lit("run"), "hash"), F.ceil(F.col("n") / ranked_together).cast("bigint"))
     dealt = (
         sized.withColumn("hash", hashed)
@@ -176,52 +213,65 @@ def _decided(sized: DataFrame, plan: DataFrame, seed: int, ranked_together: int)
             (F.col("wanted") - F.coalesce(F.sum("here").over(before), F.lit(0))).alias("room"),
         )
     )
-    turn = F.row_number().over(Window.partitionBy(*group).orderBy("hash", "id"))
+    turn = F.row_number().over(Window.partitionBy(*group).orderBy("hash", "id", "text_hash"))
     same = F.col("p_source").eqNullSafe(F.col("r_source")) & (F.col("p_size") == F.col("r_size")) & (F.col("run") == F.col("r_run"))
     chosen = F.when(F.col("turn") <= F.col("room"), 1).otherwise(0).cast("bigint")
     return dealt.withColumn("turn", turn).join(rooms, same).withColumn("chosen", chosen)
 
 
-def mix(
+def _text_hash(id_column: str, text_column: str) -> Column:
+    """What tells rows without an id apart; null for all others."""
+    return F.when(F.col(id_column).isNull(), F.xxhash64(F.col(text_column)))
+
+
+def _mixed(
     docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source",
     weights: tuple[int, ...] = WEIGHTS, share_percent: int = SHARE_PERCENT, seed: int = SEED,
     knapsack: int = KNAPSACK, ranked_together: int = RANKED_TOGETHER,
 ) -> DataFrame:
-    """(id, source, size, source_size, target, copies, taken) for every row; `taken` is size times copies.
-
-    Size is the number of blank-separated words, 0 for null texts. A null source is a source of its own, after all others. Every
-    source's words come as near below its target as whole copies (two at most) and a fitted subset get; a source without words
-    has target 0. Documents of one source and size are picked in the order of a hash of seed and id; null ids are alike, and so
-    are rows that share id, source and size. Extra columns are not read. No rows: no rows.
-    """
+    """As mix, with the columns named id and source, and text_hash."""
     sized = cut_lineage(docs.select(
-        F.col(id_column).alias("id"), F.col(source_column).alias("source"), count_spaced_words(F.col(text_column)).alias("size")
+        F.col(id_column).alias("id"), F.col(source_column).alias("source"), count_spaced_words(F.col(text_column)).alias("size"),
+        _text_hash(id_column, text_column).alias("text_hash"),
     ))
     targets = with_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share_percent)
     plan = cut_lineage(plan_counts(sized, targets, knapsack))
     copies = F.col("copies") + F.col("chosen")
     return _decided(sized, plan, seed, ranked_together).select(
-        F.col("id").alias(id_column), F.col("source").alias(source_column), "size", "source_size", "target",
-        copies.alias("copies"), (F.col("size") * copies).alias("taken"),
+        "id", "source", "size", "text_hash", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken")
     )
 
 
+def mix(
+    docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", **options
+) -> DataFrame:
+    """(id, source, size, source_size, target, copies, taken) for every row; `taken` is size times copies.
+
+    Size is the number of blank-separated words, 0 for null texts. A null source is a source of its own, after all others. Every
+    source's words come as near below its target as whole copies (two at most) and a fitted subset get; a source without words
+    has target 0. Documents of one source and size are picked in the order of a hash of seed and id; rows without an id go by their texts. Rows that
+    share id, source and size are alike. A very long text is one size, as any other. Extra columns are not read. No rows: no rows.
+    """
+    found = _mixed(docs, id_column=id_column, text_column=text_column, source_column=source_column, **options)
+    return found.select(F.col("id").alias(id_column), F.col("source").alias(source_column), "size", "source_size", "target", "copies", "taken")
+
+
 def mixed_rows(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", **options) -> DataFrame:
     """The rows of `docs` that the mix has at least once, with all their columns and `mix` (size, target, copies, taken).
 
     A row stands for all its copies; whoever reads the mix repeats it `mix.copies` times. A column of `docs` named mix is
     replaced. Empty documents have no words to take and are left out.
     """
-    found = mix(docs, id_column=id_column, text_column=text_column, source_column=source_column, **options)
-    decisions = found.select(F.struct(
-        F.col(id_column).alias("id"), F.col(source_column).alias("source"), "size").alias("of"), "target", "copies", "taken",
-    )
+    found = _mixed(docs, id_column=id_column, text_column=text_column, source_column=source_column, **options)
+    decisions = found.select(F.struct("id", "source", "size", "text_hash").alias("of"), "target", "copies", "taken")
     # Rows that share id, source and size get their decisions in any order, so those are kept as a list: as long as the repeats.
     decisions = decisions.where("taken > 0").groupBy("of").agg(F.sort_array(F.collect_list(F.struct("copies", "taken", "target")), False).alias("all"))
     mine = F.struct(
-        F.col(id_column).alias("id"), F.col(source_column).alias("source"), count_spaced_words(F.col(text_column)).alias("size")
+        F.col(id_column).alias("id"), F.col(source_column).alias("source"), count_spaced_words(F.col(text_column)).alias("size"),
+        _text_hash(id_column, text_column).alias("text_hash"),
     )
-    here = without(docs, "mix")
+    # Names are compared without case, as Spark does.
+    here = without(docs, *[name for name in docs.columns if name.lower() == "mix"])
     rows = here.select(packed(here), mine.alias("key")).join(decisions, F.col("key") == F.col("of"))
     turn = F.row_number().over(Window.partitionBy("key").orderBy("key"))
     return rows.withColumn("turn", turn).where(F.col("turn") <= F.size("all")).select(
