@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recurra.llm.common import computed_once, packed, spaced_words
+from recurra.llm.common import BLANKS, computed_once, packed, spaced_words
 from recurra.session import cut_lineage
 
 BUCKETS = 1 << 14
@@ -34,22 +34,17 @@ MARKERS = 1024
 SIGNIFICANT = 3.0
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-SYMBOLS = "[#*$%&|<>]"
+SYMBOLS = "#*$%&|<>"
 # What stands between two words without punctuation.
 PLAIN_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # Words that the windows of repeated words have.
 REPEAT_WINDOW = 3
 
 
-def _buckets(words: Column, buckets: int) -> Column:
-    """A bucket number for every word and for every pair of neighbours."""
-    single = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
-    last = F.size(words) - 1
-    pairs = F.transform(
-        F.slice(words, 1, F.greatest(last, F.lit(0))),
-        lambda w, i: F.pmod(F.xxhash64(w, F.get(words, i + 1)), F.lit(buckets)).cast("int"),
-    )
-    return F.concat(single, pairs)
+def _bucket(*words: Column, buckets: int) -> Column:
+    hashed = F.xxhash64(*words)
+    low_bits = hashed.bitwiseAND(buckets - 1) if buckets & (buckets - 1) == 0 else F.pmod(hashed, F.lit(buckets))
+    return low_bits.cast("int")
 
 
 def labelled_sample(labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -80,7 +75,11 @@ def _known(docs: DataFrame, labelled: DataFrame, how: str) -> DataFrame:
 def bucket_counts(docs: DataFrame, labelled: DataFrame, *, buckets: int) -> DataFrame:
     """(bucket, raw, good, held): n-grams of all documents, and of the two halves of the good ones. A row a bucket at most leaves a task."""
     known = computed_once(_known(docs, labelled.where("good").select("labelled_id", "fitted"), "left"), "words", spaced_words(F.col("text")))
-    grams = known.select(F.explode(_buckets(F.col("words"), buckets)).alias("bucket"), "fitted")
+    # Every word with the next one, so that what follows is a plain projection of rows and not done inside arrays.
+    pairs = known.select("fitted", F.inline(F.arrays_zip(F.col("words").alias("word"), F.slice("words", 2, F.greatest(F.size("words"), F.lit(1))).alias("after"))))
+    single, pair = _bucket(F.col("word"), buckets=buckets), _bucket(F.col("word"), F.col("after"), buckets=buckets)
+    both = F.when(F.col("after").isNull(), F.array(single)).otherwise(F.array(single, pair))
+    grams = pairs.select("fitted", F.explode(both).alias("bucket"))
     return grams.groupBy("bucket").agg(
         F.count("*").alias("raw"), F.count_if("fitted").alias("good"), F.count_if(~F.col("fitted")).alias("held")
     )
@@ -132,19 +131,28 @@ def toxic_markers(docs: DataFrame, labelled: DataFrame, *, markers: int = MARKER
 def _score(words: Column, ratios: list[float]) -> Column:
     """Mean log ratio of the n-grams; 0 without words."""
     # One constant of as many numbers as buckets.
-    table = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")
-    total = F.aggregate(_buckets(words, len(ratios)), F.lit(0.0), lambda sum_, b: sum_ + F.get(table, b))
-    return total / F.greatest(2 * F.size(words) - 1, F.lit(1))
+    table, buckets = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>"), len(ratios)
+
+    def of_place(word: Column, i: Column) -> Column:
+        """A word and its pair with the next. The last word has none, and the hash of it with null is its own."""
+        return F.get(table, _bucket(word, buckets=buckets)) + F.get(table, _bucket(word, F.get(words, i + 1), buckets=buckets))
+
+    total = F.aggregate(F.transform(words, of_place), F.lit(0.0), lambda sum_, x: sum_ + x)
+    last = F.get(table, _bucket(F.get(words, F.size(words) - 1), buckets=buckets))
+    return F.when(F.size(words) > 0, total - last).otherwise(0.0) / F.greatest(2 * F.size(words) - 1, F.lit(1))
 
 
 def _toxicity(text: Column, n_words: Column, markers: dict[str, float]) -> Column:
     """Sum of the log ratios of the markers in a text, over the root of its words."""
     if not markers:
         return F.lit(0.0)
-    table = F.map_from_arrays(F.split(F.lit(" ".join(markers)), " "), F.split(F.lit(",".join(map(repr, markers.values()))), ",").cast("array<double>"))
-    hits = F.filter(_plain_words(F.coalesce(text, F.lit(""))), lambda word: word.isin(*markers))
+    names = F.split(F.lit(" ".join(markers)), " ")
+    table = F.map_from_arrays(names, F.split(F.lit(",".join(map(repr, markers.values()))), ",").cast("array<double>"))
+    plain = _plain_words(F.coalesce(text, F.lit("")))
+    hits = F.filter(plain, lambda word: word.isin(*markers))
     total = F.aggregate(hits, F.lit(0.0), lambda sum_, word: sum_ + F.try_element_at(table, word))
-    return total / F.sqrt(F.greatest(n_words, F.lit(1)).cast("double"))
+    # Few texts have a marker, and comparing two arrays as wholes tells that fastest.
+    return F.when(F.arrays_overlap(plain, names), total).otherwise(0.0) / F.sqrt(F.greatest(n_words, F.lit(1)).cast("double"))
 
 
 def best_limit(low: list[float], high: list[float], start: float = -math.inf) -> float:
@@ -187,21 +195,24 @@ def limits(docs: DataFrame, labelled: DataFrame, ratios: list[float], markers: d
     return least, most if most > 0 else math.inf
 
 
-def _counts(words: Column, text: Column) -> dict[str, Column]:
-    lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
+def _counts(words: Column, text: Column, lines: Column) -> dict[str, Column]:
+    symbols = [F.octet_length(text) - F.octet_length(F.replace(text, F.lit(c), F.lit(""))) for c in SYMBOLS]
+    # Most texts repeat no line; only the others have to be asked which of their lines have a word.
+    worded = F.filter(lines, lambda line: F.trim(line, F.lit(BLANKS)) != "")
+    repeats = F.size(F.array_distinct(lines)) < F.size(lines)
     return {
         "n_words": F.size(words).cast("bigint"),
         "word_chars": F.length(F.array_join(words, "")).cast("bigint"),
-        "n_symbols": F.regexp_count(text, F.lit(SYMBOLS)).cast("bigint"),
-        "line_count": F.size(lines), "distinct_lines": F.size(F.array_distinct(lines)),
+        "n_symbols": sum(symbols, F.lit(0)).cast("bigint"),
+        "n_dup_lines": F.when(repeats, F.size(worded) - F.size(F.array_distinct(worded))).otherwise(0).cast("bigint"),
     }
 
 
-def _window_hashes(words: Column) -> Column:
-    last = F.size(words) - REPEAT_WINDOW + 1
+def _window_hashes(hashes: Column) -> Column:
+    last = F.size(hashes) - REPEAT_WINDOW + 1
     return F.transform(
-        F.slice(words, 1, F.greatest(last, F.lit(0))),
-        lambda w, i: F.xxhash64(w, *[F.get(words, i + k) for k in range(1, REPEAT_WINDOW)]),
+        F.slice(hashes, 1, F.greatest(last, F.lit(0))),
+        lambda h, i: F.xxhash64(h, *[F.get(hashes, i + k) for k in range(1, REPEAT_WINDOW)]),
     )
 
 
@@ -224,17 +235,19 @@ def _covered(places: Column) -> Column:
 
 
 def rule_counts(docs: DataFrame, *, text_column: str = "text") -> DataFrame:
-    """(row, words, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words) for every row; `row` is the row itself.
-    """
+    """(row, words, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words) for every row; `row` is the row itself."""
     text = F.coalesce(F.col(text_column), F.lit(""))
     rows = computed_once(docs.select(packed(docs), text.alias("text")), "words", spaced_words(F.col("text")))
-    rows = rows.select("row", "words", *[c.alias(n) for n, c in _counts(F.col("words"), F.col("text")).items()])
-    kept = ["row", "words", "n_words", "word_chars", "n_symbols", (F.col("line_count") - F.col("distinct_lines")).cast("bigint").alias("n_dup_lines")]
-    rows = computed_once(rows.select(*kept), "hashes", _window_hashes(F.col("words")))
+    rows = computed_once(rows, "lines", F.split("text", "\n"))
+    counts = _counts(F.col("words"), F.col("text"), F.col("lines"))
+    rows = rows.select("row", *[c.alias(n) for n, c in counts.items()], "words")
+    # A word is hashed once and then stands in three windows as a number.
+    rows = computed_once(rows, "hashes", F.transform("words", lambda w: F.xxhash64(w)))
+    rows = computed_once(rows, "windows", _window_hashes(F.col("hashes"))).drop("hashes")
     # Most documents repeat no window, and a set tells that faster than sorting.
-    repeats = F.size(F.array_distinct("hashes")) < F.size("hashes")
-    placed = F.array_sort(F.transform("hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    rows = computed_once(rows, "placed", F.when(repeats, placed)).drop("hashes")
+    repeats = F.size(F.array_distinct("windows")) < F.size("windows")
+    placed = F.array_sort(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    rows = computed_once(rows, "placed", F.when(repeats, placed)).drop("windows")
     rows = computed_once(rows, "places", F.when(F.col("placed").isNotNull(), _repeated_places(F.col("placed")))).drop("placed")
     covered = F.when(F.col("places").isNotNull(), _covered(F.col("places"))).otherwise(F.lit(0))
     return computed_once(rows, "n_repeat_words", covered.cast("bigint")).drop("places")
