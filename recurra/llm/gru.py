@@ -16,7 +16,7 @@ from dataclasses import dataclass, fields
 import numpy as np
 
 WINDOW = 32
-LANES = 256
+LANES = 512
 HIDDEN = 12
 CLIP = 1.0
 
@@ -195,19 +195,21 @@ class Model:
             d = carried + back[t]
             d_new = d * update * (1 - new * new)
             d_reset_old = d_new @ p.candidate.T
-            d_update = d * (new - old) * update * (1 - update)
-            d_reset = d_reset_old * old * reset * (1 - reset)
-            d_gates = np.concatenate([d_update, d_reset], axis=1)
-            gradient.candidate += (reset * old).T @ d_new
-            gradient.recurrent += old.T @ d_gates
-            given[t, :, : 2 * h], given[t, :, 2 * h:] = d_gates, d_new
+            d_gates = given[t, :, : 2 * h]
+            np.multiply(d * (new - old), update * (1 - update), out=d_gates[:, :h])
+            np.multiply(d_reset_old * old, reset * (1 - reset), out=d_gates[:, h:])
+            given[t, :, 2 * h:] = d_new
             carried = d * (1 - update) + d_reset_old * reset + d_gates @ p.recurrent.T
             carried[starts[t]] = 0
+        # All steps at once: what the weights between states have given to the gates and to the new states.
+        old, all_given = keep["old"].reshape(-1, h), given.reshape(-1, 3 * h)
+        gradient.candidate += (keep["gates"].reshape(-1, 2 * h)[:, h:] * old).T @ all_given[:, 2 * h:]
+        gradient.recurrent += old.T @ all_given[:, : 2 * h]
         # Equal input words are summed before they are added.
         flat = keep["before"].ravel()
         order = np.argsort(flat, kind="stable")
         first = np.flatnonzero(np.diff(flat[order], prepend=-1))
-        gradient.inputs[flat[order][first]] += np.add.reduceat(given.reshape(-1, 3 * h)[order], first, axis=0)
+        gradient.inputs[flat[order][first]] += np.add.reduceat(all_given[order], first, axis=0)
 
     def score(self, texts: Iterator[tuple[int, np.ndarray]], totals: np.ndarray, width: int = LANES, window: int = WINDOW) -> None:
         """Adds the log-likelihood (natural) of every text to its place in `totals`."""

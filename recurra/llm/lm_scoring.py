@@ -2,9 +2,10 @@
 
 1. Words of all training documents are counted (pre-counted inside the tasks). A bounded number of the most frequent ones are sent to
    all tasks, the first of them are the model's words; the other counts stay a table and are joined by word.
-2. The model (see gru.py) is trained on all training documents in rounds. In a round every task trains a copy on its documents of one
+2. Every text is cut into words and looked up once; its model words, as numbers, its sums and its rare words go to the shared folder.
+3. The model (see gru.py) is trained on all training documents in rounds. In a round every task trains a copy on its documents of one
    slice; the copies are averaged by the number of words they saw. What reaches the driver is one model.
-3. Every document is scored whole, with the state carried from window to window. Words the model does not have are scored as one
+4. Every document is scored whole, with the state carried from window to window. Words the model does not have are scored as one
    unknown word, times their share of all such words, so that the scores of all texts still sum to one.
 """
 
@@ -20,16 +21,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from recurra.llm import gru
 from recurra.llm.common import word_pieces
 from recurra.session import cut_lineage
 
 PARTS, HELD_OUT = 7, 2
-# Words whose counts every task gets; words of the model itself (with the end and the unknown word).
+# Words whose counts every task gets.
 FREQUENT = 1 << 18
-MODEL_WORDS = 1024
-CLASSES = 24
+# Words of the model itself (with the end and the unknown word): the first number up to so many training tokens, twice as many for every 16 times the
+# tokens, and at most as many as are sent; classes are the root of the words, by a quarter less.
+MODEL_WORDS, MODEL_TOKENS = 1024, 1 << 27
 ROUNDS = 2
 RATE = 0.15
 # Different words that a task counts before it passes its counts on.
@@ -63,6 +66,16 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(of_batches, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def model_size(tokens: int) -> int:
+    """Words of the model for a corpus of so many training tokens."""
+    doublings = max(0, math.floor(math.log2(max(tokens, 1) / MODEL_TOKENS) / 4 + 1))
+    return min(MODEL_WORDS << doublings, FREQUENT)
+
+
+def class_count(words: int) -> int:
+    return max(2, math.isqrt(words) * 3 // 4)
+
+
 @dataclass
 class Lexicon:
     """Frequent words in order of their counts, and the model's words: the first `own` of those, the end of a text and the unknown."""
@@ -78,7 +91,7 @@ class Lexicon:
     unknown_total: int
 
     @classmethod
-    def of(cls, counts: DataFrame, texts: int, frequent: int, model_words: int) -> Lexicon:
+    def of(cls, counts: DataFrame, texts: int, frequent: int, model_words: int | None) -> Lexicon:
         total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("types")).first()
         # The lowest count that at most `frequent` words reach: one row for each different count, so few that a task has them all.
         levels = counts.groupBy("n").agg(F.count("*").alias("words"))
@@ -87,7 +100,7 @@ class Lexicon:
         # At most `frequent` rows reach the driver.
         rows = sorted(counts.where(F.col("n") >= F.lit(cut)).collect(), key=lambda r: (-r["n"], bytes(r["word"])))
         found = np.array([r["n"] for r in rows], np.int64)
-        own = min(len(rows), model_words - 2)
+        own = min(len(rows), (model_words or model_size(total["n"])) - 2)
         unknown = total["n"] - int(found[:own].sum())
         model = np.concatenate([found[:own], [texts, unknown]]).astype(np.float64)
         order = np.argsort(-model, kind="stable")
@@ -104,10 +117,10 @@ class Lexicon:
         """Places among the frequent words, -1 for others."""
         return np.fromiter(map(self.place.get, words, repeat(-1)), np.int32, len(words))
 
-    def symbols(self, data: bytes) -> np.ndarray:
-        """The model's words of a whole text, with the end."""
-        parts = [self.model_of[self.places(words)] for words in word_pieces(data.lower())]
-        return np.concatenate([*parts, [self.end]]).astype(np.int32)
+    @property
+    def kind(self) -> type:
+        """Of the numbers of the model's words."""
+        return np.int16 if len(self.model_counts) <= np.iinfo(np.int16).max else np.int32
 
 
 def _longest_first(texts: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
@@ -115,12 +128,60 @@ def _longest_first(texts: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
         yield number, texts[number]
 
 
-def train(texts: DataFrame, lexicon: Lexicon, *, classes: int, hidden: int, rounds: int, rate: float) -> tuple[gru.Parameters, np.ndarray]:
-    """The model after one pass over all texts (data, slice) in `rounds` slices."""
-    bounds = gru.class_bounds(lexicon.model_counts, classes)
+def _read(rows: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """`rows` (row, id, held_out, slice, data) with the model's words in place of the data, sums over what the tasks know, and the rare words."""
+    sent = rows.sparkSession.sparkContext.broadcast(lexicon)  # a bounded number of words
+    schema = (
+        f"row bigint, id {rows.schema['id'].dataType.simpleString()}, held_out boolean, slice int, n_tokens bigint, n_frequent bigint, n_unknown bigint, "
+        "all_logs double, unknown_logs double, symbols binary, rare array<struct<word:binary,n:int>>"
+    )
+    names = [part.strip().split()[0] for part in schema.split(", ")]
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words_of = sent.value
+        own = words_of.model_of[:-1] != words_of.unknown
+        end = np.array([words_of.end], words_of.kind)
+        for batch in batches:
+            symbols, sums = [], np.zeros((batch.num_rows, 5))
+            offsets, words, numbers = [0], [], []
+            for row, data in enumerate(batch.column(4)):
+                rare: Counter = Counter()
+                parts = []
+                for piece in word_pieces((data.as_py() or b"").lower()):
+                    places = words_of.places(piece)
+                    parts.append(words_of.model_of[places].astype(words_of.kind))
+                    known = places[places >= 0]
+                    logs = words_of.log_counts[known]
+                    unknown = ~own[known]
+                    sums[row] += (len(piece), len(known), len(piece) - len(known) + unknown.sum(), logs.sum(), logs[unknown].sum())
+                    rare.update([piece[i] for i in np.flatnonzero(places < 0)])
+                symbols.append(np.concatenate([*parts, end]).tobytes())
+                words += rare.keys()
+                numbers += rare.values()
+                offsets.append(len(words))
+            lists = pa.ListArray.from_arrays(
+                pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([pa.array(words, pa.binary()), pa.array(numbers, pa.int32())], names=["word", "n"])
+            )
+            whole = [pa.array(sums[:, i].astype(np.int64)) for i in range(3)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:4], *whole, pa.array(sums[:, 3]), pa.array(sums[:, 4]), pa.array(symbols, pa.binary()), lists], names=names
+            )
+
+    return rows.mapInArrow(of_batches, schema)
+
+
+def _numbers(column: pa.Array, kind: type) -> list[np.ndarray]:
+    """Texts as numbers of the model's words, as _read has stored them."""
+    return [np.frombuffer(data.as_buffer(), kind).astype(np.int32) for data in column]
+
+
+def train(
+    texts: DataFrame, lexicon: Lexicon, *, classes: int | None, hidden: int, rounds: int, rate: float
+) -> tuple[gru.Parameters, np.ndarray]:
+    """The model after one pass over all texts (symbols, slice) in `rounds` slices."""
+    bounds = gru.class_bounds(lexicon.model_counts, classes or class_count(len(lexicon.model_counts)))
     parameters = gru.initial(lexicon.model_counts, bounds, hidden)
-    context = texts.sparkSession.sparkContext
-    words = context.broadcast(lexicon)
+    context, kind = texts.sparkSession.sparkContext, lexicon.kind
     for number in range(rounds):
         flat = parameters.flat()
         sent = context.broadcast(flat)  # as large as the model
@@ -129,8 +190,7 @@ def train(texts: DataFrame, lexicon: Lexicon, *, classes: int, hidden: int, roun
             model = gru.Model(gru.Parameters.shaped(sent.value.copy(), like), bounds)
             seen, squares = 0, None
             for batch in batches:
-                symbols = [words.value.symbols(d.as_py() or b"") for d in batch.column(0)]
-                n, squares = model.train(_longest_first(symbols), rate, squares)
+                n, squares = model.train(_longest_first(_numbers(batch.column(0), kind)), rate, squares)
                 seen += n
             if seen:
                 learned = model.p.flat().astype(np.float64)
@@ -139,7 +199,7 @@ def train(texts: DataFrame, lexicon: Lexicon, *, classes: int, hidden: int, roun
                     names=["place", "value", "weight"],
                 )
 
-        copies = texts.where(F.col("slice") == number).select("data").mapInArrow(of_batches, "place bigint, value double, weight bigint")
+        copies = texts.where(F.col("slice") == number).select("symbols").mapInArrow(of_batches, "place bigint, value double, weight bigint")
         mean = copies.groupBy("place").agg((F.sum("value") / F.sum("weight")).alias("mean")).toPandas()
         flat = flat.astype(np.float64)
         flat[mean["place"].to_numpy(np.int64)] = mean["mean"].to_numpy(np.float64)
@@ -148,71 +208,44 @@ def train(texts: DataFrame, lexicon: Lexicon, *, classes: int, hidden: int, roun
 
 
 def _scored(rows: DataFrame, lexicon: Lexicon, parameters: gru.Parameters, bounds: np.ndarray) -> DataFrame:
-    """`rows` (row, id, held_out, data) with sums over what the tasks know, and the rare words left to join."""
-    context = rows.sparkSession.sparkContext
-    sent = context.broadcast((lexicon, parameters, bounds))  # a bounded number of words, and the model
-    schema = (
-        f"row bigint, id {rows.schema['id'].dataType.simpleString()}, held_out boolean, n_tokens bigint, n_frequent bigint, "
-        "all_logs double, unknown_logs double, n_unknown bigint, model_score double, rare array<struct<word:binary,n:int>>"
-    )
+    """`rows` as read, with model_score, the logarithm of the model's probability of a text's model words, in place of those."""
+    sent = rows.sparkSession.sparkContext.broadcast((parameters, bounds))  # as large as the model
+    kind, place = lexicon.kind, rows.columns.index("symbols")
+    schema = StructType([StructField("model_score", DoubleType()) if f.name == "symbols" else f for f in rows.schema.fields])
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_of, learned, starts = sent.value
-        model = gru.Model(learned, starts)
-        own = words_of.model_of[:-1] != words_of.unknown
+        model = gru.Model(*sent.value)
         for batch in batches:
-            symbols, sums = [], np.zeros((batch.num_rows, 5))
-            offsets, words, numbers = [0], [], []
-            for row, data in enumerate(batch.column(3)):
-                rare: Counter = Counter()
-                parts = []
-                for piece in word_pieces((data.as_py() or b"").lower()):
-                    places = words_of.places(piece)
-                    parts.append(words_of.model_of[places])
-                    known = places[places >= 0]
-                    logs = words_of.log_counts[known]
-                    unknown = ~own[known]
-                    sums[row] += (len(piece), len(known), logs.sum(), logs[unknown].sum(), len(piece) - len(known) + unknown.sum())
-                    rare.update([piece[i] for i in np.flatnonzero(places < 0)])
-                symbols.append(np.concatenate([*parts, [words_of.end]]).astype(np.int32))
-                words += rare.keys()
-                numbers += rare.values()
-                offsets.append(len(words))
             totals = np.zeros(batch.num_rows)
-            model.score(_longest_first(symbols), totals)
-            lists = pa.ListArray.from_arrays(
-                pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([pa.array(words, pa.binary()), pa.array(numbers, pa.int32())], names=["word", "n"])
-            )
-            whole = [pa.array(sums[:, i].astype(np.int64)) for i in (0, 1, 4)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], whole[0], whole[1], pa.array(sums[:, 2]), pa.array(sums[:, 3]), whole[2], pa.array(totals / math.log(10)), lists],
-                names=["row", "id", "held_out", "n_tokens", "n_frequent", "all_logs", "unknown_logs", "n_unknown", "model_score", "rare"],
-            )
+            model.score(_longest_first(_numbers(batch.column(place), kind)), totals)
+            yield batch.set_column(place, "model_score", pa.array(totals / math.log(10)))
 
     return rows.mapInArrow(of_batches, schema)
 
 
 def score_documents(
-    docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", frequent: int = FREQUENT, model_words: int = MODEL_WORDS,
-    classes: int = CLASSES, hidden: int = gru.HIDDEN, rounds: int = ROUNDS, rate: float = RATE,
+    docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", frequent: int = FREQUENT, model_words: int | None = None,
+    classes: int | None = None, hidden: int = gru.HIDDEN, rounds: int = ROUNDS, rate: float = RATE,
 ) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row; scores are log10 of probabilities.
 
     Tokens are the words and one end for each text; a null text has only its end. base_score is the sum of
-    log10((c + 1) / (N + V + 1)) with the counts of the training tokens. Repeated rows are learned from and scored each time; rows
-    without an id are learned from. Without training documents every count is 0. Other columns are not read. No rows: no rows.
+    log10((c + 1) / (N + V + 1)) with the counts of the training tokens. Texts of any length are read in pieces and scored whole, window by
+    window. The model's words are as many as the corpus asks for, unless `model_words` says. Repeated rows are learned from and scored each time; rows
+    without an id are learned from. Words of equal counts are taken by their bytes. Without training documents every count is 0. Other columns are
+    not read. No rows: no rows.
     """
     doc_id, text = F.col(id_column), F.col(text_column)
-    learned = docs.where(~is_held_out(doc_id)).select(
-        text.cast("binary").alias("data"), F.pmod(F.xxhash64(doc_id.cast("string"), text), F.lit(rounds)).alias("slice")
-    )
-    counts = cut_lineage(word_counts(learned.select("data")))
-    lexicon = Lexicon.of(counts, learned.count(), frequent, model_words)
-    parameters, bounds = train(learned, lexicon, classes=classes, hidden=hidden, rounds=rounds, rate=rate)
+    counts = cut_lineage(word_counts(docs.where(~is_held_out(doc_id)).select(text.cast("binary").alias("data"))))
+    lexicon = Lexicon.of(counts, docs.where(~is_held_out(doc_id)).count(), frequent, model_words)
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), doc_id.alias("id"), is_held_out(doc_id).alias("held_out"), text.cast("binary").alias("data")
+        F.monotonically_increasing_id().alias("row"), doc_id.alias("id"), is_held_out(doc_id).alias("held_out"),
+        F.pmod(F.xxhash64(doc_id.cast("string"), text), F.lit(rounds)).cast("int").alias("slice"), text.cast("binary").alias("data"),
     )
-    scored = _scored(rows, lexicon, parameters, bounds)
+    # Written once: the training rounds and the scores read it, and a task that runs again finds the numbers that rows were given.
+    read = cut_lineage(_read(rows, lexicon))
+    parameters, bounds = train(read.where(~F.col("held_out")), lexicon, classes=classes, hidden=hidden, rounds=rounds, rate=rate)
+    scored = _scored(read.drop("slice"), lexicon, parameters, bounds)
     # What is known of a text travels once, under a key of its own (with a blank, so it is no word) that adds nothing; beside its
     # rare words those columns are null.
     own = F.concat(F.lit(" "), F.col("row").cast("string")).cast("binary")
