@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 import base64
+import collections
 import hashlib
+import math
+import random
+import time
 
+import pandas as pd
 import pytest
 from pyarrow import fs
+from pyspark.sql import functions as F
 
 from recurra.llm import extraction, warc
 from recurra.llm.html_tree import parse
@@ -38,6 +44,67 @@ def test_text_of_one_page(spark, html, text):
     assert texts(extraction.extract(pages(spark, [(1, "http://h/x", html)]))) == {1: text}
 
 
+@pytest.mark.parametrize("html, text", [
+    ('<article><h2 id="search-trees">A</h2><section id="related-work"><p>B</p></section><div class="ad-hoc-networks">C</div></article>', "A\nB\nC"),
+    ('<article><div class="entry-header"><h1 class="title">T</h1></div><p>x</p><div class="share-buttons">no</div><div class="ad">no</div></article>', "T\nx"),
+    ('<div class="site-header">no</div><div id="sidebar">no</div><div class="related_posts">no</div><p id="comments-on-life">x</p>', "x"),
+    ('<p title="a>one</p>', "one"), ("<p data-x=it's>one</p><p>don't</p>", "one\ndon't"), ("<p a='1' b=\"2\"c=3>t</p><script type=\"a>b\">no</script>u", "t\nu"),
+    ("<p a = 'x>y'>t</p><a href=x?a=b&c=\"d\">l</a>", "t\nl"),
+])
+def test_names_and_quotes(html, text):
+    assert extraction.main_text(html, set()) == text
+
+
+def test_deep_pages_are_read_in_one_pass():
+    begun = time.perf_counter()
+    parse("<div>" * 100_000 + "x" + "</div>" * 100_000)
+    parse("<b>" * 30_000 + "<div></b>" * 30_000)
+    parse('<p a="' * 20_000)
+    # A walk over all open elements at every tag would take a quarter of an hour.
+    assert time.perf_counter() - begun < 30
+
+
+def test_columns_with_any_name_are_kept(spark):
+    schema = "page_id bigint, url string, html string, `page host` string, `site host` string, paths string, `page paths` string, host string, Extracted string"
+    docs = spark.createDataFrame([(1, "http://h/", "<p>a", "1", "2", "3", "4", "5", "6")], schema)
+    row = extraction.extract(docs).first()
+    assert row.asDict() == {"page_id": 1, "url": "http://h/", "html": "<p>a", "page host": "1", "site host": "2", "paths": "3", "page paths": "4", "host": "5", "extracted": "a"}
+
+
+def plain_importance(rows, damping):
+    """The formula on a tree of nested calls."""
+    by_path = {r["path"]: r for r in rows}
+
+    def of(path):
+        r = by_path[path]
+        below = [p for p, other in by_path.items() if other["up"] == path and p != path]
+        log_m = math.log(r["m"]) if r["m"] > 1 else 0
+        shape = min(1.0, r["shape_entropy"] / log_m) if log_m else 1.0
+        parts = [(by_path[p]["m"], of(p)) for p in below]
+        if r["texts"]:
+            parts.append((r["m"], 1 - r["text_logs"] / r["texts"] / log_m if log_m else 1.0))
+        if not parts:
+            return shape
+        inner = sum(w * v for w, v in parts) / sum(w for w, _ in parts)
+        return inner if not below else (1 - damping ** r["shapes"]) * shape + damping ** r["shapes"] * inner
+
+    return {path: of(path) for path in by_path}
+
+
+def test_branch_importance_is_its_formula():
+    random.seed(6)
+    for _ in range(20):
+        rows = []
+        for path in range(1, random.randint(2, 40)):
+            m, shapes, texts = random.randint(1, 30), random.randint(1, 5), random.randint(0, 4)
+            rows.append({
+                "path": path, "up": random.randrange(path), "m": m, "shapes": shapes, "shape_entropy": random.random() * math.log(m) if shapes > 1 else 0.0,
+                "texts": texts, "text_logs": sum(math.log(random.randint(1, m)) for _ in range(texts)),
+            })
+        found = extraction.branch_importance(pd.DataFrame(rows))
+        assert found == pytest.approx(plain_importance(rows, extraction.DAMPING))
+
+
 @pytest.mark.parametrize("html, text", [
     ('<article><p>one <svg class="i"/> two</p><p>three</p></article>', "one two\nthree"),
     ("<article><p>one <math/> two</p><p><math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math></article>", "one two\nx=2"),
@@ -120,6 +187,28 @@ def test_archives_give_back_what_was_written(spark, tmp_path, min_bytes):
     assert {p.name for p in (tmp_path / "w").glob("*.warc.gz")} == {r["name"] for r in manifest.collect()}
 
 
+@pytest.mark.parametrize("shards", [2, 5, 64])
+def test_one_task_a_shard(spark, tmp_path, shards):
+    rows = [(i, f"http://h/{i}", f"page {i:04}") for i in range(shards * 4)]
+    manifest = warc.write_archives(pages(spark, rows, 3), f"file://{tmp_path}/w", shard_bytes=36)
+    assert len({r["shard"] for r in manifest.collect()}) == shards
+    dealt = spark.range(shards).repartitionById(shards, F.col("id").cast("int"))
+    assert sorted(map(len, dealt.rdd.glom().collect())) == [1] * shards
+
+
+def test_ids_far_off_do_not_gather_the_others(spark):
+    sizes = [(i, 10) for i in range(1000)] + [(2**60, 10), (-(2**40), 10)] + [(None, 10)] * 50
+    shards = warc.shards_of(spark.createDataFrame(sizes, "page_id bigint, n_bytes bigint"), shard_bytes=500, steps=64)
+    assert 15 <= shards.count <= 30
+    table = spark.createDataFrame([(i, f"d{n}") for n, (i, _) in enumerate(sizes)], "page_id bigint, digest string")
+    found = table.select("page_id", shards.of(F.col("page_id"), F.col("digest")).alias("shard")).collect()
+    known = sorted((r["page_id"], r["shard"]) for r in found if r["page_id"] is not None)
+    assert [s for _, s in known] == sorted(s for _, s in known)
+    per_shard = collections.Counter(s for _, s in known)
+    assert max(per_shard.values()) <= 120 and set(per_shard) == set(range(shards.count))
+    assert len({r["shard"] for r in found if r["page_id"] is None}) > 5
+
+
 def test_archives_are_the_same_every_time(spark, tmp_path):
     seen = []
     for run, parts in enumerate((1, 5)):

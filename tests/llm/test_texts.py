@@ -511,3 +511,34 @@ def test_knapsack_is_exact():
         taken = mixing.reachable(sizes, counts, budget)
         assert all(0 <= t <= c for t, c in zip(taken, counts))
         assert sum(s * t for s, t in zip(sizes, taken)) == max(x for x in sums if x <= budget)
+
+
+@pytest.mark.parametrize("sizes, counts, budget, expected", [
+    ([60_000, 50_000, 49_999], [1, 1, 1], 99_999, 99_999), ([60_000, 50_000, 30_000], [1, 1, 3], 140_000, 140_000),
+    ([1_000_003, 999_983, 777_777], [2, 2, 2], 2_777_763, 2_777_763), ([100_000], [5], 250_000, 200_000), ([70_000, 40_000, 1], [1, 2, 7], 80_006, 80_006),
+])
+def test_few_long_documents_are_fitted_above_the_knapsack(sizes, counts, budget, expected):
+    taken = mixing.fit_counts(np.array(sizes), np.array(counts), budget)
+    assert all(0 <= t <= c for t, c in zip(taken, counts))
+    assert int((taken * np.array(sizes)).sum()) == expected
+
+
+def test_coarse_units_never_take_too_much():
+    random.seed(12)
+    for _ in range(60):
+        sizes = np.array(sorted(random.sample(range(20_000, 400_000), random.randint(1, 9))))
+        counts = np.array([random.randint(1, 4) for _ in sizes])
+        budget = random.randint(0, int((sizes * counts).sum()))
+        reached = [int((mixing.fit_counts(sizes, counts, budget, bits=bits) * sizes).sum()) for bits in (1 << 10, 1 << 16, 1 << 26)]
+        assert max(reached) <= budget and reached[0] <= reached[2] + 400
+
+
+def test_rows_without_an_id_are_told_apart_by_their_texts(spark):
+    rows = [(None, f"w{i} " * 5, "s") for i in range(60)] + [(None, "same words here", "s")] * 3
+    found = mixing.mix(documents(spark, rows), ranked_together=4)
+    again = mixing.mix(documents(spark, rows, parts=5), ranked_together=4)
+    assert values(found, "size", "taken") == values(again, "size", "taken")
+    named = documents(spark, rows).withColumnRenamed("kept", "Mix")
+    mixed = mixing.mixed_rows(named, ranked_together=4)
+    assert [c for c in mixed.columns if c.lower() == "mix"] == ["mix"] and mixed.select("mix.taken").count() == mixed.count()
+
