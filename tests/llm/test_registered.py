@@ -18,7 +18,7 @@ pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test table
 @pytest.fixture(scope="module")
 def duck():
     connection = pytest.importorskip("duckdb").connect()
-    for name in ("documents", "pages", "benchmark"):
+    for name in ("documents", "pages", "benchmark", "conversations"):
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{FOLDER}/{name}.parquet'")
     return connection
 
