@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from recurra.llm import decontamination, line_dedup, mixing, quality, simhash
 from recurra.llm.common import read_table
 from recurra.session import shared_dir
+from recurra.sources.files import removed
 
 # One stage cannot be told in SQL without XXH64, another is a knapsack: tests hold each against brute force.
 ORACLE_SQL = None
@@ -68,4 +69,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = f"{folder}/{number}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if number:
+            # Nothing reads the stage before any more.
+            removed(spark, f"{folder}/{number - 1}")
     return docs
