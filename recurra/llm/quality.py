@@ -35,18 +35,27 @@ SIGNIFICANT = 3.0
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
-# What stands between two words without punctuation.
-PLAIN_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # Words that the windows of repeated words have.
 REPEAT_WINDOW = 3
 
 
-def _bucket(*words: Column, buckets: int) -> Column:
-    hashed = F.xxhash64(*words)
+def _bucket(hashed: Column, buckets: int) -> Column:
     low_bits = hashed.bitwiseAND(buckets - 1) if buckets & (buckets - 1) == 0 else F.pmod(hashed, F.lit(buckets))
     return low_bits.cast("int")
 
 
+def _neighbours(hashes: Column) -> Column:
+    """A hash of every element with the next one; one element fewer."""
+    fewer = F.greatest(F.size(hashes) - 1, F.lit(0))
+    return F.zip_with(F.slice(hashes, 1, fewer), F.slice(hashes, 2, fewer), lambda a, b: F.xxhash64(a, b))
+
+
+def _hashed(df: DataFrame, words: Column) -> DataFrame:
+    """`df` with `hashes` of the words and `pairs`, hashes of two neighbours. A word is hashed once and is a number from there on."""
+    df = computed_once(df, "hashes", F.transform(words, lambda word: F.xxhash64(word)))
+    return computed_once(df, "pairs", _neighbours(F.col("hashes")))
+
+
 def labelled_sample(labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(labelled_id, fitted, good, bad, toxic, clean): at most `sample` documents labelled good and not toxic, as many labelled bad,
     as many labelled toxic and as many labelled not toxic, each id once; `fitted` are the half of them that is not held out. Ids
@@ -77,7 +86,8 @@ def bucket_counts(docs: DataFrame, labelled: DataFrame, *, buckets: int) -> Data
     known = computed_once(_known(docs, labelled.where("good").select("labelled_id", "fitted"), "left"), "words", spaced_words(F.col("text")))
     # Every word with the next one, so that what follows is a plain projection of rows and not done inside arrays.
     pairs = known.select("fitted", F.inline(F.arrays_zip(F.col("words").alias("word"), F.slice("words", 2, F.greatest(F.size("words"), F.lit(1))).alias("after"))))
-    single, pair = _bucket(F.col("word"), buckets=buckets), _bucket(F.col("word"), F.col("after"), buckets=buckets)
+    word, after = F.xxhash64("word"), F.xxhash64("after")
+    single, pair = _bucket(word, buckets), _bucket(F.xxhash64(word, after), buckets)
     both = F.when(F.col("after").isNull(), F.array(single)).otherwise(F.array(single, pair))
     grams = pairs.select("fitted", F.explode(both).alias("bucket"))
     return grams.groupBy("bucket").agg(
@@ -100,13 +110,8 @@ def fit(counts: DataFrame, *, buckets: int = BUCKETS, smoothing: float = SMOOTHI
     return [math.log((g + smoothing) / of_good) - math.log((r + smoothing) / of_raw) for g, r in zip(good, raw)]
 
 
-def _plain_words(text: Column) -> Column:
-    """Words without punctuation, in lower case, and perhaps an empty one at either end."""
-    return F.split(F.lower(text), PLAIN_GAP)
-
-
-def toxic_markers(docs: DataFrame, labelled: DataFrame, *, markers: int = MARKERS, significant: float = SIGNIFICANT) -> dict[str, float]:
-    """log(toxic / clean), by the documents that have the word, of words that toxic documents have more often than chance explains.
+def toxic_markers(docs: DataFrame, labelled: DataFrame, *, markers: int = MARKERS, significant: float = SIGNIFICANT) -> dict[int, float]:
+    """log(toxic / clean), by the documents that have the word, of hashes of words that toxic documents have more often than chance explains.
 
     Documents are counted, not places, so that a text that repeats a word does not make it a marker. None without both kinds."""
     texts = _known(docs, labelled.where("toxic or clean"), "inner")
@@ -117,42 +122,35 @@ def toxic_markers(docs: DataFrame, labelled: DataFrame, *, markers: int = MARKER
         return {}
     half = max(usable)
     of_toxic, of_clean = usable[half]
-    words = texts.where(F.col("fitted") == half).select(F.explode(F.array_distinct(_plain_words(F.col("text")))).alias("word"), "toxic", "clean")
-    counted = words.where("word <> ''").groupBy("word").agg(F.count_if("toxic").alias("t"), F.count_if("clean").alias("c")).where("t > 1")
+    words = texts.where(F.col("fitted") == half).select(F.explode(F.array_distinct(spaced_words(F.col("text")))).alias("word"), "toxic", "clean")
+    counted = words.groupBy("word").agg(F.count_if("toxic").alias("t"), F.count_if("clean").alias("c")).where("t > 1")
     share = (F.col("t") + F.col("c") + 1) / (of_toxic + of_clean + 2)
     deviation = F.sqrt(share * (1 - share) * (1 / of_toxic + 1 / of_clean))
     # A word that everything has tells nothing, and its share may reach 1.
     counted = counted.where(share < 1).withColumn("z", (F.col("t") / of_toxic - F.col("c") / of_clean) / deviation)
     ratio = F.log((F.col("t") + 0.5) / (of_toxic + 1)) - F.log((F.col("c") + 0.5) / (of_clean + 1))
     best = counted.where(F.col("z") > significant).orderBy(F.desc("z"), "word").limit(markers)
-    return {r["word"]: r["ratio"] for r in best.select("word", ratio.alias("ratio")).collect()}
+    return {r["hash"]: r["ratio"] for r in best.select(F.xxhash64("word").alias("hash"), ratio.alias("ratio")).collect()}
 
 
-def _score(words: Column, ratios: list[float]) -> Column:
-    """Mean log ratio of the n-grams; 0 without words."""
+def _score(ratios: list[float]) -> Column:
+    """Mean log ratio of the n-grams in `hashes` and `pairs`; 0 without words."""
     # One constant of as many numbers as buckets.
     table, buckets = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>"), len(ratios)
+    grams = F.concat("hashes", "pairs")
+    total = F.aggregate(grams, F.lit(0.0), lambda sum_, gram: sum_ + F.get(table, _bucket(gram, buckets)))
+    return total / F.greatest(F.size("hashes") + F.size("pairs"), F.lit(1))
 
-    def of_place(word: Column, i: Column) -> Column:
-        """A word and its pair with the next. The last word has none, and the hash of it with null is its own."""
-        return F.get(table, _bucket(word, buckets=buckets)) + F.get(table, _bucket(word, F.get(words, i + 1), buckets=buckets))
 
-    total = F.aggregate(F.transform(words, of_place), F.lit(0.0), lambda sum_, x: sum_ + x)
-    last = F.get(table, _bucket(F.get(words, F.size(words) - 1), buckets=buckets))
-    return F.when(F.size(words) > 0, total - last).otherwise(0.0) / F.greatest(2 * F.size(words) - 1, F.lit(1))
-
-
-def _toxicity(text: Column, n_words: Column, markers: dict[str, float]) -> Column:
-    """Sum of the log ratios of the markers in a text, over the root of its words."""
+def _toxicity(markers: dict[int, float]) -> Column:
+    """Sum of the log ratios of the markers in `hashes`, over the root of its words."""
     if not markers:
         return F.lit(0.0)
-    names = F.split(F.lit(" ".join(markers)), " ")
-    table = F.map_from_arrays(names, F.split(F.lit(",".join(map(repr, markers.values()))), ",").cast("array<double>"))
-    plain = _plain_words(F.coalesce(text, F.lit("")))
-    hits = F.filter(plain, lambda word: word.isin(*markers))
+    names, values = (F.split(F.lit(",".join(map(repr, of))), ",") for of in (markers, markers.values()))
+    table = F.map_from_arrays(names.cast("array<bigint>"), values.cast("array<double>"))
+    hits = F.filter("hashes", lambda word: word.isin(*markers))
     total = F.aggregate(hits, F.lit(0.0), lambda sum_, word: sum_ + F.try_element_at(table, word))
-    # Few texts have a marker, and comparing two arrays as wholes tells that fastest.
-    return F.when(F.arrays_overlap(plain, names), total).otherwise(0.0) / F.sqrt(F.greatest(n_words, F.lit(1)).cast("double"))
+    return total / F.sqrt(F.greatest(F.size("hashes"), F.lit(1)).cast("double"))
 
 
 def best_limit(low: list[float], high: list[float], start: float = -math.inf) -> float:
@@ -176,9 +174,9 @@ def limits(docs: DataFrame, labelled: DataFrame, ratios: list[float], markers: d
 
     Bad documents had no part in the fit, and are all held out. A kind with no held-out document is judged by its fitted ones.
     Where labels of a kind are missing, or it scores no worse, nothing says what to reject, and no document fails that limit."""
-    known = computed_once(_known(docs, labelled, "inner"), "words", spaced_words(F.col("text")))
-    scored = known.select("fitted", "good", "bad", "toxic", "clean", F.greatest(2 * F.size("words") - 1, F.lit(0)).alias("grams"),
-                          _score(F.col("words"), ratios).alias("score"), _toxicity(F.col("text"), F.size("words"), markers).alias("toxicity"))
+    known = _hashed(_known(docs, labelled, "inner"), spaced_words(F.col("text")))
+    scored = known.select("fitted", "good", "bad", "toxic", "clean", (F.size("hashes") + F.size("pairs")).alias("grams"),
+                          _score(ratios).alias("score"), _toxicity(markers).alias("toxicity"))
     rows = scored.collect()  # a row a labelled document
 
     def of(kind: str) -> list:
@@ -208,14 +206,6 @@ def _counts(words: Column, text: Column, lines: Column) -> dict[str, Column]:
     }
 
 
-def _window_hashes(hashes: Column) -> Column:
-    last = F.size(hashes) - REPEAT_WINDOW + 1
-    return F.transform(
-        F.slice(hashes, 1, F.greatest(last, F.lit(0))),
-        lambda h, i: F.xxhash64(h, *[F.get(hashes, i + k) for k in range(1, REPEAT_WINDOW)]),
-    )
-
-
 def _repeated_places(placed: Column) -> Column:
     """In order, the starts of windows that occur more than once, from (hash, place) pairs in order: equal hashes are neighbours."""
     pairs = F.zip_with(
@@ -235,15 +225,14 @@ def _covered(places: Column) -> Column:
 
 
 def rule_counts(docs: DataFrame, *, text_column: str = "text") -> DataFrame:
-    """(row, words, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words) for every row; `row` is the row itself."""
+    """(row, hashes, pairs, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words) for every row; `row` is the row itself."""
     text = F.coalesce(F.col(text_column), F.lit(""))
     rows = computed_once(docs.select(packed(docs), text.alias("text")), "words", spaced_words(F.col("text")))
     rows = computed_once(rows, "lines", F.split("text", "\n"))
     counts = _counts(F.col("words"), F.col("text"), F.col("lines"))
-    rows = rows.select("row", *[c.alias(n) for n, c in counts.items()], "words")
-    # A word is hashed once and then stands in three windows as a number.
-    rows = computed_once(rows, "hashes", F.transform("words", lambda w: F.xxhash64(w)))
-    rows = computed_once(rows, "windows", _window_hashes(F.col("hashes"))).drop("hashes")
+    rows = _hashed(rows.select("row", *[c.alias(n) for n, c in counts.items()], "words"), F.col("words")).drop("words")
+    # A window of three words is two pairs.
+    rows = computed_once(rows, "windows", _neighbours(F.col("pairs")))
     # Most documents repeat no window, and a set tells that faster than sorting.
     repeats = F.size(F.array_distinct("windows")) < F.size("windows")
     placed = F.array_sort(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
@@ -271,8 +260,8 @@ def quality_rules(
     marks = toxic_markers(texts, labelled, markers=markers)
     least, most = limits(texts, labelled, ratios, marks, place=place)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    scored = computed_once(rule_counts(docs, text_column=text_column), "score", _score(F.col("words"), ratios)).drop("words")
-    scored = computed_once(scored, "toxicity", _toxicity(F.col("row").getField(text_column), F.col("n_words"), marks)).withColumn("base_failed", failed)
+    scored = computed_once(rule_counts(docs, text_column=text_column), "score", _score(ratios))
+    scored = computed_once(scored, "toxicity", _toxicity(marks)).drop("hashes", "pairs").withColumn("base_failed", failed)
     return scored.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= F.lit(least)) & (F.col("toxicity") < F.lit(most)))
 
 
