@@ -44,16 +44,17 @@ def _bucket(hashed: Column, buckets: int) -> Column:
     return low_bits.cast("int")
 
 
-def _neighbours(hashes: Column) -> Column:
-    """A hash of every element with the next one; one element fewer."""
-    fewer = F.greatest(F.size(hashes) - 1, F.lit(0))
-    return F.zip_with(F.slice(hashes, 1, fewer), F.slice(hashes, 2, fewer), lambda a, b: F.xxhash64(a, b))
+def _neighbours(elements: Column) -> Column:
+    """A hash of every element with the next one; one element fewer, as the last has none."""
+    fewer = F.greatest(F.size(elements) - 1, F.lit(0))
+    hashes = F.zip_with(elements, F.slice(elements, 2, fewer), lambda a, b: F.xxhash64(a, b))
+    return F.slice(hashes, 1, fewer)
 
 
-def _hashed(df: DataFrame, words: Column) -> DataFrame:
-    """`df` with `hashes` of the words and `pairs`, hashes of two neighbours. A word is hashed once and is a number from there on."""
-    df = computed_once(df, "hashes", F.transform(words, lambda word: F.xxhash64(word)))
-    return computed_once(df, "pairs", _neighbours(F.col("hashes")))
+def _hashed(df: DataFrame) -> DataFrame:
+    """`df` with `hashes` of its `words` and `pairs`, hashes of two neighbours, in their place: all that follows works on numbers."""
+    df = computed_once(df, "hashes", F.transform("words", lambda word: F.xxhash64(word)))
+    return computed_once(df, "pairs", _neighbours(F.col("words"))).drop("words")
 
 
 def labelled_sample(labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -86,8 +87,7 @@ def bucket_counts(docs: DataFrame, labelled: DataFrame, *, buckets: int) -> Data
     known = computed_once(_known(docs, labelled.where("good").select("labelled_id", "fitted"), "left"), "words", spaced_words(F.col("text")))
     # Every word with the next one, so that what follows is a plain projection of rows and not done inside arrays.
     pairs = known.select("fitted", F.inline(F.arrays_zip(F.col("words").alias("word"), F.slice("words", 2, F.greatest(F.size("words"), F.lit(1))).alias("after"))))
-    word, after = F.xxhash64("word"), F.xxhash64("after")
-    single, pair = _bucket(word, buckets), _bucket(F.xxhash64(word, after), buckets)
+    single, pair = _bucket(F.xxhash64("word"), buckets), _bucket(F.xxhash64("word", "after"), buckets)
     both = F.when(F.col("after").isNull(), F.array(single)).otherwise(F.array(single, pair))
     grams = pairs.select("fitted", F.explode(both).alias("bucket"))
     return grams.groupBy("bucket").agg(
@@ -174,7 +174,7 @@ def limits(docs: DataFrame, labelled: DataFrame, ratios: list[float], markers: d
 
     Bad documents had no part in the fit, and are all held out. A kind with no held-out document is judged by its fitted ones.
     Where labels of a kind are missing, or it scores no worse, nothing says what to reject, and no document fails that limit."""
-    known = _hashed(_known(docs, labelled, "inner"), spaced_words(F.col("text")))
+    known = _hashed(computed_once(_known(docs, labelled, "inner"), "words", spaced_words(F.col("text"))))
     scored = known.select("fitted", "good", "bad", "toxic", "clean", (F.size("hashes") + F.size("pairs")).alias("grams"),
                           _score(ratios).alias("score"), _toxicity(markers).alias("toxicity"))
     rows = scored.collect()  # a row a labelled document
@@ -230,7 +230,7 @@ def rule_counts(docs: DataFrame, *, text_column: str = "text") -> DataFrame:
     rows = computed_once(docs.select(packed(docs), text.alias("text")), "words", spaced_words(F.col("text")))
     rows = computed_once(rows, "lines", F.split("text", "\n"))
     counts = _counts(F.col("words"), F.col("text"), F.col("lines"))
-    rows = _hashed(rows.select("row", *[c.alias(n) for n, c in counts.items()], "words"), F.col("words")).drop("words")
+    rows = _hashed(rows.select("row", *[c.alias(n) for n, c in counts.items()], "words"))
     # A window of three words is two pairs.
     rows = computed_once(rows, "windows", _neighbours(F.col("pairs")))
     # Most documents repeat no window, and a set tells that faster than sorting.
