@@ -7,7 +7,7 @@ matters to the others, so a key gives each of its lines at most one partner and
 on the words themselves.
 
 Only lines that can have a partner are emitted at all: one edit leaves the first or the second half of the shorter line as it
-was, so a line none of whose halves is found in another line has none. Which halves are shared is kept in a bit map of fixed
+was, so a line none of whose halves is found in another line of such a length has none. Which halves are shared is kept in a bit map of fixed
 size; a bit that two halves share by chance costs work, never a result. Everything is built of DataFrame functions.
 """
 
@@ -21,24 +21,25 @@ from pyspark.sql import functions as F
 from recurra.llm.common import BLANKS, computed_once, packed
 from recurra.session import cut_lineage
 
-# Shorter lines are never removed, and shorter ones than the second are removed only if they are equal.
-MIN_WORDS = 5
-MIN_NEAR_WORDS = 10
+# One word of five is a fifth: shorter lines that differ in a word are not four fifths alike, and repeat only if they are equal.
+MIN_NEAR_WORDS = 5
 # Bits of the map of shared halves: half a megabyte that every task gets.
 MAP_BITS = 1 << 22
 
 
 def _with_lines(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(id, text_hash, line_no, line, n) of every line that is long enough: its words with one blank between them, and how many."""
+    """(id, text_hash, line_no, line, n) of every line that has a word: its words with one blank between them, and how many."""
     text = F.col(text_column)
     lines = docs.where(text.isNotNull()).select(
         F.col(id_column).alias("id"), F.xxhash64(text).alias("text_hash"), F.posexplode(F.split(text, "\n")).alias("line_no", "raw")
     )
-    # Nearly all white space is single blanks already, which the pattern passes over.
-    even = F.regexp_replace(F.trim("raw", F.lit(BLANKS)), r" [ \t-\r]+|[\t-\r][ \t-\r]*", " ")
+    # Nearly all white space is single blanks already, and looking for other is faster than the pattern.
+    trimmed = F.trim("raw", F.lit(BLANKS))
+    uneven = reduce(Column.__or__, [F.contains(F.col("raw"), F.lit(gap)) for gap in ("  ", *BLANKS.replace(" ", "").replace("\n", ""))])
+    even = F.when(uneven, F.regexp_replace(trimmed, r" [ \t-\r]+|[\t-\r][ \t-\r]*", " ")).otherwise(trimmed)
     lines = computed_once(lines, "line", even).drop("raw")
     blanks = F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit("")))
-    return lines.withColumn("n", blanks + 1).where(F.col("n") >= MIN_WORDS)
+    return lines.where("line <> ''").withColumn("n", blanks + 1)
 
 
 def _line_key() -> list[Column]:
@@ -48,17 +49,18 @@ def _line_key() -> list[Column]:
 
 
 def _halves() -> Column:
-    """Hashes of the parts that one edit may leave as they were, for the line as the shorter, the equal or the longer one."""
+    """Hashes of the parts that one edit may leave as they were, for the line as the shorter, the equal or the longer one, each with
+    the words of the shorter line, so that only lines of such lengths share them."""
     n = F.col("n")
     half, longer_half = F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")
 
-    def first(length: Column) -> Column:
-        return F.xxhash64(F.lit("first"), F.call_function("substring_index", F.col("line"), F.lit(" "), length))
+    def first(shorter: Column, length: Column) -> Column:
+        return F.xxhash64(F.lit("first"), shorter, F.call_function("substring_index", F.col("line"), F.lit(" "), length))
 
-    def last(length: Column) -> Column:
-        return F.xxhash64(F.lit("last"), F.call_function("substring_index", F.col("line"), F.lit(" "), -length))
+    def last(shorter: Column, length: Column) -> Column:
+        return F.xxhash64(F.lit("last"), shorter, F.call_function("substring_index", F.col("line"), F.lit(" "), -length))
 
-    return F.array_distinct(F.array(first(half), first(longer_half), last(n - half), last(n - 1 - longer_half)))
+    return F.array(first(n, half), first(n - 1, longer_half), last(n, n - half), last(n - 1, n - 1 - longer_half))
 
 
 def _bits(half: Column, bits: int) -> list[Column]:
@@ -183,8 +185,9 @@ def repeated_lines(docs: DataFrame, *, id_column: str = "doc_id", text_column: s
 def dedup_lines(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", map_bits: int = MAP_BITS) -> DataFrame:
     """`row` (the columns of `docs`), n_lines, n_exact, n_near and kept_text.
 
-    Lines end at \\n and are compared by their blank-separated words. Lines of fewer than five words stay; lines are near from
-    ten words on. "Earlier" is the order of id, then a hash of the text, then the line; rows without an id come last. Rows that
+    Lines end at \\n and are compared by their blank-separated words. A line of any length repeats if it is equal, one of five
+    words or more also if it is near; lines without a word stay. Lines may be as long as texts are: a line of n words has n + 1 keys,
+    each in a row of its own. "Earlier" is the order of id, then a hash of the text, then the line; rows without an id come last. Rows that
     share id and text are one document: their lines are each other's places, and they get the same result. A null text has no
     lines and stays null; a text all of whose lines go becomes empty. No rows: no rows.
     """

@@ -78,8 +78,8 @@ WITH split AS (
 lines AS (SELECT *, trim(regexp_replace(raw, '[ \t\n\x0b\x0c\r]+', ' ', 'g')) AS line FROM split),
 placed AS (
   SELECT doc_id, raw, line_no, string_split(line, ' ') AS w, line, doc_id::HUGEINT * 1000000000 + line_no AS place FROM lines),
-firsts AS (SELECT line, any_value(w) AS w, min(place) AS first FROM placed WHERE len(w) >= 5 GROUP BY line),
-long AS (SELECT *, len(w) AS n FROM firsts WHERE len(w) >= 10),
+firsts AS (SELECT line, any_value(w) AS w, min(place) AS first FROM placed WHERE line <> '' GROUP BY line),
+long AS (SELECT *, len(w) AS n FROM firsts WHERE len(w) >= 5),
 variants AS (
   SELECT line, first, n, i, array_to_string(list_concat(w[1:i - 1], w[i + 1:]), ' ') AS v FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM long)),
 earliest AS (SELECT v, n, i, min(first) AS e FROM variants GROUP BY ALL),
@@ -88,7 +88,7 @@ near AS (
   UNION SELECT x.line FROM variants x JOIN long y ON y.line = x.v WHERE y.first < x.first
   UNION SELECT y.line FROM long y JOIN variants x ON y.line = x.v WHERE x.first < y.first),
 judged AS (
-  SELECT doc_id, raw, line_no, len(placed.w) >= 5 AND place <> first AS exact, len(placed.w) >= 5 AND place = first AND near.line IS NOT NULL AS is_near
+  SELECT doc_id, raw, line_no, line <> '' AND place <> first AS exact, line <> '' AND place = first AND near.line IS NOT NULL AS is_near
   FROM placed LEFT JOIN firsts USING (line) LEFT JOIN near USING (line)),
 per_doc AS (
   SELECT doc_id, count(*) AS n_lines, count(*) FILTER (exact) AS n_exact, count(*) FILTER (is_near) AS n_near,

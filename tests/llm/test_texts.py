@@ -257,7 +257,7 @@ def test_quality_of_no_documents(spark):
 
 # --- op 1
 
-def plain_dedup(rows, min_words=5, min_near=10):
+def plain_dedup(rows, min_near=5):
     seen, long, out = {}, [], {}
 
     def near(a, b):
@@ -272,7 +272,7 @@ def plain_dedup(rows, min_words=5, min_near=10):
         kept, exact, close = [], 0, 0
         for line in (text or "").split("\n"):
             words = tuple(SPACED.findall(line))
-            if len(words) < min_words:
+            if not words:
                 kept.append(line)
             elif words in seen:
                 exact += 1
@@ -299,7 +299,9 @@ def test_line_dedup(spark):
                 changed[at: at + (kind < 2)] = [] if kind == 0 else [random.choice(["new", "u0", "the3"])]
             lines.append(random.choice([" ", "  ", "\t"]).join(changed))
     lines += ["short line", "five words are just enough", "five words  are just enough", "", "   "]
-    rows = [(i, "\n".join(random.sample(lines, 6)), "s") for i in range(25)] + [(90, None, "s"), (91, "", "s"), (92, "y " * 400, "s"), (93, "y " * 399, "s")]
+    lines += ["All rights reserved.", "one word", "one wort", "six words that differ in one", "six words that vary in one", "six words that vary in"]
+    lines += ["\u4e00\u884c\u6ca1\u6709\u7a7a\u683c" * 5, "a\rb\x0bc\x0c  d", "a b c d", " lone "]
+    rows = [(i, "\n".join(random.sample(lines, 8)), "s") for i in range(25)] + [(90, None, "s"), (91, "", "s"), (92, "y " * 400, "s"), (93, "y " * 399, "s")]
     docs = documents(spark, rows, 3)
     found = {r["row"]["doc_id"]: (r["n_exact"], r["n_near"], r["kept_text"]) for r in line_dedup.dedup_lines(docs, map_bits=1 << 12).collect()}
     assert found == plain_dedup(rows)
