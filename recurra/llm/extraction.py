@@ -8,7 +8,8 @@ that differ, and texts that are on few of the pages, carry information; what is
     importance of texts         = 1 - mean over texts of log_m(pages that have the text)
     importance of a branch      = (1 - g^l) * presentations + g^l * (texts and branches below, by weight),  l presentations
 
-Branches below a limit are taken out of every page of the host. Besides, what its tag, role or class name says is no article
+Branches below a limit are taken out of every page of the host. A branch on few pages must carry nothing at all, and the pages that
+have it must differ elsewhere: two pages that are the same all over are copies and show no template. Besides, what its tag, role or class name says is no article
 goes (menus, headers, footers, adverts, forms, comments). Plain paragraphs, headings and lists inside an article or main element
 are never taken for a branch of the template, however often a site repeats them.
 """
@@ -31,8 +32,9 @@ from recurra.session import cut_lineage
 
 DAMPING = 0.9
 LIMIT = 0.2
-# A host shows its template on so many pages at least.
+# From so many pages on, a template may differ a little from page to page.
 MIN_PAGES = 8
+NOTHING = 1e-9
 # Noise branches are sent to all tasks up to this number (8 bytes each and the host's name); more are joined by host.
 MOST_SENT = 200_000
 
@@ -130,7 +132,7 @@ def style_nodes(pages: DataFrame) -> DataFrame:
 
 
 def branch_importance(nodes: pd.DataFrame, damping: float = DAMPING) -> dict[int, float]:
-    """Importance of every branch of one host's tree, from the leaves up."""
+    """Importance of every branch of one host's tree, from the leaves up. `singles` counts the nodes below that are on one page only."""
     rows = {r.path: r for r in nodes.itertuples()}
     below: dict[int, list[int]] = {}
     for r in rows.values():
@@ -145,26 +147,60 @@ def branch_importance(nodes: pd.DataFrame, damping: float = DAMPING) -> dict[int
         r = rows[path]
         log_m = math.log(r.m) if r.m > 1 else 0.0
         parts = [(rows[p].m, found[p]) for p in below.get(path, []) if p in found]
+        if singles := getattr(r, "singles", 0):
+            parts.append((singles, 1.0))
         if r.texts:
             parts.append((r.m, 1 - r.text_logs / r.texts / log_m if log_m else 1.0))
         inner = sum(w * v for w, v in parts) / sum(w for w, _ in parts) if parts else None
         shape = min(1.0, r.shape_entropy / log_m) if log_m else 1.0
         share = damping ** r.shapes
-        found[path] = shape if inner is None else inner if not below.get(path) else (1 - share) * shape + share * inner
+        found[path] = shape if inner is None else inner if not (below.get(path) or singles) else (1 - share) * shape + share * inner
     return found
 
 
+def shared_nodes(nodes: DataFrame) -> DataFrame:
+    """The style nodes that are on two pages or more, with `singles`, how many below each are on one page only. Those have importance
+    1 whatever they hold, so their number tells all of them: names made of page titles leave the host's tree here."""
+    own = [F.col(name) for name in ("up", "m", "shapes", "shape_entropy", "texts", "text_logs")]
+    kept = F.struct("path", F.struct(*own).alias("node"), F.lit(0).cast("bigint").alias("singles"))
+    counted = F.struct(F.col("up").alias("path"), F.lit(None).alias("node"), F.lit(1).cast("bigint").alias("singles"))
+    rows = nodes.select("host", F.inline(F.array(F.when(F.col("m") > 1, kept).otherwise(counted))))
+    joined = rows.groupBy("host", "path").agg(F.max("node").alias("node"), F.sum("singles").alias("singles"))
+    return joined.where("node is not null").select("host", "path", "node.*", "singles")
+
+
+def low_branches(nodes: pd.DataFrame, *, damping: float, limit: float, min_pages: int) -> list[int]:
+    """The branches of one host that are template: below the limit on many pages, or the same on all of few pages that differ elsewhere."""
+    importance = branch_importance(nodes, damping)
+    pages_of, above = dict(zip(nodes["path"], nodes["m"])), dict(zip(nodes["path"], nodes["up"]))
+    # Whether a branch is part of one on the same pages that carries something.
+    differs: dict[int, bool] = {}
+    for path in importance:
+        way = []
+        while path not in differs:
+            way.append(path)
+            up = above[path]
+            if importance[path] >= limit or up == path or pages_of.get(up) != pages_of[path]:
+                differs[path] = importance[path] >= limit
+            else:
+                path = up
+        for below in way:
+            differs[below] = differs[path]
+    return sorted(
+        p for p, v in importance.items()
+        if (v < limit and pages_of[p] >= min_pages) or (v < NOTHING and pages_of[p] > 1 and differs[p])
+    )
+
+
 def noise_branches(pages: DataFrame, *, damping: float = DAMPING, limit: float = LIMIT, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, paths): the style nodes of each host whose branches carry too little. One task handles the style nodes of a host, whose
-    number depends on the site's template and not on its pages."""
+    """(host, paths): the style nodes of each host whose branches carry too little. One task handles the style nodes of a host that
+    several of its pages share."""
 
     def of_host(nodes: pd.DataFrame) -> pd.DataFrame:
-        importance = branch_importance(nodes, damping)
-        pages_of = dict(zip(nodes["path"], nodes["m"]))
-        low = sorted(p for p, v in importance.items() if v < limit and pages_of[p] >= min_pages)
+        low = low_branches(nodes, damping=damping, limit=limit, min_pages=min_pages)
         return pd.DataFrame({"host": [nodes["host"].iloc[0]], "paths": [low]})
 
-    found = style_nodes(pages).groupBy("host").applyInPandas(of_host, "host string, paths array<bigint>")
+    found = shared_nodes(style_nodes(pages)).groupBy("host").applyInPandas(of_host, "host string, paths array<bigint>")
     return found.where(F.size("paths") > 0)
 
 

@@ -117,6 +117,37 @@ def test_elements_without_text_end_with_their_parent(html, text):
     assert extraction.main_text(html, set()) == text
 
 
+def small_site(articles, notices=("Cookies are used.",)):
+    rows = [
+        (i, f"http://small.example/{i}", f"<body><div class=above>{notices[i % len(notices)]}</div><div class=story><p>{a}</p></div><div class=below>Imprint</div></body>")
+        for i, a in enumerate(articles)
+    ]
+    return rows
+
+
+@pytest.mark.parametrize("articles, notices, texts", [
+    # Two pages show a template if they differ elsewhere; what differs between few pages is kept, copies show none.
+    (["First story.", "Second story."], ["Cookies are used."], ["First story.", "Second story."]),
+    (["First story.", "Second story."], ["Monday", "Tuesday"], ["Monday\nFirst story.", "Tuesday\nSecond story."]),
+    (["One story."] * 3, ["Cookies are used."], ["Cookies are used.\nOne story.\nImprint"] * 3),
+    (["One story."], ["Cookies are used."], ["Cookies are used.\nOne story.\nImprint"]),
+])
+def test_templates_of_small_sites(spark, articles, notices, texts):
+    pages = spark.createDataFrame(small_site(articles, notices), "page_id bigint, url string, html string")
+    found = {r["page_id"]: r["extracted"] for r in extraction.extract(pages).collect()}
+    assert found == dict(enumerate(texts))
+
+
+def test_nodes_of_single_pages_are_only_counted(spark):
+    """Names made of titles give every page nodes of its own; the tree that one task gets does not grow with them, and says the same."""
+    pages = [("h", f"<body><div class=top>Hello</div><section class='post-{'abcdefghij'[i % 10] * (1 + i // 10)}'><p>Text {i}</p></section></body>") for i in range(40)]
+    nodes = extraction.style_nodes(spark.createDataFrame(pages, "host string, data string")).toPandas()
+    shared = extraction.shared_nodes(spark.createDataFrame(nodes)).toPandas()
+    assert len(nodes) > 80 and len(shared) < 8
+    whole, folded = extraction.branch_importance(nodes), extraction.branch_importance(shared)
+    assert folded == pytest.approx({p: whole[p] for p in shared["path"]})
+
+
 def test_template_of_a_site_is_removed(spark):
     def page(i):
         return (
