@@ -99,7 +99,10 @@ def _variants(lines: DataFrame) -> DataFrame:
     A sequence's key is the xor of hashes of its words with their places. Running sums along the line give the key without any
     one word, so a line of n words costs n steps. Lines are dealt out whole, before their words are taken apart.
     """
-    placed = lines.repartition("hash", "extent").select("hash", "extent", F.size("words").alias("n"), F.posexplode("words").alias("place", "word"))
+    n = F.shiftright("extent", 32).cast("int").alias("n")
+    placed = lines.select("hash", "extent", "line").repartition("hash", "extent").select(
+        "hash", "extent", n, F.posexplode(F.split("line", " ")).alias("place", "word")
+    )
     placed = placed.select(
         "hash", "extent", "n", "place", F.xxhash64("word", "place").alias("here"), F.xxhash64("word", F.col("place") - 1).alias("moved"),
     )
@@ -153,29 +156,42 @@ def _without(words: Column, place: Column) -> Column:
 
 
 def near_lines(lines: DataFrame) -> DataFrame:
-    """(hash, extent) of lines that have an earlier line one edit away. `lines` is (hash, extent, first, words), each line once."""
+    """(hash, extent) of lines that have an earlier line one edit away. `lines` is (hash, extent, first, line), each line once.
+
+    Lines move whole and are split where they arrive: as arrays of words they take about three times the room."""
     pairs = _partners(lines).distinct()
-    partner = lines.select(F.col("first").alias("partner"), F.col("words").alias("p_words"))
-    both = pairs.join(lines.select("hash", "extent", "words"), ["hash", "extent"]).join(partner, "partner")
+    partner = lines.select(F.col("first").alias("partner"), F.col("line").alias("p_line"))
+    both = pairs.join(lines.select("hash", "extent", "line"), ["hash", "extent"]).join(partner, "partner")
+    both = computed_once(computed_once(both, "words", F.split("line", " ")), "p_words", F.split("p_line", " "))
     equal = _without(F.col("words"), F.col("place")) == _without(F.col("p_words"), F.col("p_place"))
     return both.where(equal).select("hash", "extent").distinct()
 
 
+def judged_lines(lines: DataFrame, *, map_bits: int = MAP_BITS) -> DataFrame:
+    """(hash, extent, first, is_near) of the lines that have more places than one or an earlier line one edit away. Nothing of any
+    other line goes, so those need not meet their places again. `lines` is (id, text_hash, line_no, line, n)."""
+    live = _may_have_partner(shared_halves(lines, map_bits), map_bits)
+    places = lines.select(_place().alias("here"), *_line_key(), F.when(live, F.col("line")).alias("line"))
+    found = [F.min("here").alias("first"), F.any_value("line").alias("line"), (F.count("*") > 1).alias("again")]
+    distinct = cut_lineage(places.groupBy("hash", "extent").agg(*found))
+    near = cut_lineage(near_lines(distinct.where("line is not null").drop("again"))).withColumn("is_near", F.lit(True))
+    return distinct.drop("line").join(near, ["hash", "extent"], "left").where("again or is_near").drop("again")
+
+
+def _place() -> Column:
+    """Where a line stands, in the order of places."""
+    return F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash", "line_no")
+
+
 def repeated_lines(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", map_bits: int = MAP_BITS) -> DataFrame:
     """(id, text_hash, dropped, n_exact, n_near): the 0-based numbers of the lines to drop of every document that has any.
 
     Of an exact repeat only the first place stays, of a near one also goes the first place if an earlier line is one edit away.
     """
     lines = _with_lines(docs, id_column, text_column)
-    live = _may_have_partner(shared_halves(lines, map_bits), map_bits)
-    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_hash", "line_no")
-    places = lines.select(order.alias("here"), *_line_key(), F.when(live, F.col("line")).alias("line"))
-    distinct = cut_lineage(places.groupBy("hash", "extent").agg(F.min("here").alias("first"), F.any_value("line").alias("line")))
-    candidates = computed_once(distinct.where("line is not null"), "words", F.split("line", " ")).drop("line")
-    near = cut_lineage(near_lines(candidates)).withColumn("is_near", F.lit(True))
-    judged = distinct.drop("line").join(near, ["hash", "extent"], "left")
-    here = lines.select("id", "text_hash", "line_no", order.alias("here"), *_line_key()).join(judged, ["hash", "extent"])
-    is_repeat = F.col("here") != F.col("first")
+    judged = judged_lines(lines, map_bits=map_bits)
+    here = lines.select("id", "text_hash", "line_no", *_line_key()).join(judged, ["hash", "extent"])
+    is_repeat = _place() != F.col("first")
     return here.where(is_repeat | F.col("is_near")).groupBy("id", "text_hash").agg(
         F.collect_set("line_no").alias("dropped"),
         F.count_if(is_repeat).alias("n_exact"), F.count_if(~is_repeat).alias("n_near"),

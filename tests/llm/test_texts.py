@@ -311,6 +311,25 @@ def test_line_dedup(spark):
     assert gone == {i for i, (e, n, t) in found.items() if e + n and not SPACED.search(t)}
 
 
+def test_only_lines_that_may_go_meet_their_places_again(spark):
+    alone = [prose(s, 9) for s in range(40)]
+    near = "six words that differ in one"
+    rows = [(i, f"{line}\nthe same\n", "s") for i, line in enumerate(alone)] + [(90, near, "s"), (91, near.replace("one", "two"), "s")]
+    lines = line_dedup._with_lines(documents(spark, rows, 3), "doc_id", "text")
+    judged = line_dedup.judged_lines(lines, map_bits=1 << 12).collect()
+    assert sorted((r["first"]["id"], r["first"]["line_no"], r["is_near"]) for r in judged) == [(0, 1, None), (91, 0, True)]
+
+
+def test_near_lines_move_whole(spark):
+    lines = spark.createDataFrame([(1, 5 << 32, 0, "a b c d e"), (2, 5 << 32, 1, "a b c d f")], "hash bigint, extent bigint, first int, line string")
+    # `first` is compared only; any ordered type will do.
+    found = line_dedup.near_lines(lines)
+    assert [r["hash"] for r in found.collect()] == [2]
+    plan = found._jdf.queryExecution().explainString(found.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    moved = re.findall(r"\) Exchange.*\n(?:Output.*\n)?Input \[\d+\]: (.*)", plan)
+    assert any("line#" in m for m in moved) and not any("words#" in m for m in moved)
+
+
 def test_line_dedup_of_odd_documents(spark):
     docs, rows = odd_documents(spark)
     found = line_dedup.dedup_lines(docs)
