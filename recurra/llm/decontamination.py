@@ -9,7 +9,7 @@ documents for each.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -162,7 +162,7 @@ def _blocks(benchmark: DataFrame, item_column: str, text_column: str, block_byte
 def find_contamination(
     docs: DataFrame, benchmark: DataFrame, *, text_column: str = "text", item_column: str = "item_id", item_text: str = "text",
     window: int = WINDOW, shard_words: int = SHARD_WORDS, block_bytes: int = BLOCK_BYTES, sample: int = SAMPLE,
-    keep: list[str] | None = None,
+    keep: list[str] | None = None, finish: tuple[Callable[[pa.RecordBatch], pa.RecordBatch], T.StructType] | None = None,
 ) -> DataFrame:
     """The columns `keep` of `docs` (all by default) and `found`: n_words, spans and items.
 
@@ -170,20 +170,47 @@ def find_contamination(
     has a word. `spans` are the merged word ranges (begin, end; end is not in it) that lie in occurrences of phrases, `items` the
     distinct ids, as strings, of items with an occurrence, in order. A null text has no words; null items have no phrases; an
     item without an id is called "". An existing column `found` is replaced. Repeated rows are searched each by itself.
+
+    `finish` (a function and the schema of its rows) makes rows of its own of each batch of the result, where that is found.
     """
     wanted = [c for c in (docs.columns if keep is None else keep) if c != "found"]
-    result = docs.select(*[c for c, name in zip(all_columns(docs), docs.columns) if name in wanted],
-                         F.col(text_column).cast("binary").alias("found data"), F.lit(None).cast(RESULT).alias("found"))
-    for block in _blocks(benchmark, item_column, item_text, block_bytes):
-        result = _searched(result, Phrases.of(block, window), shard_words, sample)
-    return without(result, "found data")
-
-
-def _searched(docs: DataFrame, phrases: Phrases, shard_words: int, sample: int) -> DataFrame:
-    """One pass for one block; what earlier passes found is merged with what this one finds."""
+    chosen = [(c, name) for c, name in zip(all_columns(docs), docs.columns) if name in wanted]
+    columns, names = [c for c, _ in chosen], [name for _, name in chosen]
+    # A text that is kept is searched as it is kept, and moves once.
+    kept_text = names.count(text_column) == 1 and isinstance(docs.schema[text_column].dataType, T.StringType)
+    if not kept_text:
+        columns.append(F.col(text_column).cast("binary").alias("found data"))
+    at = names.index(text_column) if kept_text else len(names)
+    result = docs.select(*columns, F.lit(None).cast(RESULT).alias("found"))
+    blocks = _blocks(benchmark, item_column, item_text, block_bytes)
+    block = next(blocks)
+    for following in blocks:
+        result = _searched(result, at, Phrases.of(block, window), shard_words, sample)
+        block = following
+
+    def last(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return finish[0](pa.RecordBatch.from_arrays([*batch.columns[: len(names)], batch.column(-1)], names=[*names, "found"]))
+
+    result = _searched(result, at, Phrases.of(block, window), shard_words, sample, finish and (last, finish[1]))
+    return result if finish else without(result, "found data")
+
+
+def _bytes(column: pa.Array) -> pa.Array:
+    """Texts as bytes, without a copy."""
+    if pa.types.is_large_string(column.type):
+        return column.cast(pa.large_binary())
+    return column.cast(pa.binary()) if pa.types.is_string(column.type) else column
+
+
+def _searched(
+    docs: DataFrame, at: int, phrases: Phrases, shard_words: int, sample: int,
+    finish: tuple[Callable[[pa.RecordBatch], pa.RecordBatch], T.StructType] | None = None,
+) -> DataFrame:
+    """One pass for one block over the texts in column `at`; what earlier passes found is merged with what this one finds."""
     sent = docs.sparkSession.sparkContext.broadcast(phrases)  # at most a block
     place = len(docs.columns) - 1
     names = docs.columns
+    finished, schema = finish or (lambda batch: batch, docs.schema)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value
@@ -202,12 +229,13 @@ def _searched(docs: DataFrame, phrases: Phrases, shard_words: int, sample: int)
                 results.append({
                     "n_words": len(document), "spans": [{"begin": a, "end": b} for a, b in spans], "items": sorted(items),
                 })
-            return pa.RecordBatch.from_arrays([*rows.columns[:place], pa.array(results, _ARROW)], names=names)
+            return finished(pa.RecordBatch.from_arrays([*rows.columns[:place], pa.array(results, _ARROW)], names=names))
 
         for batch in batches:
             first, shard, words = 0, [], 0
+            texts = _bytes(batch.column(at))
             for number in range(batch.num_rows):
-                shard.append(symbols(batch.column(place - 1)[number].as_py() or b""))
+                shard.append(symbols(texts[number].as_py() or b""))
                 words += len(shard[-1])
                 if words >= shard_words:
                     yield searched(batch.slice(first, number + 1 - first), shard)
@@ -215,7 +243,7 @@ def _searched(docs: DataFrame, phrases: Phrases, shard_words: int, sample: int)
             if shard:
                 yield searched(batch.slice(first), shard)
 
-    return map_batches(docs, of_batches, docs.schema)
+    return map_batches(docs, of_batches, schema)
 
 
 def without_spans(text: str | None, spans: list[dict[str, int]]) -> str | None:
@@ -254,21 +282,20 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text_column: str = "
     without a hit stay as they are, byte for byte."""
     kept = [f"c{n}" for n in range(len(docs.columns))]
     at = docs.columns.index(text_column)
-    found = find_contamination(docs.toDF(*kept), benchmark, text_column=kept[at], **options)
 
-    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = batch.column(at)
-            spans = [r["spans"] for r in batch.column(len(kept)).to_pylist()]
-            hit = [n for n, s in enumerate(spans) if s]
-            if hit:
-                texts = column.to_pylist()
-                for n in hit:
-                    texts[n] = without_spans(texts[n], spans[n])
-                column = pa.array(texts, column.type)
-                alive = pa.array([not s or _WORD.search(texts[n].encode()) is not None for n, s in enumerate(spans)])
-            columns = [column if n == at else c for n, c in enumerate(batch.columns[: len(kept)])]
-            out = pa.RecordBatch.from_arrays(columns, names=kept)
-            yield out.filter(alive) if hit else out
-
-    return map_batches(found, of_batches, docs.schema)
+    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
+        column = batch.column(at)
+        spans = [r["spans"] for r in batch.column(len(kept)).to_pylist()]
+        hit = [n for n, s in enumerate(spans) if s]
+        if hit:
+            texts = column.to_pylist()
+            for n in hit:
+                texts[n] = without_spans(texts[n], spans[n])
+            column = pa.array(texts, column.type)
+            alive = pa.array([not s or _WORD.search(texts[n].encode()) is not None for n, s in enumerate(spans)])
+        columns = [column if n == at else c for n, c in enumerate(batch.columns[: len(kept)])]
+        out = pa.RecordBatch.from_arrays(columns, names=kept)
+        return out.filter(alive) if hit else out
+
+    # In the pass that finds the spans: a second one would be another Python process beside the first, with every text again.
+    return find_contamination(docs.toDF(*kept), benchmark, text_column=kept[at], finish=(cut, docs.schema), **options)

@@ -152,6 +152,16 @@ def test_decontamination(spark, block_bytes):
     assert by_id(clean)[201]["text"] == prose(9, 9)
 
 
+def test_passages_are_cut_where_they_are_found(spark):
+    docs = documents(spark, [(1, f"Before. {prose(1, 25)} after", "s"), (2, prose(1, 25), "s"), (3, None, "s"), (4, "else", "s")], 2)
+    benchmark = spark.createDataFrame([(1, prose(1, 25))], "item_id bigint, text string")
+    clean = decontamination.decontaminate(docs, benchmark)
+    assert {r["doc_id"]: r["text"] for r in clean.collect()} == {1: "Before.   after", 3: None, 4: "else"}
+    # One Python process a task, and no second copy of the text.
+    plan = clean._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "as binary" not in plan
+
+
 def test_decontamination_without_rows(spark):
     empty = spark.createDataFrame([], DOCS)
     benchmark = spark.createDataFrame([], "item_id bigint, text string")
