@@ -6,25 +6,34 @@ place, and one insertion apart if one of them whole is the other without a word.
 matters to the others, so a key gives each of its lines at most one partner and never a pair of every two. Partners are verified
 on the words themselves.
 
-Only lines that can have a partner are emitted at all: one edit leaves the first or the second half of the shorter line as it
-was, so a line none of whose halves is found in another line of such a length has none. Which halves are shared is kept in a bit map of fixed
-size; a bit that two halves share by chance costs work, never a result. Everything is built of DataFrame functions.
+Only lines that can have a partner are emitted at all, and only without words where the edit can be: one edit leaves the first or
+the last words of a line as they were, so a line whose beginning and end are found in no other line of such a length has no partner.
+Which of them are shared is told in two steps. A bit map that grows with their number says which lines are worth moving; of those the
+halves are compared themselves. A bit that is set by chance moves a line once, it never makes keys nor changes a result. Everything is
+built of DataFrame functions.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recurra.llm.common import BLANKS, computed_once, packed
+from recurra.llm.common import BLANKS, all_columns, computed_once, packed
 from recurra.session import cut_lineage
 
 # One word of five is a fifth: shorter lines that differ in a word are not four fifths alike, and repeat only if they are equal.
 MIN_NEAR_WORDS = 5
-# Bits of the map of shared halves: half a megabyte that every task gets.
+# Bits of the map of shared halves at least, and bits for each of them, of which it sets BITS_SET in one number of 64. Every executor
+# gets the map, so it stops at 64 MB (some 30 million shared halves); beyond that more lines move in vain.
 MAP_BITS = 1 << 22
+MAX_MAP_BITS = 1 << 29
+BITS_A_HALF = 16
+BITS_SET = 3
+# Numbers in a row of the map.
+ROW_NUMBERS = 16
 
 
 def _with_lines(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -48,63 +57,97 @@ def _line_key() -> list[Column]:
     return [F.xxhash64("line").alias("hash"), extent.alias("extent")]
 
 
-def _halves() -> Column:
-    """Hashes of the parts that one edit may leave as they were, for the line as the shorter, the equal or the longer one, each with
-    the words of the shorter line, so that only lines of such lengths share them."""
+def _cuts() -> list[tuple[Column, Column]]:
+    """(b, cut) of the classes that a line of n words is in. Class b has lines of 2b - 1, 2b and 2b + 1 words, so two lines one edit
+    apart have a class in common. Of their b - 1 first and b last words one edit changes either none of the first (from place `cut`
+    on) or none of the last (before it). Lines of an even number of words are in one class only, and so are the shortest."""
     n = F.col("n")
-    half, longer_half = F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")
+    longer = F.shiftright(n + 1, 1)
+    shorter = F.when((n % 2 == 1) & (n > MIN_NEAR_WORDS), F.shiftright(n, 1))
+    return [(b, b - 1) for b in (longer, shorter)]
 
-    def first(shorter: Column, length: Column) -> Column:
-        return F.xxhash64(F.lit("first"), shorter, F.call_function("substring_index", F.col("line"), F.lit(" "), length))
 
-    def last(shorter: Column, length: Column) -> Column:
-        return F.xxhash64(F.lit("last"), shorter, F.call_function("substring_index", F.col("line"), F.lit(" "), -length))
+def _halves() -> list[Column]:
+    """Hashes of the first and the last words of `line` for each of its classes; null where it is in one class only or too short."""
+    near = F.col("n") >= MIN_NEAR_WORDS
+    line, blank = F.col("line"), F.lit(" ")
+    found = []
+    for b, cut in _cuts():
+        for end, length in (("first", cut), ("last", -b)):
+            half = F.xxhash64(F.lit(end), b, F.call_function("substring_index", line, blank, length))
+            found.append(F.when(near & b.isNotNull(), half))
+    return found
 
-    return F.array(first(n, half), first(n - 1, longer_half), last(n, n - half), last(n - 1, n - 1 - longer_half))
 
+def _shared(halves: DataFrame) -> DataFrame:
+    """(half) of those that two different lines have. `halves` is (half, hash)."""
+    return halves.groupBy("half").agg(F.min("hash").alias("low"), F.max("hash").alias("high")).where("low <> high").select("half")
 
-def _bits(half: Column, bits: int) -> list[Column]:
-    """The two bits that stand for a half."""
-    return [F.pmod(half, F.lit(bits)).cast("int"), F.pmod(F.xxhash64(half), F.lit(bits)).cast("int")]
 
+def shared_halves(lines: DataFrame) -> DataFrame:
+    halves = lines.where(F.col("n") >= MIN_NEAR_WORDS).select(F.xxhash64("line").alias("hash"), F.explode(F.array(*_halves())).alias("half"))
+    return cut_lineage(_shared(halves.where("half is not null")))
 
-def shared_halves(lines: DataFrame, bits: int = MAP_BITS) -> list[int]:
-    """The bit map, 64 bits a number: set for every half that two different lines have. At most bits / 64 rows reach the driver."""
-    halves = lines.where(F.col("n") >= MIN_NEAR_WORDS).select(F.xxhash64("line").alias("hash"), F.explode(_halves()).alias("half"))
-    shared = halves.groupBy("half").agg(F.min("hash").alias("low"), F.max("hash").alias("high")).where("low <> high")
-    bit = shared.select(F.explode(F.array(*_bits(F.col("half"), bits))).alias("bit"))
-    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit").bitwiseAND(63))
-    table = [0] * (bits // 64)
-    for row in bit.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(one).alias("ones")).collect():
-        table[row["word"]] = row["ones"]
-    return table
 
+def _bits(half: Column, rows: int) -> tuple[Column, Column, Column]:
+    """The row of the map that a half is in, the number in that row, and its bits in that number."""
+    more, one = F.xxhash64(half), F.lit(1).cast("bigint")
+    bits = [F.call_function("shiftleft", one, F.shiftright(more, 6 * k).bitwiseAND(63).cast("int")) for k in range(BITS_SET)]
+    number = F.shiftrightunsigned(half, 48).bitwiseAND(ROW_NUMBERS - 1).cast("int")
+    return half.bitwiseAND(rows - 1), number, reduce(Column.bitwiseOR, bits)
 
-def _may_have_partner(table: list[int], bits: int) -> Column:
-    ones = F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
 
-    def is_set(bit: Column) -> Column:
-        return F.call_function("bit_get", F.get(ones, F.shiftright(bit, 6)), bit.bitwiseAND(63)) == 1
+def map_rows(halves: int, map_bits: int) -> int:
+    """How many rows the map has for so many shared halves: a power of two."""
+    bits = max(map_bits, min(halves * BITS_A_HALF, MAX_MAP_BITS))
+    return 1 << (math.ceil(bits / (64 * ROW_NUMBERS)) - 1).bit_length()
 
-    def both(half: Column) -> Column:
-        first, second = _bits(half, bits)
-        return is_set(first) & is_set(second)
 
-    return (F.col("n") >= MIN_NEAR_WORDS) & F.exists(_halves(), both)
+def with_candidates(lines: DataFrame, shared: DataFrame, map_bits: int = MAP_BITS) -> DataFrame:
+    """`lines` with a column `candidate`: true for all that have a half which `shared` has, and for a few others."""
+    rows = map_rows(shared.count(), map_bits)
+    row, number, bits = _bits(F.col("half"), rows)
+    marks = shared.select(row.alias("row"), number.alias("number"), bits.alias("bits"))
+    numbers = [F.coalesce(F.bit_or(F.when(F.col("number") == k, F.col("bits"))), F.lit(0).cast("bigint")) for k in range(ROW_NUMBERS)]
+    table = cut_lineage(marks.groupBy("row").agg(F.array(*numbers).alias("numbers")))
+    names, halves = all_columns(lines), _halves()
+    found = lines.select(*names, *[half.alias(f"half{k}") for k, half in enumerate(halves)])
+    is_set = []
+    for k in range(len(halves)):
+        row, number, bits = _bits(F.col(f"half{k}"), rows)
+        part = table.select(F.col("row").alias(f"row{k}"), F.col("numbers").alias(f"numbers{k}"))
+        found = found.join(F.broadcast(part), row == F.col(f"row{k}"), "left")
+        is_set.append(F.coalesce(F.get(f"numbers{k}", number).bitwiseAND(bits) == bits, F.lit(False)))
+    return found.select(*names, reduce(Column.__or__, is_set).alias("candidate"))
+
+
+def _with_shared_ends(lines: DataFrame) -> DataFrame:
+    """The lines that have a half in common with another of `lines`, with `ends`: a bit for each of their halves, set if it is shared."""
+    halves = lines.withColumn("n", F.shiftright("extent", 32).cast("int"))
+    halves = halves.select("hash", "extent", F.posexplode(F.array(*_halves())).alias("end", "half")).where("half is not null")
+    bit = F.call_function("shiftleft", F.lit(1), F.col("end"))
+    ends = halves.join(_shared(halves), "half").groupBy("hash", "extent").agg(F.bit_or(bit).alias("ends"))
+    return lines.join(ends, ["hash", "extent"])
+
+
+def _may_be_edited() -> Column:
+    """Whether the edit may be at a place: after first words that are shared or before last ones."""
+    n_th = enumerate([after for _, cut in _cuts() for after in (F.col("place") >= cut, F.col("place") < cut)])
+    return reduce(Column.__or__, [(F.col("ends").bitwiseAND(1 << k) != 0) & there for k, there in n_th])
 
 
 def _variants(lines: DataFrame) -> DataFrame:
-    """(variant, length, place, hash, extent): every line whole (place -1) and without each of its words.
+    """(variant, length, place, hash, extent): every line whole (place -1) and without each of the words that its `ends` allow.
 
     A sequence's key is the xor of hashes of its words with their places. Running sums along the line give the key without any
     one word, so a line of n words costs n steps. Lines are dealt out whole, before their words are taken apart.
     """
     n = F.shiftright("extent", 32).cast("int").alias("n")
-    placed = lines.select("hash", "extent", "line").repartition("hash", "extent").select(
-        "hash", "extent", n, F.posexplode(F.split("line", " ")).alias("place", "word")
+    placed = lines.select("hash", "extent", "ends", "line").repartition("hash", "extent").select(
+        "hash", "extent", "ends", n, F.posexplode(F.split("line", " ")).alias("place", "word")
     )
     placed = placed.select(
-        "hash", "extent", "n", "place", F.xxhash64("word", "place").alias("here"), F.xxhash64("word", F.col("place") - 1).alias("moved"),
+        "hash", "extent", "ends", "n", "place", F.xxhash64("word", "place").alias("here"), F.xxhash64("word", F.col("place") - 1).alias("moved"),
     )
     line = Window.partitionBy("hash", "extent")
     along = line.orderBy("place")
@@ -112,7 +155,7 @@ def _variants(lines: DataFrame) -> DataFrame:
     before = F.coalesce(F.bit_xor("here").over(along.rowsBetween(Window.unboundedPreceding, -1)), zero)
     through = F.bit_xor("moved").over(along.rowsBetween(Window.unboundedPreceding, 0))
     summed = placed.select(
-        "hash", "extent", "n", "place", before.alias("before"), through.alias("through"), "here",
+        "hash", "extent", "ends", "n", "place", before.alias("before"), through.alias("through"), "here",
         F.bit_xor("moved").over(line).alias("all_moved"),
     )
     without = F.struct(
@@ -120,7 +163,8 @@ def _variants(lines: DataFrame) -> DataFrame:
         (F.col("n") - 1).alias("length"), F.col("place").alias("place"),
     )
     whole = F.struct(F.col("before").bitwiseXOR(F.col("here")).alias("variant"), F.col("n").alias("length"), F.lit(-1).alias("place"))
-    emitted = F.when(F.col("place") == F.col("n") - 1, F.array(without, whole)).otherwise(F.array(without))
+    last, edited = F.col("place") == F.col("n") - 1, _may_be_edited()
+    emitted = F.when(last & edited, F.array(without, whole)).when(last, F.array(whole)).when(edited, F.array(without))
     return summed.select("hash", "extent", F.inline(emitted))
 
 
@@ -158,7 +202,9 @@ def _without(words: Column, place: Column) -> Column:
 def near_lines(lines: DataFrame) -> DataFrame:
     """(hash, extent) of lines that have an earlier line one edit away. `lines` is (hash, extent, first, line), each line once.
 
-    Lines move whole and are split where they arrive: as arrays of words they take about three times the room."""
+    Lines move whole and are split where they arrive: as arrays of words they take about three times the room. Only those that share
+    a half with another one do."""
+    lines = cut_lineage(_with_shared_ends(lines))
     pairs = _partners(lines).distinct()
     partner = lines.select(F.col("first").alias("partner"), F.col("line").alias("p_line"))
     both = pairs.join(lines.select("hash", "extent", "line"), ["hash", "extent"]).join(partner, "partner")
@@ -170,10 +216,10 @@ def near_lines(lines: DataFrame) -> DataFrame:
 def judged_lines(lines: DataFrame, *, map_bits: int = MAP_BITS) -> DataFrame:
     """(hash, extent, first, is_near) of the lines that have more places than one or an earlier line one edit away. Nothing of any
     other line goes, so those need not meet their places again. `lines` is (id, text_hash, line_no, line, n)."""
-    live = _may_have_partner(shared_halves(lines, map_bits), map_bits)
-    places = lines.select(_place().alias("here"), *_line_key(), F.when(live, F.col("line")).alias("line"))
+    lines = with_candidates(lines, shared_halves(lines), map_bits)
+    places = lines.select(_place().alias("here"), *_line_key(), F.when(F.col("candidate"), F.col("line")).alias("line"))
     found = [F.min("here").alias("first"), F.any_value("line").alias("line"), (F.count("*") > 1).alias("again")]
-    distinct = cut_lineage(places.groupBy("hash", "extent").agg(*found))
+    distinct = cut_lineage(places.groupBy("hash", "extent").agg(*found).where("line is not null or again"))
     near = cut_lineage(near_lines(distinct.where("line is not null").drop("again"))).withColumn("is_near", F.lit(True))
     return distinct.drop("line").join(near, ["hash", "extent"], "left").where("again or is_near").drop("again")
 

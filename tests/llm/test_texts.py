@@ -340,6 +340,59 @@ def test_near_lines_move_whole(spark):
     assert any("line#" in m for m in moved) and not any("words#" in m for m in moved)
 
 
+def test_only_lines_with_a_shared_end_are_moved_and_get_keys(spark, monkeypatch):
+    alone = [prose(s, 9) for s in range(300)]
+    near = [prose(s, 9) for s in range(300, 340)]
+    texts = alone + near + [line.rsplit(" ", 1)[0] + " other" for line in near]
+    lines = line_dedup._with_lines(documents(spark, [(i, t, "s") for i, t in enumerate(texts)], 3), "doc_id", "text")
+    near_lines, variants, moved, with_keys = line_dedup.near_lines, line_dedup._variants, [], []
+
+    def moves(lines):
+        moved.append(lines.count())
+        return near_lines(lines)
+
+    def makes_keys(lines):
+        with_keys.append(lines.count())
+        return variants(lines)
+
+    monkeypatch.setattr(line_dedup, "near_lines", moves)
+    monkeypatch.setattr(line_dedup, "_variants", makes_keys)
+    # A map of one number at first, as small beside these lines as the usual one beside a large table.
+    judged = line_dedup.judged_lines(lines, map_bits=64).collect()
+    assert sorted(r["first"]["id"] for r in judged if r["is_near"]) == list(range(340, 380))
+    assert moved[0] < 100 and with_keys == [80]
+    # A map that cannot grow moves lines in vain, but makes no keys of them.
+    monkeypatch.setattr(line_dedup, "MAX_MAP_BITS", 64)
+    monkeypatch.setattr(line_dedup, "ROW_NUMBERS", 1)
+    judged = line_dedup.judged_lines(lines, map_bits=64).collect()
+    assert sorted(r["first"]["id"] for r in judged if r["is_near"]) == list(range(340, 380))
+    assert moved[1] > 200 and with_keys == [80, 80]
+
+
+def test_map_of_shared_halves_grows_up_to_a_size():
+    bits = 64 * line_dedup.ROW_NUMBERS
+    assert line_dedup.map_rows(0, 1) == 1 and line_dedup.map_rows(0, 1 << 22) * bits == 1 << 22
+    assert line_dedup.map_rows(10**6, 1 << 12) * bits == 1 << 24
+    assert line_dedup.map_rows(10**12, 1 << 12) * bits == line_dedup.MAX_MAP_BITS
+
+
+def test_an_edit_at_any_place_of_any_line_is_found(spark):
+    lines = []
+    for n in range(4, 14):
+        for at in range(n):
+            for kind in range(3):
+                # Each pair is of words of its own, so that it is found by itself or not at all.
+                words = [f"w{n}x{at}x{kind}x{i}" for i in range(n)]
+                changed = words[:at] + [[], ["new"], ["new", words[at]]][kind] + words[at + 1:]
+                lines += [" ".join(words), " ".join(changed)]
+    order = list(range(len(lines)))
+    random.Random(3).shuffle(order)
+    rows = [(i, lines[k], "s") for i, k in enumerate(order)]
+    found = {r["row"]["doc_id"]: (r["n_exact"], r["n_near"], r["kept_text"]) for r in line_dedup.dedup_lines(documents(spark, rows, 3)).collect()}
+    assert found == plain_dedup(rows)
+    assert sum(near for _, near, _ in found.values()) > 200
+
+
 def test_line_dedup_of_odd_documents(spark):
     docs, rows = odd_documents(spark)
     found = line_dedup.dedup_lines(docs)
